@@ -20,11 +20,11 @@ from roadlake.sources import adapters, contracts, dimensions, responses, wire
 
 FLOW_COLUMNS = contracts.FLOW_SCHEMA.names
 INCIDENT_COLUMNS = contracts.INCIDENT_SCHEMA.names
-BY_DATE = ["date_key"]  # the polls are spread over three years: one folder per day, not per window
 
 
 def new_lake(spark: SparkSession, purpose: str) -> Lake:
-    return Lake(spark, fresh_folder(spark, purpose))
+    """An empty lake. The polls are few and spread over three years, hence the sparse layout."""
+    return Lake(spark, fresh_folder(spark, purpose), {**tables.SPARSE_LAYOUT, tables.FACT_FLOW: tables.FACT_WINDOWS})
 
 
 # --- sources --------------------------------------------------------------------
@@ -178,9 +178,7 @@ def gen_dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     "seed_dim_category",
     sql.with_(sql.POLLS, sql.DIM_CATEGORY)
     + "SELECT c.*, coalesce(polls, 0) AS polls FROM dim_incident_category c LEFT JOIN "
-    "(SELECT category, count(*) AS polls FROM polls GROUP BY ALL) ON category = category_raw".replace(
-        "c.*, coalesce(polls, 0)", "c.*, coalesce(polls, 0)"
-    ),
+    "(SELECT category, count(*) AS polls FROM polls GROUP BY ALL) ON category = category_raw",
 )
 def seed_dim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seeded categories, with the number of polls of each."""
@@ -294,7 +292,7 @@ def snk_fact_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def snk_fact_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = new_lake(spark, "facts")
-    writers.load_incident_facts(rollups.collapsed(spark, sf_dir), dimensions.seeded(spark), lake, "b0", BY_DATE)
+    writers.load_incident_facts(rollups.collapsed(spark, sf_dir), dimensions.seeded(spark), lake, "b0")
     return lake.read(tables.FACT_INCIDENTS).select(*keys.INCIDENT_FACT_COLUMNS)
 
 
@@ -336,10 +334,7 @@ def snk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = contract.check_records(
         adapters.checked_messages(spark, sf_dir), F.col("body"), contracts.FLOW_SCHEMA, contracts.FLOW_REQUIRED
     )
-    writers.land(
-        contract.accepted(checked, contracts.FLOW_SCHEMA, "key", "timestamp"), lake, tables.LANDING_FLOW, "b0"
-    )
-    writers.quarantine(contract.rejected(checked, "key", "timestamp"), lake, "flow", "b0")
+    writers.route(checked, contracts.FLOW_SCHEMA, lake, tables.LANDING_FLOW, "b0")
     landed = lake.read(tables.LANDING_FLOW).select("key", "timestamp", F.lit(None).cast("string").alias("reason"))
     return landed.unionByName(lake.read(f"{tables.QUARANTINE}/flow").select("key", "timestamp", "reason"))
 
@@ -374,15 +369,15 @@ def snk_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     + sql.with_(sql.ENRICHED) + "SELECT count(*) AS rows FROM enriched WHERE day(event_time) = 1) "
     "UNION ALL SELECT 'landing/incidents', 'compacted', rows FROM ("
     + sql.with_(sql.POLLS) + "SELECT count(*) AS rows FROM polls "
-    "WHERE CAST(make_timestamp(ingested_at * 1000) AS DATE) = DATE '2024-01-01') "
+    "WHERE date_trunc('month', make_timestamp(ingested_at * 1000)) = DATE '2024-01-01') "
     "UNION ALL SELECT 'silver/flow', 'compacted', rows FROM ("
     + sql.with_(sql.ROLLUP) + "SELECT count(*) AS rows FROM rollup_rows WHERE day(window_start) = 1) "
     "UNION ALL SELECT 'silver/incidents', 'compacted', rows FROM ("
     + sql.with_(sql.COLLAPSED) + "SELECT count(*) AS rows FROM collapsed "
-    "WHERE CAST(event_time AS DATE) = DATE '2024-01-01')",
+    "WHERE date_trunc('month', event_time) = DATE '2024-01-01')",
 )
 def snk_compact_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compacts the day before 2024-01-02 in all four tables."""
+    """Compacts the day before 2024-01-02 in all four tables; incidents are kept by month."""
     lake = new_lake(spark, "compaction")
     land_in_loads(spark, sf_dir, lake)
     writers.write_silver_flow(rollups.rollup(spark, sf_dir), lake, "b0")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadlake.catalog import rollups, sql
 from roadlake.catalog.registry import query
-from roadlake.catalog.storage import BY_DATE, FLOW_COLUMNS, new_lake
+from roadlake.catalog.storage import FLOW_COLUMNS, new_lake
 from roadlake.functions import flow as flow_columns
 from roadlake.operators import flow, incidents, keys
 from roadlake.session import fresh_folder
@@ -151,7 +151,6 @@ def st_app_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         replayed(spark, adapters.incident_polls(spark, sf_dir)),
         dimensions.seeded(spark),
         app.ONCE,
-        incident_partitions=BY_DATE,
     )
     running.await_all()
     names = [

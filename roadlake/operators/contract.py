@@ -22,19 +22,19 @@ def check_records(
     messages: DataFrame, text: Column, schema: T.StructType, required: list[str],
     zero_defaults: list[str] = (),
 ) -> DataFrame:
-    """Adds the parsed ``record`` and its ``reason`` (NULL when it fits) to each message."""
-    parsed = messages.withColumns({"record_text": text}).withColumn(
-        "record", wire.parse_json(F.col("record_text"), schema)
-    )
+    """Adds the parsed ``record`` and its ``reason`` (NULL when it fits) to each message.
+
+    The record comes out of a one-element explode: a filter on the reason cannot be
+    pushed below it, where it would parse the text again for every field it looks at.
+    """
+    texts = messages.withColumn("record_text", text)
+    parsed = texts.withColumn("record", F.explode(F.array(wire.parse_json(F.col("record_text"), schema))))
     needed = [n for n in required if n not in zero_defaults]
     checked = parsed.withColumn("reason", violation(needed))
-    if zero_defaults:
-        fill = {n: F.coalesce(F.col(f"record.{n}"), F.lit(0)) for n in zero_defaults}
-        record = F.col("record")
-        for name, value in fill.items():
-            record = record.withField(name, value)
-        checked = checked.withColumn("record", record)
-    return checked
+    record = F.col("record")
+    for name in zero_defaults:
+        record = record.withField(name, F.coalesce(F.col(f"record.{name}"), F.lit(0)))
+    return checked.withColumn("record", record) if zero_defaults else checked
 
 
 def accepted(checked: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:

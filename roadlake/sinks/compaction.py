@@ -29,7 +29,7 @@ def compact_previous_day(
     lake: Lake, today: date | None = None, names: list[str] = tables.COMPACTED_TABLES,
     files: int | None = codes.COMPACTED_FILES,
 ) -> DataFrame:
-    """Compacts the previous day of each table; one outcome row per table.
+    """Compacts the partition of the previous day in each table; one outcome row per table.
 
     A table that fails does not keep the others from being compacted; its row
     tells the error.

@@ -13,19 +13,21 @@ batch job may rewrite it. Two kinds of write are used, and both may be repeated:
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.functions import codes
 
-DAY = ["year", "month", "day"]
 LOAD = "load"
 COMPACTED = "compacted"
-WINDOW_PARTITIONS = ["date_key", "time_key"]
+DAYS = ["year", "month", "day"]
+MONTHS = ["year", "month"]
+FACT_WINDOWS = ["date_key", "time_key"]
+FACT_MONTHS = ["month_key"]
 
 LANDING_FLOW = "landing/flow"
 LANDING_INCIDENTS = "landing/incidents"
@@ -36,13 +38,37 @@ FACT_INCIDENTS = "facts/fact_incidents"
 QUARANTINE = "quarantine"
 COMPACTED_TABLES = [LANDING_FLOW, LANDING_INCIDENTS, SILVER_FLOW, SILVER_INCIDENTS]
 
+# Time partitions of each table. Records arrive day by day and compaction takes a
+# day; a stream closes a window once, so with one folder per window a fact load
+# rewrites little else than what it brings.
+LAYOUT = {
+    LANDING_FLOW: DAYS,
+    LANDING_INCIDENTS: DAYS,
+    SILVER_FLOW: DAYS,
+    SILVER_INCIDENTS: DAYS,
+    FACT_FLOW: FACT_WINDOWS,
+    FACT_INCIDENTS: FACT_WINDOWS,
+}
+# For backfills that spread few rows over years: thousands of tiny folders are slower
+# than the rows in them.
+SPARSE_LAYOUT = {
+    LANDING_INCIDENTS: MONTHS,
+    SILVER_INCIDENTS: MONTHS,
+    FACT_FLOW: FACT_MONTHS,
+    FACT_INCIDENTS: FACT_MONTHS,
+}
+
 
 @dataclass(frozen=True)
 class Lake:
-    """A folder of tables that all executors can reach."""
+    """A folder of tables that all executors can reach; ``layout`` overrides table partitions."""
 
     spark: SparkSession
     root: str
+    layout: dict[str, list[str]] = field(default_factory=dict)
+
+    def partitions(self, table: str) -> list[str]:
+        return self.layout.get(table, LAYOUT[table])
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -111,9 +137,13 @@ def _mark(spark: SparkSession, staging: str, run: str, state: str, rows: int) ->
 
 
 def staged(
-    spark: SparkSession, staging: str, run: str, build: Callable[[], DataFrame], publish: Callable[[DataFrame], None]
+    spark: SparkSession, staging: str, run: str, build: Callable[[], DataFrame], publish: Callable[[DataFrame], None],
+    at_least: Callable[[], int],
 ) -> int:
-    """Stages ``build()``, checks it, publishes it; returns its row count.
+    """Stages ``build()``, checks that no row is missing, publishes it; returns its row count.
+
+    ``at_least`` counts the rows to be replaced, which Parquet answers from file
+    footers. Neither compaction nor a keyed merge may leave fewer.
 
     The staging folder holds the last run only. Repeating a run that got past the
     check but not to its end publishes the staged rows again, instead of building
@@ -123,17 +153,13 @@ def staged(
     mark = _marker(spark, staging)
     rows_path = f"{staging}/rows"
     if not unfinished(mark, run):
-        seen = Observation()
-        counted = build().observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(rows_path)
-        expected = seen.get["rows"]
-        copied = spark.read.parquet(rows_path).count() if expected else 0
-        if copied != expected:
+        build().write.mode("overwrite").parquet(rows_path)
+        copied, expected = spark.read.parquet(rows_path).count(), at_least()
+        if copied < expected:
             raise RuntimeError(f"staged {copied} of {expected} rows in {rows_path}; table left as it was")
-        _mark(spark, staging, run, "checked", expected)
-        mark = (run, "checked", expected)
-    if mark[2]:
-        publish(spark.read.parquet(rows_path))
+        mark = (run, "checked", copied)
+        _mark(spark, staging, *mark)
+    publish(spark.read.parquet(rows_path))
     _mark(spark, staging, run, "done", mark[2])
     return mark[2]
 
@@ -151,7 +177,7 @@ def _in_partitions(partitions: list[str], values: list[tuple]) -> Column:
 
 
 def replace_partitions(
-    lake: Lake, table: str, rows: DataFrame, partitions: list[str], run: str,
+    lake: Lake, table: str, rows: DataFrame, run: str,
     combine: Callable[[DataFrame | None, DataFrame], DataFrame], sort_by: list[str] = (),
 ) -> int:
     """Rewrites the partitions that ``rows`` touch with ``combine(their rows, rows)``.
@@ -159,18 +185,16 @@ def replace_partitions(
     Only partition values reach the driver, as many as there are folders to
     rewrite. Other partitions are neither read nor written.
     """
-    spark = lake.spark
+    spark, partitions = lake.spark, lake.partitions(table)
     rows = rows.persist()
     try:
         touched = [tuple(r) for r in rows.select(*partitions).distinct().collect()]
         if not touched:
             return 0
 
-        def build() -> DataFrame:
-            existing = lake.read_if_exists(table)
-            if existing is not None:
-                existing = existing.where(_in_partitions(partitions, touched))
-            return combine(existing, rows)
+        existing = lake.read_if_exists(table)
+        if existing is not None:
+            existing = existing.where(_in_partitions(partitions, touched))
 
         def publish(new: DataFrame) -> None:
             (
@@ -182,7 +206,12 @@ def replace_partitions(
                 .parquet(lake.path(table))
             )
 
-        return staged(spark, lake.staging(table), run, build, publish)
+        return staged(
+            spark, lake.staging(table), run,
+            build=lambda: combine(existing, rows),
+            publish=publish,
+            at_least=lambda: 0 if existing is None else existing.count(),
+        )
     finally:
         rows.unpersist()
 
@@ -193,21 +222,21 @@ def replace_partitions(
 def compact(
     lake: Lake, table: str, day: dict[str, int], run: str, files: int | None = codes.COMPACTED_FILES
 ) -> tuple[str, str, int]:
-    """Rewrites one day of a table to few files; returns (table, outcome, rows).
+    """Rewrites one time partition of a table to few files; returns (table, outcome, rows).
 
-    The loads of the day become one. ``files`` is the number of write tasks and so
-    of files per folder; None lets adaptive execution size the files, which suits
-    days of many gigabytes. A day that is missing or empty is skipped and says so.
+    The partition is the day, or the coarser one of the table's layout that holds it.
+    Its loads become one. ``files`` is the number of write tasks and so of files per
+    folder; None lets adaptive execution size the files, which suits days of many
+    gigabytes. A partition that is missing or empty is skipped and says so.
     """
-    spark = lake.spark
-    folder = "/".join([lake.path(table), *(f"{k}={v}" for k, v in day.items())])
-    staging = lake.staging(table)
-    resuming = unfinished(_marker(spark, staging), run)
+    spark, staging = lake.spark, lake.staging(table)
+    folder = "/".join([lake.path(table), *(f"{k}={day[k]}" for k in lake.partitions(table))])
     part = read_if_exists(spark, folder)
-    if part is None and not resuming:
-        return table, "missing", 0
-    if not resuming and part.isEmpty():
-        return table, "empty", 0
+    if not unfinished(_marker(spark, staging), run):
+        if part is None:
+            return table, "missing", 0
+        if part.isEmpty():
+            return table, "empty", 0
 
     def build() -> DataFrame:
         single = part.withColumn(LOAD, F.lit(COMPACTED))
@@ -218,4 +247,4 @@ def compact(
         new = new if files is None else new.coalesce(files)
         new.sortWithinPartitions(*levels).write.mode("overwrite").partitionBy(*levels).parquet(folder)
 
-    return table, "compacted", staged(spark, staging, run, build, publish)
+    return table, "compacted", staged(spark, staging, run, build, publish, at_least=lambda: part.count())

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlake.functions import flow, geo
-from roadlake.operators import keys, merge
+from roadlake.operators import contract, keys, merge
 from roadlake.sinks import lake as tables
 from roadlake.sinks.lake import Lake
 from roadlake.sources.dimensions import Dimensions
@@ -17,7 +18,7 @@ LOADED = "inserted_at"
 def land(records: DataFrame, lake: Lake, table: str, load: str) -> None:
     """Records as they came, by day of ingestion. No shuffle."""
     rows = tables.with_day(records, flow.event_time())
-    tables.write_load(rows, lake.path(table), tables.DAY, load)
+    tables.write_load(rows, lake.path(table), lake.partitions(table), load)
 
 
 def quarantine(rejected: DataFrame, lake: Lake, source: str, load: str) -> None:
@@ -25,14 +26,29 @@ def quarantine(rejected: DataFrame, lake: Lake, source: str, load: str) -> None:
     tables.write_load(rejected, lake.path(f"{tables.QUARANTINE}/{source}"), [], load)
 
 
+def route(checked: DataFrame, schema: T.StructType, lake: Lake, table: str, load: str) -> None:
+    """Lands the checked messages that fit their contract and quarantines the others.
+
+    Messages are parsed once: both writes read the persisted frame.
+    """
+    checked = checked.persist()
+    try:
+        land(contract.accepted(checked, schema, "key", "timestamp"), lake, table, load)
+        quarantine(contract.rejected(checked, "key", "timestamp"), lake, table.rsplit("/", 1)[-1], load)
+    finally:
+        checked.unpersist()
+
+
 def write_silver_flow(rollup: DataFrame, lake: Lake, load: str) -> None:
     rows = tables.with_day(rollup, F.col("window_start"))
-    tables.write_load(rows, lake.path(tables.SILVER_FLOW), [*tables.DAY, "city"], load, rebalance=True)
+    partitions = [*lake.partitions(tables.SILVER_FLOW), "city"]
+    tables.write_load(rows, lake.path(tables.SILVER_FLOW), partitions, load, rebalance=True)
 
 
 def write_silver_incidents(collapsed: DataFrame, lake: Lake, load: str) -> None:
     rows = tables.with_day(collapsed, F.col("event_time"))
-    tables.write_load(rows, lake.path(tables.SILVER_INCIDENTS), [*tables.DAY, "city"], load, rebalance=True)
+    partitions = [*lake.partitions(tables.SILVER_INCIDENTS), "city"]
+    tables.write_load(rows, lake.path(tables.SILVER_INCIDENTS), partitions, load, rebalance=True)
 
 
 def _surrogate(identity: list[str]) -> Column:
@@ -40,6 +56,10 @@ def _surrogate(identity: list[str]) -> Column:
     return F.xxhash64(F.to_json(F.struct(*identity)))
 
 
+def _loaded() -> dict[str, Column]:
+    return {"month_key": F.expr("date_key div 100").cast("int"), LOADED: F.current_timestamp()}
+
+
 def _replace_newer(identity: list[str]):
     def combine(existing: DataFrame | None, new: DataFrame) -> DataFrame:
         both = new if existing is None else existing.unionByName(new)
@@ -48,38 +68,29 @@ def _replace_newer(identity: list[str]):
     return combine
 
 
-def load_flow_facts(
-    rollup: DataFrame, dims: Dimensions, lake: Lake, run: str, partitions: list[str] = tables.WINDOW_PARTITIONS
-) -> int:
-    """Keyed upsert into fact_traffic_flow; a row loaded again replaces the older one.
-
-    A stream closes a window once, so with one partition per window a micro-batch
-    rewrites little else than what it brings. Sparse backfills over years are better
-    off with ``partitions=["date_key"]``.
-    """
+def load_flow_facts(rollup: DataFrame, dims: Dimensions, lake: Lake, run: str) -> int:
+    """Keyed upsert into fact_traffic_flow; a row loaded again replaces the older one."""
     facts = keys.flow_facts(keys.resolve_flow_keys(rollup, dims), "location_name")
-    facts = facts.withColumns({"flow_sk": _surrogate(keys.FLOW_IDENTITY), LOADED: F.current_timestamp()})
+    facts = facts.withColumns({"flow_sk": _surrogate(keys.FLOW_IDENTITY), **_loaded()})
     quarantine(keys.outside_calendar(facts, keys.FLOW_IDENTITY), lake, "fact_traffic_flow", run)
     return tables.replace_partitions(
-        lake, tables.FACT_FLOW, keys.in_calendar(facts), partitions, run,
+        lake, tables.FACT_FLOW, keys.in_calendar(facts), run,
         _replace_newer(keys.FLOW_IDENTITY), ["location_name"],
     )
 
 
-def load_incident_facts(
-    collapsed: DataFrame, dims: Dimensions, lake: Lake, run: str, partitions: list[str] = tables.WINDOW_PARTITIONS
-) -> int:
+def load_incident_facts(collapsed: DataFrame, dims: Dimensions, lake: Lake, run: str) -> int:
     """Keyed upsert into fact_incidents on window and incident identity, NULL parts equal."""
     facts = keys.incident_facts(keys.resolve_incident_keys(collapsed, dims), "bbox_name", "category")
     facts = facts.withColumns(
         {
             "geom": geo.point(F.col("lat"), F.col("lon")),
             "incident_sk": _surrogate(keys.INCIDENT_IDENTITY),
-            LOADED: F.current_timestamp(),
+            **_loaded(),
         }
     )
     quarantine(keys.outside_calendar(facts, keys.INCIDENT_IDENTITY), lake, "fact_incidents", run)
     return tables.replace_partitions(
-        lake, tables.FACT_INCIDENTS, keys.in_calendar(facts), partitions, run,
+        lake, tables.FACT_INCIDENTS, keys.in_calendar(facts), run,
         _replace_newer(keys.INCIDENT_IDENTITY), ["bbox_name"],
     )

@@ -58,11 +58,10 @@ def route_stream(
     source = table.rsplit("/", 1)[-1]
     checked = contract.check_records(messages, F.col(text), schema, required, zero_defaults)
 
-    def write(batch: DataFrame, load: str) -> None:
-        writers.land(contract.accepted(batch, schema, "timestamp"), lake, table, load)
-        writers.quarantine(contract.rejected(batch, "key", "timestamp"), lake, source, load)
-
-    return _start(checked, lake, "route_" + source, write, trigger)
+    return _start(
+        checked, lake, "route_" + source,
+        lambda batch, load: writers.route(batch, schema, lake, table, load), trigger,
+    )
 
 
 def load_flow_stream(
@@ -80,15 +79,14 @@ def load_flow_stream(
 
 
 def load_incident_stream(
-    reports: DataFrame, lake: Lake, dims: Dimensions | None, trigger: dict = EVERY_MINUTE,
-    partitions: list[str] = tables.WINDOW_PARTITIONS,
+    reports: DataFrame, lake: Lake, dims: Dimensions | None, trigger: dict = EVERY_MINUTE
 ) -> StreamingQuery:
     collapsed = incidents.collapse_polls(reports)
 
     def write(batch: DataFrame, load: str) -> None:
         writers.write_silver_incidents(batch, lake, load)
         if dims is not None:
-            writers.load_incident_facts(batch, dims, lake, f"stream-{load}", partitions)
+            writers.load_incident_facts(batch, dims, lake, f"stream-{load}")
 
     return _start(collapsed, lake, "incident_rollup", write, trigger)
 
@@ -116,7 +114,7 @@ class App:
 
 def start(
     lake: Lake, readings: DataFrame, reports: DataFrame, dims: Dimensions | None = None,
-    trigger: dict = EVERY_MINUTE, incident_partitions: list[str] = tables.WINDOW_PARTITIONS,
+    trigger: dict = EVERY_MINUTE,
 ) -> App:
     """Starts landing and rollup queries of both feeds. Without dimensions no facts are loaded."""
     app = App(lake)
@@ -124,6 +122,6 @@ def start(
         land_stream(readings, lake, tables.LANDING_FLOW, trigger),
         land_stream(reports, lake, tables.LANDING_INCIDENTS, trigger),
         load_flow_stream(readings, lake, dims, trigger),
-        load_incident_stream(reports, lake, dims, trigger, incident_partitions),
+        load_incident_stream(reports, lake, dims, trigger),
     ]
     return app
