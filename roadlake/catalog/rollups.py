@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roadlake.catalog import sql
 from roadlake.catalog.registry import query
 from roadlake.functions import codes, flow as flow_columns
-from roadlake.operators import flow, history, incidents, keys, merge, quality
+from roadlake.operators import flow, history, incidents, keys, quality
 from roadlake.plans import marts
 from roadlake.sources import adapters, dimensions
 
@@ -154,38 +154,43 @@ def _missing_members(spark: SparkSession) -> dimensions.Dimensions:
     )
 
 
-@query(
-    "jn_fk_orphans",
-    "SELECT constraint_name, count(*) AS orphan_rows FROM ("
-    + sql.with_(sql.FLOW_KEYED)
-    + "SELECT 'flow.location_sk' AS constraint_name FROM flow_keyed WHERE location_sk IN "
-    "(SELECT location_sk FROM dim_location WHERE road_type = 'arterial')) GROUP BY ALL "
-    "UNION ALL SELECT constraint_name, count(*) AS orphan_rows FROM ("
-    + sql.with_(sql.INCIDENT_KEYED)
-    + "SELECT 'incidents.category_sk' AS constraint_name FROM incident_keyed WHERE category_sk IN "
-    "(SELECT category_sk FROM dim_incident_category WHERE category_group = 'Hazard')) GROUP BY ALL",
-)
+FK_SQL = [
+    ("flow_facts", "fact_traffic_flow", "date_key", ""),
+    ("flow_facts", "fact_traffic_flow", "time_key", ""),
+    ("flow_facts", "fact_traffic_flow", "location_sk", "WHERE road_type <> 'arterial'"),
+    ("incident_facts", "fact_incidents", "date_key", ""),
+    ("incident_facts", "fact_incidents", "time_key", ""),
+    ("incident_facts", "fact_incidents", "location_sk", "WHERE road_type <> 'arterial'"),
+    ("incident_facts", "fact_incidents", "category_sk", "WHERE category_group <> 'Hazard'"),
+]
+FK_DIMENSION = {
+    "date_key": "dim_date", "time_key": "dim_time", "location_sk": "dim_location",
+    "category_sk": "dim_incident_category",
+}
+
+
+def _orphan_sql() -> str:
+    parts = []
+    for source, table, key, kept in FK_SQL:
+        context = sql.FLOW_FACTS if source == "flow_facts" else sql.INCIDENT_FACTS
+        parts.append(
+            f"SELECT 'foreign_key({key})' AS rule, '{table}' AS table_name, violations FROM (" + sql.with_(context)
+            + f"SELECT count(*) AS violations FROM {source} WHERE {key} IS NOT NULL AND {key} NOT IN "
+            f"(SELECT {key} FROM {FK_DIMENSION[key]} {kept}))"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("jn_fk_orphans", _orphan_sql())
 def jn_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All seven foreign keys of the facts, against dimensions with gaps; keys without orphans give no row."""
+    """All seven foreign keys of the facts, against dimensions with gaps."""
     dims = _missing_members(spark)
-    flow_rows, incident_rows = flow_facts(spark, sf_dir), incident_facts(spark, sf_dir)
-    slots = dimensions.time_dimension(spark)
-    checks = [
-        ("flow", flow_rows, [(dims.date, "date_key"), (slots, "time_key"), (dims.location, "location_sk")]),
-        (
-            "incidents", incident_rows,
-            [(dims.date, "date_key"), (slots, "time_key"), (dims.location, "location_sk"),
-             (dims.category, "category_sk")],
-        ),
-    ]
-    found = []
-    for table, rows, references in checks:
-        # one row per key combination serves all foreign keys of the table
-        used = rows.groupBy(*[key for _, key in references]).agg(F.count(F.lit(1)).alias("n"))
-        for dimension, key in references:
-            lost = merge.orphans(used, dimension, key).select(F.lit(f"{table}.{key}").alias("constraint_name"), "n")
-            found.append(lost)
-    return quality.union_all(found).groupBy("constraint_name").agg(F.sum("n").alias("orphan_rows"))
+    shared = {"date_key": dims.date, "time_key": dimensions.time_dimension(spark), "location_sk": dims.location}
+    return quality.orphan_counts(flow_facts(spark, sf_dir), "fact_traffic_flow", shared).unionByName(
+        quality.orphan_counts(
+            incident_facts(spark, sf_dir), "fact_incidents", {**shared, "category_sk": dims.category}
+        )
+    )
 
 
 # --- marts ----------------------------------------------------------------------

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from roadlake.functions import codes, flow, lookup
 
-GROUP = ["location_name", "city"]
-
 # Output column -> enriched column, per kind of measure.
 AVERAGES = {
     "avg_speed_kmh": "current_speed_kmh",
@@ -55,7 +53,8 @@ def enrich_readings(readings: DataFrame) -> DataFrame:
 
 
 ROLLUP_COLUMNS = [
-    *GROUP,
+    "location_name",
+    "city",
     "avg_speed_kmh",
     "min_speed_kmh",
     "max_speed_kmh",
@@ -100,17 +99,24 @@ def count_measure() -> list[Column]:
 
 
 def roll_up(enriched: DataFrame, measures: list[Column]) -> DataFrame:
-    """Measures per 15-minute window, location and city.
+    """Measures per 15-minute window and location, with the location's city.
 
     On a stream the watermark closes a window 2 minutes of event time after its
     end; on a batch it has no effect. Every measure reduces on the map side, so a
-    location with a third of all readings shuffles one row per window and task.
+    location with a third of all readings shuffles one row per window and task. The
+    city follows from the location, so it is no grouping key.
     """
     return (
         enriched.withWatermark("event_time", codes.WATERMARK)
-        .groupBy(F.window("event_time", codes.WINDOW), *GROUP)
+        .groupBy(F.window("event_time", codes.WINDOW), "location_name")
         .agg(*measures)
-        .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
+        .withColumns(
+            {
+                "city": lookup.city_of(F.col("location_name")),
+                "window_start": F.col("window.start"),
+                "window_end": F.col("window.end"),
+            }
+        )
         .drop("window")
     )
 

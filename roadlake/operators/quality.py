@@ -95,5 +95,27 @@ def duplicate_keys(rows: DataFrame, table: str, keys: list[str]) -> DataFrame:
     )
 
 
+def orphan_counts(facts: DataFrame, table: str, references: dict[str, DataFrame]) -> DataFrame:
+    """Rows per foreign key (``key -> dimension``) whose member the dimension lacks; NULL is no reference.
+
+    All keys of the table are checked in one pass: its rows are first counted per
+    combination of keys, and only those few meet the dimensions.
+    """
+    used = facts.groupBy(*references).agg(F.count(F.lit(1)).alias("n"))
+    for key, dimension in references.items():
+        members = dimension.select(F.col(key).alias(f"_{key}")).distinct()
+        used = used.join(members, used[key] == members[f"_{key}"], "left")
+    lost = {key: F.col(key).isNotNull() & F.col(f"_{key}").isNull() for key in references}
+    counts = used.agg(*[F.coalesce(F.sum(F.when(bad, F.col("n"))), F.lit(0)).alias(k) for k, bad in lost.items()])
+    found = F.array(
+        *[
+            F.struct(F.lit(f"foreign_key({k})").alias("rule"), F.lit(table).alias("table_name"),
+                     F.col(k).alias("violations"))
+            for k in references
+        ]
+    )
+    return counts.select(F.inline(found))
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)

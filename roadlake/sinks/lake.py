@@ -183,7 +183,9 @@ def replace_partitions(
     """Rewrites the partitions that ``rows`` touch with ``combine(their rows, rows)``.
 
     Only partition values reach the driver, as many as there are folders to
-    rewrite. Other partitions are neither read nor written.
+    rewrite. Other partitions are neither read nor written. Where the table has no
+    rows in them yet, as for windows a stream has just closed, there is nothing to
+    lose and they are written directly. Returns the rows the partitions now hold.
     """
     spark, partitions = lake.spark, lake.partitions(table)
     rows = rows.persist()
@@ -206,8 +208,12 @@ def replace_partitions(
                 .parquet(lake.path(table))
             )
 
+        staging = lake.staging(table)
+        if (existing is None or existing.isEmpty()) and not unfinished(_marker(spark, staging), run):
+            publish(combine(None, rows))
+            return rows.count()
         return staged(
-            spark, lake.staging(table), run,
+            spark, staging, run,
             build=lambda: combine(existing, rows),
             publish=publish,
             at_least=lambda: 0 if existing is None else existing.count(),
