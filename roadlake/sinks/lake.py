@@ -16,11 +16,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.functions import codes
+from roadlake.sources.tables import read_if_exists
 
 LOAD = "load"
 COMPACTED = "compacted"
@@ -86,17 +86,6 @@ class Lake:
         return read_if_exists(self.spark, self.path(table))
 
 
-def read_if_exists(spark: SparkSession, path: str, base: str | None = None) -> DataFrame | None:
-    """The Parquet data at a path, or None where there is none yet."""
-    try:
-        reader = spark.read.option("basePath", base) if base else spark.read
-        return reader.parquet(path)
-    except AnalysisException as absent:
-        if absent.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def with_day(rows: DataFrame, at: Column) -> DataFrame:
     return rows.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
 
@@ -131,6 +120,11 @@ def unfinished(mark: tuple[str, str, int] | None, run: str) -> bool:
     return mark is not None and mark[:2] == (run, "checked")
 
 
+def unfinished_run(lake: Lake, table: str, run: str) -> bool:
+    """Whether a run staged and checked its rows but did not get to its end."""
+    return unfinished(_marker(lake.spark, lake.staging(table)), run)
+
+
 def _mark(spark: SparkSession, staging: str, run: str, state: str, rows: int) -> None:
     marker = spark.createDataFrame([(run, state, rows)], "run string, state string, rows long")
     marker.coalesce(1).write.mode("overwrite").parquet(f"{staging}/marker")
@@ -209,7 +203,7 @@ def replace_partitions(
             )
 
         staging = lake.staging(table)
-        if (existing is None or existing.isEmpty()) and not unfinished(_marker(spark, staging), run):
+        if (existing is None or existing.isEmpty()) and not unfinished_run(lake, table, run):
             publish(combine(None, rows))
             return rows.count()
         return staged(
@@ -238,7 +232,7 @@ def compact(
     spark, staging = lake.spark, lake.staging(table)
     folder = "/".join([lake.path(table), *(f"{k}={day[k]}" for k in lake.partitions(table))])
     part = read_if_exists(spark, folder)
-    if not unfinished(_marker(spark, staging), run):
+    if not unfinished_run(lake, table, run):
         if part is None:
             return table, "missing", 0
         if part.isEmpty():

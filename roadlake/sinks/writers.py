@@ -94,3 +94,12 @@ def load_incident_facts(collapsed: DataFrame, dims: Dimensions, lake: Lake, run:
         lake, tables.FACT_INCIDENTS, keys.in_calendar(facts), run,
         _replace_newer(keys.INCIDENT_IDENTITY), ["bbox_name"],
     )
+
+
+def mirror(rows: DataFrame, table: str, jdbc: dict[str, str]) -> None:
+    """Appends rows to a relational table over JDBC; needs a driver jar on the cluster.
+
+    The relational side keeps its own keys and constraints. ``numPartitions`` in
+    ``jdbc`` bounds how many tasks write at once.
+    """
+    rows.write.format("jdbc").options(**jdbc).option("dbtable", table).mode("append").save()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlake.functions import calendar, codes, geo
 from roadlake.functions.lookup import label_of, road_class_label
+from roadlake.operators.merge import update_by_key
 
 DATE_COLUMNS = ["date_key", "full_date"]
 LOCATION_COLUMNS = ["location_sk", "location_key"]
@@ -122,6 +123,32 @@ def seeded(spark: SparkSession) -> Dimensions:
     return Dimensions(date_dimension(calendar_days(spark)), location_dimension(spark), category_dimension(spark))
 
 
+TABLES = ["dim_date", "dim_time", "dim_location", "dim_incident_category"]
+CONFLICT_KEYS = {
+    "dim_date": ["date_key"],
+    "dim_time": ["time_key"],
+    "dim_location": ["location_key", "version_number"],
+    "dim_incident_category": ["category_raw"],
+}
+
+
+def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """All four dimension tables as first stored, public holidays included."""
+    dates = update_by_key(
+        date_dimension(calendar_days(spark)), holiday_updates(spark), "full_date",
+        ["is_public_holiday", "holiday_name", "day_type"],
+    )
+    tables = [dates, time_dimension(spark), location_dimension(spark), category_dimension(spark)]
+    return dict(zip(TABLES, tables))
+
+
+def stored(spark: SparkSession, folder: str) -> Dimensions:
+    """The stored dimensions as they are now."""
+    return Dimensions(
+        *[spark.read.parquet(f"{folder}/{t}") for t in ("dim_date", "dim_location", "dim_incident_category")]
+    )
+
+
 def scan_dimension(
     spark: SparkSession, source: str, columns: list[str], jdbc: dict | None = None
 ) -> DataFrame:

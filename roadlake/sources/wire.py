@@ -39,19 +39,26 @@ def parse_json(text: Column, schema: T.StructType) -> Column:
     )
 
 
+def parse_avro(payload: Column, avro_schema: str) -> Column:
+    """Record struct of an Avro payload, NULL if it does not fit.
+
+    Needs the external Avro package on the cluster.
+    """
+    from pyspark.sql.avro.functions import from_avro
+
+    return from_avro(payload, avro_schema, {"mode": "PERMISSIVE"})
+
+
 def decode_payload(
     messages: DataFrame, schema: T.StructType, payload: str = "payload", avro_schema: str | None = None
 ) -> DataFrame:
     """Payload bytes to record columns, keeping the broker timestamp.
 
-    JSON payloads by default. With ``avro_schema`` the payload is Avro, which needs
-    the external Avro package on the cluster. Either way a bad payload gives NULL
-    fields instead of stopping the job; ``operators.contract`` routes it.
+    JSON payloads, or Avro ones with ``avro_schema``. Either way a bad payload gives
+    NULL fields instead of stopping the job; ``operators.contract`` sets it aside.
     """
     if avro_schema is None:
         record = F.from_json(F.decode(F.col(payload), "UTF-8"), schema, {"mode": "PERMISSIVE"})
     else:
-        from pyspark.sql.avro.functions import from_avro
-
-        record = from_avro(F.col(payload), avro_schema, {"mode": "PERMISSIVE"})
+        record = parse_avro(F.col(payload), avro_schema)
     return messages.select(record.alias("data"), "timestamp").select("data.*", "timestamp")

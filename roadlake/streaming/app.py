@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -13,12 +14,20 @@ from roadlake.operators import contract, flow, incidents
 from roadlake.sinks import lake as tables
 from roadlake.sinks import writers
 from roadlake.sinks.lake import Lake
+from roadlake.sources import contracts, wire
 from roadlake.sources.dimensions import Dimensions
 
+# Dimensions as they are, or how to read them: then each micro-batch sees new versions.
+DimensionSource = Dimensions | Callable[[], Dimensions]
+
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
 
 
+def current(dims: DimensionSource) -> Dimensions:
+    return dims() if callable(dims) else dims
+
+
 def load_id(batch_id: int) -> str:
     return f"b{batch_id}"
 
@@ -51,13 +60,10 @@ def land_stream(records: DataFrame, lake: Lake, table: str, trigger: dict = EVER
 
 
 def route_stream(
-    messages: DataFrame, lake: Lake, table: str, schema: T.StructType, required: list[str],
-    zero_defaults: list[str] = (), trigger: dict = EVERY_MINUTE, text: str = "body",
+    checked: DataFrame, lake: Lake, table: str, schema: T.StructType, trigger: dict = EVERY_MINUTE
 ) -> StreamingQuery:
-    """Lands the messages that fit the contract and quarantines the others, in one pass."""
+    """Lands the checked messages that fit the contract and quarantines the others, in one pass."""
     source = table.rsplit("/", 1)[-1]
-    checked = contract.check_records(messages, F.col(text), schema, required, zero_defaults)
-
     return _start(
         checked, lake, "route_" + source,
         lambda batch, load: writers.route(batch, schema, lake, table, load), trigger,
@@ -65,7 +71,7 @@ def route_stream(
 
 
 def load_flow_stream(
-    readings: DataFrame, lake: Lake, dims: Dimensions | None, trigger: dict = EVERY_MINUTE
+    readings: DataFrame, lake: Lake, dims: DimensionSource | None, trigger: dict = EVERY_MINUTE
 ) -> StreamingQuery:
     """One rollup query feeds the silver table and, where dimensions are given, the facts."""
     rollup = flow.roll_up_readings(flow.enrich_readings(readings))
@@ -73,24 +79,56 @@ def load_flow_stream(
     def write(batch: DataFrame, load: str) -> None:
         writers.write_silver_flow(batch, lake, load)
         if dims is not None:
-            writers.load_flow_facts(batch, dims, lake, f"stream-{load}")
+            writers.load_flow_facts(batch, current(dims), lake, f"stream-{load}")
 
     return _start(rollup, lake, "flow_rollup", write, trigger)
 
 
 def load_incident_stream(
-    reports: DataFrame, lake: Lake, dims: Dimensions | None, trigger: dict = EVERY_MINUTE
+    reports: DataFrame, lake: Lake, dims: DimensionSource | None, trigger: dict = EVERY_MINUTE
 ) -> StreamingQuery:
     collapsed = incidents.collapse_polls(reports)
 
     def write(batch: DataFrame, load: str) -> None:
         writers.write_silver_incidents(batch, lake, load)
         if dims is not None:
-            writers.load_incident_facts(batch, dims, lake, f"stream-{load}")
+            writers.load_incident_facts(batch, current(dims), lake, f"stream-{load}")
 
     return _start(collapsed, lake, "incident_rollup", write, trigger)
 
 
+@dataclass(frozen=True)
+class Feed:
+    """One kind of message: its contract, and where it lands."""
+
+    table: str
+    schema: T.StructType
+    required: list[str]
+    zero_defaults: list[str] = field(default_factory=list)
+
+    def check(self, messages: DataFrame, avro_schema: str | None = None) -> DataFrame:
+        """Enveloped broker messages (key, value, timestamp) with record and reason."""
+        split = wire.split_envelope(messages)
+        known = F.col("magic") == wire.MAGIC
+        if avro_schema is None:
+            text = F.when(known, F.decode(F.col("payload"), "UTF-8"))
+            return contract.check_records(split, text, self.schema, self.required, self.zero_defaults)
+        record = F.when(known, wire.parse_avro(F.col("payload"), avro_schema))
+        return contract.check_records(
+            split, F.base64("value"), self.schema, self.required, self.zero_defaults, record
+        )
+
+    def records(self, checked: DataFrame) -> DataFrame:
+        return contract.accepted(checked, self.schema, "timestamp")
+
+
+FLOW = Feed(tables.LANDING_FLOW, contracts.FLOW_SCHEMA, contracts.FLOW_REQUIRED)
+INCIDENTS = Feed(
+    tables.LANDING_INCIDENTS, contracts.INCIDENT_SCHEMA, contracts.INCIDENT_REQUIRED,
+    contracts.INCIDENT_ZERO_DEFAULTS,
+)
+
+
 @dataclass
 class App:
     """The running queries of the whole application."""
@@ -113,7 +151,7 @@ class App:
 
 
 def start(
-    lake: Lake, readings: DataFrame, reports: DataFrame, dims: Dimensions | None = None,
+    lake: Lake, readings: DataFrame, reports: DataFrame, dims: DimensionSource | None = None,
     trigger: dict = EVERY_MINUTE,
 ) -> App:
     """Starts landing and rollup queries of both feeds. Without dimensions no facts are loaded."""
@@ -125,3 +163,19 @@ def start(
         load_incident_stream(reports, lake, dims, trigger),
     ]
     return app
+
+
+def start_from_messages(
+    lake: Lake, flow_messages: DataFrame, incident_messages: DataFrame, dims: DimensionSource | None = None,
+    trigger: dict = EVERY_MINUTE, flow_avro: str | None = None, incident_avro: str | None = None,
+) -> App:
+    """As ``start``, from broker messages: what breaks its contract is quarantined on the way."""
+    flow_checked, incident_checked = FLOW.check(flow_messages, flow_avro), INCIDENTS.check(incident_messages, incident_avro)
+    app = App(lake)
+    app.queries = [
+        route_stream(flow_checked, lake, FLOW.table, FLOW.schema, trigger),
+        route_stream(incident_checked, lake, INCIDENTS.table, INCIDENTS.schema, trigger),
+        load_flow_stream(FLOW.records(flow_checked), lake, dims, trigger),
+        load_incident_stream(INCIDENTS.records(incident_checked), lake, dims, trigger),
+    ]
+    return app

@@ -10,7 +10,7 @@ from roadlake.catalog.storage import land_in_loads
 from roadlake.catalog.streams import replayed
 from roadlake.operators import contract, flow
 from roadlake.session import fresh_folder
-from roadlake.sinks import compaction, writers
+from roadlake.sinks import compaction, dimension_store, writers
 from roadlake.sinks import lake as tables
 from roadlake.sinks.lake import Lake
 from roadlake.sources import adapters, contracts, dimensions
@@ -186,11 +186,9 @@ def test_zero_defaults_do_not_reject(spark):
 
 def test_routed_stream_matches_batch(spark, lake):
     messages = adapters.checked_messages(spark, SMALL).withColumn("ingested_at", F.col("event_id"))
-    query = app.route_stream(
-        replayed(spark, messages, files_per_trigger=1), lake, tables.LANDING_FLOW, contracts.FLOW_SCHEMA,
-        contracts.FLOW_REQUIRED, trigger=app.ONCE,
-    )
-    query.awaitTermination()
+    stream = replayed(spark, messages, files_per_trigger=1)
+    checked = contract.check_records(stream, F.col("body"), contracts.FLOW_SCHEMA, contracts.FLOW_REQUIRED)
+    app.route_stream(checked, lake, tables.LANDING_FLOW, contracts.FLOW_SCHEMA, app.ONCE).awaitTermination()
     good, bad = lake.read(tables.LANDING_FLOW), lake.read("quarantine/flow")
     assert good.count() + bad.count() == messages.count()
     assert bad.count() == messages.where("event_id % 50 < 3").count()
@@ -235,3 +233,74 @@ def test_app_without_dimensions_loads_no_facts(spark, lake):
     running.await_all()
     assert lake.read_if_exists(tables.FACT_FLOW) is None
     assert lake.read(tables.LANDING_INCIDENTS).count() == adapters.incident_polls(spark, SMALL).count()
+
+
+def test_app_from_messages(spark, lake):
+    """Enveloped messages of both feeds to landing, quarantine, silver and facts, with stored dimensions."""
+    flow_messages = adapters.wire_messages(spark, SMALL)
+    polls = adapters.incident_polls(spark, SMALL)
+    incident_messages = polls.select(
+        F.col("bbox_name").alias("key"),
+        F.concat(F.unhex(F.lit("0000000001")), F.encode(adapters.record_json(*polls.columns), "UTF-8")).alias("value"),
+        F.timestamp_millis("ingested_at").alias("timestamp"),
+    )
+    folder = dimension_store.folder(lake)
+    for _ in range(2):
+        dimension_store.bootstrap(lake)
+
+    def stream(rows):
+        return replayed(spark, rows.withColumn("ingested_at", F.col("timestamp")))
+
+    sparse = Lake(spark, lake.root, tables.SPARSE_LAYOUT)
+    running = app.start_from_messages(
+        sparse, stream(flow_messages), stream(incident_messages), lambda: dimensions.stored(spark, folder), app.ONCE
+    )
+    running.await_all()
+    foreign = flow_messages.where("hex(substring(value, 1, 1)) = '01'").count()
+    assert lake.read("quarantine/flow").count() == foreign > 0
+    assert lake.read(tables.LANDING_FLOW).count() == flow_messages.count() - foreign
+    assert lake.read(tables.LANDING_INCIDENTS).count() == polls.count()
+    silver, facts = lake.read(tables.SILVER_FLOW), lake.read(tables.FACT_FLOW)
+    assert silver.count() == facts.count() > 0
+    inside = lake.read(tables.SILVER_INCIDENTS).where("event_time < TIMESTAMP '2027-01-01'").count()
+    assert lake.read(tables.FACT_INCIDENTS).count() == inside
+    assert facts.where("location_sk IS NULL AND location_name <> 'unlisted_point'").isEmpty()
+
+
+def test_bootstrap_keeps_stored_rows(spark, lake):
+    folder = dimension_store.folder(lake)
+    dimension_store.bootstrap(lake)
+    assert {t: spark.read.parquet(f"{folder}/{t}").count() for t in dimensions.TABLES} == {
+        "dim_date": 1096, "dim_time": 96, "dim_location": 23, "dim_incident_category": 9,
+    }
+    kept = spark.read.parquet(f"{folder}/dim_incident_category").where("category_key <> 'jam'").withColumn(
+        "category_label_en", F.lit("edited")
+    ).toPandas()
+    schema = dimensions.category_dimension(spark).schema
+    spark.createDataFrame(kept, schema).write.mode("overwrite").parquet(f"{folder}/dim_incident_category")
+    dimension_store.bootstrap(lake)
+    labels = dict(spark.read.parquet(f"{folder}/dim_incident_category").select("category_key", "category_label_en").collect())
+    assert len(labels) == 9 and labels.pop("jam") == "Traffic Jam" and set(labels.values()) == {"edited"}
+
+
+def test_dead_letters_by_source(spark):
+    letters = contract.rejected(contract.check_records(
+        spark.createDataFrame([("{",)], "body string"), F.col("body"), contracts.FLOW_SCHEMA, contracts.FLOW_REQUIRED
+    ))
+    row = contract.by_source(letters, "flow").first()
+    assert (row.source, row.error, row.payload) == ("flow", "malformed record", "{")
+
+
+def test_missing_broker_package_is_named(spark):
+    from roadlake.sources.streams import topic_stream
+
+    with pytest.raises(RuntimeError, match="connector package"):
+        topic_stream(spark, "broker:9092", "topic")
+
+
+def test_command_line(spark, lake, capsys):
+    from roadlake.__main__ import arguments
+
+    args = arguments(["compact", "--lake", "x", "--today", "2024-01-02", "--files", "0"])
+    assert (args.today, args.files) == (date(2024, 1, 2), 0)
+    assert arguments(["stream", "--lake", "x", "--servers", "b:1"]).max_records == 1000

@@ -113,9 +113,9 @@ def test_orphans_ignore_null_keys(spark):
 
 
 def test_dimensions_are_broadcast_by_size_and_shuffled_beyond_it(spark):
-    rollup = spark.range(1000).select(
-        F.lit("tahrir_square").alias("location_name"), F.timestamp_seconds(F.lit(1704067200)).alias("window_start")
-    )
+    rollup = spark.createDataFrame(
+        [("tahrir_square", 1704067200), ("nowhere", 1704068100), (None, 1704067200)], "location_name string, s long"
+    ).select("location_name", F.timestamp_seconds("s").alias("window_start"))
     resolved = keys.resolve_flow_keys(rollup, dimensions.seeded(spark))
     assert "BroadcastHashJoin" in resolved._jdf.queryExecution().executedPlan().toString()
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
