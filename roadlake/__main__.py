@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from roadlake.functions import codes
-from roadlake.session import RUNTIME_CONF, STREAMING_CONF
+from roadlake.session import RUNTIME_CONF, STARTUP_CONF, STREAMING_CONF
 from roadlake.sinks import compaction, dimension_store
 from roadlake.sinks.lake import Lake
 from roadlake.sources import dimensions
@@ -48,7 +48,7 @@ def _text(path: str | None) -> str | None:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     builder = SparkSession.builder.appName(f"roadlake-{args.command}")
-    for key, value in {**RUNTIME_CONF, **STREAMING_CONF}.items():
+    for key, value in {**RUNTIME_CONF, **STARTUP_CONF, **STREAMING_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     lake = Lake(spark, args.lake.rstrip("/"))

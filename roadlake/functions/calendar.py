@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from roadlake.functions import codes
+from roadlake.functions.lookup import nth
 
 
 def date_key(day: Column) -> Column:
@@ -22,10 +23,6 @@ def iso_weekday(day: Column) -> Column:
     return F.weekday(day) + 1
 
 
-def _nth(names: list[str], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), position)
-
-
 def day_attributes(day: Column) -> dict[str, Column]:
     month, weekday = F.month(day), iso_weekday(day)
     weekend = weekday.isin(codes.WEEKEND_ISO_DAYS)
@@ -36,18 +33,18 @@ def day_attributes(day: Column) -> dict[str, Column]:
         "quarter": F.quarter(day),
         "month": month,
         "month_name_en": F.date_format(day, "MMMM"),
-        "month_name_ar": _nth(codes.MONTHS_AR, month),
+        "month_name_ar": nth(codes.MONTHS_AR, month - 1),
         "week_of_year": F.weekofyear(day),
         "day_of_month": F.dayofmonth(day),
         "day_of_week": weekday,
         "day_name_en": F.date_format(day, "EEEE"),
-        "day_name_ar": _nth(codes.DAYS_AR, weekday),
+        "day_name_ar": nth(codes.DAYS_AR, weekday - 1),
         "is_weekend": weekend,
         "is_public_holiday": F.lit(False),
         "holiday_name": F.lit(None).cast("string"),
         "is_ramadan": F.lit(False),
         "is_school_term": F.lit(False),
-        "season": _nth(codes.SEASONS, ((month % 12) / 3).cast("int") + 1),
+        "season": nth(codes.SEASONS, (month % 12) / 3),
         "day_type": F.when(weekend, F.lit("Weekend")).otherwise(F.lit("Weekday")),
     }
 

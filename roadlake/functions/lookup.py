@@ -10,13 +10,29 @@ from pyspark.sql import functions as F
 from roadlake.functions import codes
 
 
+def constants(kind: str, values: list) -> Column:
+    """``array`` or ``map`` of constants, as one SQL literal rather than a column per value."""
+
+    def literal(value) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"{value!r}D" if isinstance(value, float) else str(value)
+
+    return F.expr(f"{kind}({', '.join(literal(v) for v in values)})")
+
+
+def nth(values: list, position: Column) -> Column:
+    """The value at a 0-based position of a constant list."""
+    return F.element_at(constants("array", values), position.cast("int") + 1)
+
+
 def label_of(key: Column, labels: dict, default: str) -> Column:
     """Label of a code, ``default`` for unknown and NULL codes.
 
     The list is a constant of at most 25 entries, so it is folded into the plan
     as a map literal: no join, no shuffle, and a NULL or hot key costs nothing.
     """
-    entries = F.create_map(*[F.lit(x) for x in chain.from_iterable(labels.items())])
+    entries = constants("map", list(chain.from_iterable(labels.items())))
     return F.coalesce(F.try_element_at(entries, key), F.lit(default))
 
 

@@ -55,13 +55,19 @@ def roll_versions(
 
 
 def overlapping_versions(dimension: DataFrame, key: str = "location_key") -> DataFrame:
-    """Keys whose validity ranges overlap, by comparing each version with the one before.
+    """Versions that start before their predecessor ended, or that have no predecessor though not the first.
 
-    The window holds the versions of one key, a handful by nature; it ranks
-    versions, it does not pair them.
+    Each version meets only the one before it: the join is on key and number, so a key
+    with very many versions is spread over tasks.
     """
-    from pyspark.sql import Window
-
-    by_start = Window.partitionBy(key).orderBy("valid_from", "version_number")
-    previous_end = F.lag(F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))).over(by_start)
-    return dimension.withColumn("_previous_end", previous_end).where(F.col("_previous_end") > F.col("valid_from"))
+    before = dimension.select(
+        F.col(key).alias("_key"),
+        (F.col("version_number") + 1).alias("_next"),
+        F.coalesce("valid_to", F.lit("9999-12-31").cast("date")).alias("_ended"),
+    )
+    paired = dimension.join(
+        before, (dimension[key] == before["_key"]) & (dimension["version_number"] == before["_next"]), "left"
+    )
+    overlap = F.col("_ended") > F.col("valid_from")
+    gap = F.col("_key").isNull() & (F.col("version_number") > 1)
+    return paired.where(overlap | gap).select(*dimension.columns)

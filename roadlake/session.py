@@ -18,6 +18,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Settings a session has to be started with.
+STARTUP_CONF = {
+    # Recording the Python line of every column costs a call into the JVM each time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 # Settings a long-running streaming deployment should also start with.
 STREAMING_CONF = {
     # Window state grows with locations; keep it off the JVM heap.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roadlake.functions import codes
 from roadlake.functions.flow import speed_ratio
+from roadlake.functions.lookup import nth
 
 FLOW_EPOCH_MS = 1704067200000  # 2024-01-01T00:00Z
 POLL_EPOCH_S = 1704067200
@@ -37,10 +38,6 @@ def spread(rows: DataFrame, key: str) -> DataFrame:
     return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _pick(values: list, position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), position.cast("int") + 1)
-
-
 def _base_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     events = spread(events, "event_id")
@@ -67,12 +64,12 @@ def _base_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reading_columns() -> list[Column]:
-    lat = _pick([p[1] for p in PLACES], F.col("li"))
-    lon = _pick([p[2] for p in PLACES], F.col("li"))
+    lat = nth([p[1] for p in PLACES], F.col("li"))
+    lon = nth([p[2] for p in PLACES], F.col("li"))
     on_segment = F.col("event_id") % 5 != 0
     return [
         (F.lit(FLOW_EPOCH_MS) + F.expr(f"(ms - {FLOW_EPOCH_MS}) div {TIME_SQUEEZE}")).alias("ingested_at"),
-        _pick([p[0] for p in PLACES], F.col("li")).alias("location_name"),
+        nth([p[0] for p in PLACES], F.col("li")).alias("location_name"),
         lat.alias("query_lat"),
         lon.alias("query_lon"),
         F.when(on_segment, lat + 0.001).alias("segment_lat"),
@@ -110,14 +107,14 @@ def incident_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     polls = polls.withColumn("t", F.lit(POLL_EPOCH_S) + (k % 1100) * 86400 + (k % 96) * 900)
     t = F.col("t")
     area = cust % len(codes.AREAS)
-    centre_lat = _pick([(a[2] + a[4]) / 2 for a in codes.AREAS], area)
-    centre_lon = _pick([(a[3] + a[5]) / 2 for a in codes.AREAS], area)
+    centre_lat = nth([(a[2] + a[4]) / 2 for a in codes.AREAS], area)
+    centre_lon = nth([(a[3] + a[5]) / 2 for a in codes.AREAS], area)
     placed = k % 6 != 0
     return polls.select(
         ((t + (F.col("l_linenumber") - 1) * 360) * 1000 + 123).alias("ingested_at"),
-        _pick([a[0] for a in codes.AREAS], area).alias("bbox_name"),
-        _pick([name for _, name in POLLED], k % len(POLLED)).alias("category"),
-        _pick([i for i, _ in POLLED], k % len(POLLED)).alias("icon_category_id"),
+        nth([a[0] for a in codes.AREAS], area).alias("bbox_name"),
+        nth([name for _, name in POLLED], k % len(POLLED)).alias("category"),
+        nth([i for i, _ in POLLED], k % len(POLLED)).alias("icon_category_id"),
         (F.col("l_quantity").cast("int") % 6).alias("magnitude"),
         F.when(k % 9 != 0, F.concat(F.lit("P"), (cust % 50).cast("string"))).alias("from_location"),
         F.when(k % 10 != 0, F.concat(F.lit("Q"), (cust % 40).cast("string"))).alias("to_location"),
@@ -218,7 +215,7 @@ def raw_incident_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = grouped.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("k", "incident"))).alias("members"))
     return docs.select(
         ((F.col("doc") + POLL_EPOCH_S) * 1000).alias("ingested_at"),
-        _pick([a[0] for a in codes.AREAS], F.col("doc") % len(codes.AREAS)).alias("bbox_name"),
+        nth([a[0] for a in codes.AREAS], F.col("doc") % len(codes.AREAS)).alias("bbox_name"),
         F.concat(
             F.lit('{"incidents":['), F.array_join(F.col("members.incident"), ","), F.lit("]}")
         ).alias("body"),

@@ -36,8 +36,10 @@ def _start(rows: DataFrame, lake: Lake, name: str, write, trigger: dict) -> Stre
     """Starts a foreachBatch query with a checkpoint of its own.
 
     The micro-batch is persisted while its writes run, so its source and state are
-    read once; an empty one is skipped.
+    read once; an empty one is skipped. The rows of each batch are counted as they pass
+    and appear in the query's progress under its name.
     """
+    rows = rows.observe(name, F.count(F.lit(1)).alias("rows"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()

@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
 
     session = (
         SparkSession.builder.master("local[8]")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")

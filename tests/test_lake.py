@@ -194,6 +194,14 @@ def test_routed_stream_matches_batch(spark, lake):
     assert bad.count() == messages.where("event_id % 50 < 3").count()
 
 
+def test_rows_per_batch_are_in_the_progress(spark, lake):
+    readings = adapters.flow_readings(spark, SMALL)
+    query = app.land_stream(replayed(spark, readings, 1), lake, tables.LANDING_FLOW, app.ONCE)
+    query.awaitTermination()
+    counts = [p.observedMetrics["landing_flow"]["rows"] for p in query.recentProgress if p.observedMetrics]
+    assert len(counts) > 1 and sum(counts) == readings.count()
+
+
 def test_redelivered_batch_loads_once(spark, lake):
     """The batch before a crash is delivered again with its id."""
     rolled = rollups.rollup(spark, SMALL)

@@ -87,6 +87,8 @@ def test_overlap_is_found(spark):
         "location_key string, version_number int, valid_from date, valid_to date",
     )
     assert history.overlapping_versions(dim).count() == 1
+    gap = dim.withColumn("version_number", F.col("version_number") * 2 - 1)
+    assert history.overlapping_versions(gap).count() == 1
 
 
 def test_duplicate_current_version_would_duplicate_facts(spark):
