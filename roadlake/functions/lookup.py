@@ -4,21 +4,30 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.functions import codes
 
 
+def literal(value) -> str:
+    """A Python constant as a SQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 def constants(kind: str, values: list) -> Column:
     """``array`` or ``map`` of constants, as one SQL literal rather than a column per value."""
+    return F.expr(f"{kind}({', '.join(literal(v) for v in values)})")
 
-    def literal(value) -> str:
-        if isinstance(value, str):
-            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return f"{value!r}D" if isinstance(value, float) else str(value)
 
-    return F.expr(f"{kind}({', '.join(literal(v) for v in values)})")
+def inline_table(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """A table of constants. Its size is known to the optimizer, so joins with it need no shuffle."""
+    body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS seed({columns})")
 
 
 def nth(values: list, position: Column) -> Column:

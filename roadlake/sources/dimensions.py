@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadlake.functions import calendar, codes, geo
-from roadlake.functions.lookup import label_of, road_class_label
+from roadlake.functions.lookup import inline_table, label_of, road_class_label
 from roadlake.operators.merge import update_by_key
 
 DATE_COLUMNS = ["date_key", "full_date"]
@@ -72,7 +72,7 @@ def holiday_updates(spark: SparkSession) -> DataFrame:
         for month, day, name, years in codes.PUBLIC_HOLIDAYS
         for year in years
     ]
-    raw = spark.createDataFrame(rows, "full_date string, is_public_holiday boolean, holiday_name string, day_type string")
+    raw = inline_table(spark, "full_date, is_public_holiday, holiday_name, day_type", rows)
     return raw.withColumn("full_date", F.col("full_date").cast("date"))
 
 
@@ -83,23 +83,21 @@ def time_dimension(spark: SparkSession) -> DataFrame:
 
 def category_dimension(spark: SparkSession) -> DataFrame:
     rows = [(sk, *row) for sk, row in enumerate(codes.CATEGORY_SEED, start=1)]
-    return spark.createDataFrame(
+    return inline_table(
+        spark,
+        "category_sk, category_key, category_raw, icon_category_id, category_label_en, category_label_ar, "
+        "category_group, severity_level, severity_rank, causes_road_closure",
         rows,
-        "category_sk int, category_key string, category_raw string, icon_category_id int, "
-        "category_label_en string, category_label_ar string, category_group string, "
-        "severity_level string, severity_rank int, causes_road_closure boolean",
     )
 
 
 def location_dimension(spark: SparkSession) -> DataFrame:
     rows = [(sk, *row) for sk, row in enumerate(codes.LOCATION_SEED, start=1)]
-    seed = spark.createDataFrame(
-        rows,
-        "location_sk long, location_key string, location_name string, governorate string, "
-        "area_zone string, frc string, lat double, lon double",
+    seed = inline_table(
+        spark, "location_sk, location_key, location_name, governorate, area_zone, frc, lat, lon", rows
     )
     return seed.select(
-        "location_sk",
+        F.col("location_sk").cast("long").alias("location_sk"),
         "location_key",
         F.lit(1).alias("version_number"),
         "location_name",
