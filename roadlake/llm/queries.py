@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import outliers
+from roadlake.llm import mixing, mixing_sql, outliers, sharding
 from roadlake.llm.tables import table
 from roadlake.session import configure
 
@@ -29,3 +29,18 @@ def query(build: Query) -> Query:
 def op6_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, hard rules and outlier verdict of every document."""
     return outliers.outlier_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from each document."""
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_mixing"] = mixing_sql.OP8
+
+
+@query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, shards near equal in bytes."""
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
