@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import mixing, mixing_sql, outliers, sharding
+from roadlake.llm import contamination, mixing, mixing_sql, outliers, sharding
 from roadlake.llm.tables import table
 from roadlake.session import configure
 
@@ -44,3 +44,9 @@ ORACLES["op8_mixing"] = mixing_sql.OP8
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, shards near equal in bytes."""
     return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items found."""
+    return contamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
