@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import contamination, mixing, mixing_sql, outliers, sharding
+from roadlake.llm import contamination, mixing, mixing_sql, neardup, outliers, sharding
 from roadlake.llm.tables import table
 from roadlake.session import configure
 
@@ -50,3 +50,9 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside benchmark windows, and the items found."""
     return contamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
