@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import outliers
+from roadlake.llm import contamination, mixing, neardup, outliers, sharding
 from roadlake.llm.tables import stored, table
 from roadlake.session import configure
 
@@ -14,8 +14,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return outliers.filter_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component stays: the one with the smallest id."""
+    return neardup.keep_one_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages make up a twentieth or more go."""
+    return contamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's share of the mix takes them."""
+    return mixing.mix_documents(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and slot."""
+    return sharding.shard_documents(docs, prefix="out_").withColumnsRenamed(
+        {"out_size": "size", "out_shard": "shard", "out_slot": "slot"}
+    )
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("shard", shard),
 ]
 
 # Fitted scatters, minwise trees and refined probes have no SQL form; tests compare by brute force.
