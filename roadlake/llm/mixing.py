@@ -19,6 +19,8 @@ rows: nothing is taken; other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -93,37 +95,40 @@ def apportion(rows: DataFrame, seats: str, share: str, group: list[str], key: li
     return kept.unionByName(moved).groupBy(*names).agg(F.max_by(out, "_p").cast("bigint").alias(out))
 
 
-def quotas(sized: DataFrame, limit: int = LIMIT, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
+def shard_count(sized: DataFrame) -> int:
+    """About sqrt(words) / 16: both the shards of a source and the documents of a shard stay few."""
+    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return max(1, math.ceil(math.sqrt(total) / 16))
+
+
+def quotas(sized: DataFrame, shards: int, limit: int = LIMIT, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
     """source, shard, source_size, target, cell (words of the shard), quota (words taken from it)."""
     aims = targets(sized, limit, weights).withColumn("_seats", F.floor(F.col("total") / block + 0.5).cast("bigint"))
     aims = aims.withColumnRenamed("_seats", "seats")
     name = F.col("source").asc_nulls_last()
     aims = apportion(aims, "seats", "target", [], [name], "blocks").drop("seats")
-    shards = F.greatest(F.ceil(F.sqrt(F.col("total").cast("double")) / 16), F.lit(1)).cast("bigint")
-    aims = aims.select("source", "source_size", "target", "blocks", shards.alias("shards"))
-    cells = sized.alias("a").join(F.broadcast(aims.agg(F.max("shards").alias("shards"))).alias("b")).select(
-        "source", "size", shard_of(F.col("place"), F.col("shards")).alias("shard")
-    )
+    cells = sized.select("source", "size", shard_of(F.col("place"), shards).alias("shard"))
     cells = cells.groupBy("source", "shard").agg(F.sum("size").alias("cell"))
     cells = cells.alias("c").join(aims.alias("a"), F.col("c.source").eqNullSafe(F.col("a.source"))).select(
-        "c.source", "shard", "cell", "source_size", "target", "blocks", "shards"
+        "c.source", "shard", "cell", "source_size", "target", "blocks"
     )
     cells = apportion(cells, "blocks", "cell", ["source"], [F.col("shard")], "seats")
     quota = F.least(F.col("seats") * block, limit * F.col("cell"))
-    return cells.select("source", "shard", "shards", "source_size", "target", "cell", quota.alias("quota"))
+    return cells.select("source", "shard", "source_size", "target", "cell", quota.alias("quota"))
 
 
-def shard_of(place: Column, shards: Column) -> Column:
+def shard_of(place: Column, shards: int) -> Column:
     return F.conv(F.substring(place, 1, 8), 16, 10).cast("bigint") % shards
 
 
 def mix(sized: DataFrame, limit: int = LIMIT, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
     """The sized rows (see `sizes`; other columns stay) with source_size, target and taken words."""
-    plan = quotas(sized.select("source", "size", "place"), limit, weights, block)
+    narrow = sized.select("source", "size", "place")
+    shards = shard_count(narrow)
+    plan = quotas(narrow, shards, limit, weights, block)
     q, taken_q = free_name(sized, "_quota"), free_name(sized, "_shard")
     plan = stored(plan, "quotas")
-    shards = F.broadcast(plan.agg(F.max("shards").alias("shards")))
-    rows = sized.join(shards).withColumn(taken_q, shard_of(F.col("place"), F.col("shards"))).drop("shards")
+    rows = sized.withColumn(taken_q, shard_of(F.col("place"), shards))
     joined = rows.alias("r").join(
         plan.select(F.col("source").alias(q + "s"), F.col("shard").alias(q + "h"), "source_size", "target", "cell", "quota").alias("p"),
         F.col("r.source").eqNullSafe(F.col(q + "s")) & (F.col(taken_q) == F.col(q + "h")),

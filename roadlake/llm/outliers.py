@@ -160,88 +160,87 @@ def _moments(x: Column) -> list[Column]:
     ]
 
 
-def fit(rows: DataFrame, group: list[str], feature: str = "x") -> DataFrame:
-    """One model per group (null is a group): columns of group, rows, mu, inv, logdet, scale."""
-    x = F.col(feature)
-    same = lambda a, b: [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group] or [F.lit(True)]  # noqa: E731,ARG005
-    middle = rows.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("rows"),
+def fit(sound: DataFrame) -> DataFrame:
+    """Models of every language and source, every language, and all rows together: columns
+    level, lang, source, rows, mu, inv, scale. `sound` has lang, source and features x."""
+    keys = ["level", "lang", "source"]
+    own = F.struct(F.lit(0).alias("level"), "lang", "source")
+    of_lang = F.struct(F.lit(1).alias("level"), "lang", F.lit(None).cast("string").alias("source"))
+    of_all = F.struct(F.lit(2).alias("level"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"))
+    rows = sound.select(F.explode(F.array(own, of_lang, of_all)).alias("k"), "x").select("k.*", "x")
+    x = F.col("x")
+
+    def paired(left: DataFrame, right: DataFrame, *more: str) -> DataFrame:
+        right = right.withColumnsRenamed({k: f"_{k}" for k in (*keys, *more)})
+        on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*keys, *more)]
+        return left.join(right, on).drop(*[f"_{k}" for k in (*keys, *more)])
+
+    middle = rows.groupBy(*keys).agg(
         *[F.percentile_approx(x[i], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}") for i in range(P)],
         *_moments(x),
     )
     spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + FLOORS[i] ** 2 for i in range(P)]
-    quartile = F.struct(
+    quartiles = F.struct(
+        F.lit(0).alias("start"),
         F.array(*[F.col(f"q{i}")[1] for i in range(P)]).alias("mu"),
         F.array(*[1 / spread[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P)]).alias("inv"),
     )
-    moment = _solve("n", "sums", "products")
-    both = F.array(
-        F.struct(F.lit(0).alias("start"), quartile.mu.alias("mu"), quartile.inv.alias("inv")),
-        F.struct(F.lit(1).alias("start"), moment.mu.alias("mu"), moment.inv.alias("inv")),
+    moments = F.struct(F.lit(1).alias("start"), F.col("m.mu").alias("mu"), F.col("m.inv").alias("inv"))
+    both = middle.withColumn("m", _solve("n", "sums", "products")).select(
+        *keys, F.col("n").alias("rows"), F.explode(F.array(quartiles, moments)).alias("s")
     )
-    models = middle.select(*group, "rows", F.explode(both).alias("m")).select(*group, "rows", "m.*").checkpoint()
-    for step in range(STEPS + 1):
-        measured = rows.alias("a").join(models.alias("b"), same("a", "b")).select(
-            *[F.col(f"a.{g}") for g in group], "rows", "start", x.alias("x"), distance(x, F.col("mu"), F.col("inv")).alias("d"),
-        )
-        bound = measured.groupBy(*group, "start").agg(
-            F.percentile_approx("d", F.array(F.lit(KEPT_SHARE), F.lit(0.5)), 1000).alias("near")
-        )
-        if step == STEPS:
-            break
-        bound = bound.checkpoint()
-        near = measured.alias("a").join(bound.alias("b"), [*same("a", "b"), F.col("a.start") == F.col("b.start")])
-        near = near.where(F.col("d") <= F.col("near")[0]).groupBy(*[F.col(f"a.{g}") for g in group], F.col("a.start"), "rows")
-        solved = near.agg(*_moments(F.col("x"))).withColumn("m", _solve("n", "sums", "products"))
-        models = solved.select(*group, "rows", "start", "m.*").checkpoint()
+    models = stored(both.select(*keys, "rows", "s.*"), "models")
+    for _ in range(STEPS):
+        measured = paired(rows, models).select(*keys, "rows", "start", "x", distance(x, F.col("mu"), F.col("inv")).alias("d"))
+        bound = stored(measured.groupBy(*keys, "start").agg(F.percentile_approx("d", F.lit(KEPT_SHARE), 1000).alias("near")), "bounds")
+        near = paired(measured, bound, "start").where("d <= near").groupBy(*keys, "start", "rows").agg(*_moments(x))
+        models = stored(near.withColumn("m", _solve("n", "sums", "products")).select(*keys, "rows", "start", "m.*"), "models")
+    best = models.groupBy(*keys).agg(F.min_by(F.struct("rows", "mu", "inv"), F.struct("logdet", "start")).alias("m")).select(*keys, "m.*")
+    best = stored(best, "models")
     # Median distance of normal rows: a consistent scale for the scatter of the nearest rows.
-    scaled = models.alias("a").join(bound.alias("b"), [*same("a", "b"), F.col("a.start") == F.col("b.start")])
-    best = scaled.groupBy(*[F.col(f"a.{g}").alias(g) for g in group]).agg(
-        F.min_by(F.struct("rows", "mu", "inv", (F.col("near")[1] / chi_square_bound(0.5)).alias("scale")), F.struct("logdet", F.col("a.start"))).alias("m")
-    )
-    return best.select(*group, "m.*").withColumn("scale", F.greatest("scale", F.lit(1.0))).checkpoint()
-
-
-def judge(measured: DataFrame, stats: str, lang: str, source: str, verdict: str) -> DataFrame:
-    """Adds the verdict (true: keep) to rows that carry the statistics struct; models are
-    fitted on the rows that pass the hard rules. `measured` is read several times: store it."""
-    s = column(stats)
-    sound = measured.where(~base_failed(s)).select(column(lang).alias("lang"), column(source).alias("source"), features(s).alias("x"))
-    levels = [fit(sound, ["lang", "source"]), fit(sound, ["lang"]), fit(sound, [])]
-    return apply_models(measured, levels, stats, lang, source, verdict)
+    measured = paired(rows, best).select(*keys, distance(x, F.col("mu"), F.col("inv")).alias("d"))
+    middle = measured.groupBy(*keys).agg(F.percentile_approx("d", F.lit(0.5), 1000).alias("middle"))
+    scale = F.greatest(F.col("middle") / chi_square_bound(0.5), F.lit(1.0))
+    return stored(paired(best, middle).select(*keys, "rows", "mu", "inv", scale.alias("scale")), "models")
 
 
-def apply_models(rows: DataFrame, levels: list[DataFrame], stats: str, lang: str, source: str, verdict: str) -> DataFrame:
+def judge(rows: DataFrame, models: DataFrame, stats: str, verdict: str) -> DataFrame:
+    """Adds the verdict (true: keep) to rows that carry lang, source and the statistics struct."""
     own = free_name(rows, "_model")
-    keys = {"lang": lang, "source": source}
-    for k, level in enumerate(levels):
-        names = [c for c in level.columns if c in keys]
-        model = level.where((F.col("rows") >= MIN_ROWS) | F.lit(not names)).select(
-            *[F.col(c).alias(f"{own}{k}{c}") for c in names], F.struct("mu", "inv", "scale").alias(f"{own}{k}")
+    for level, names in enumerate((["lang", "source"], ["lang"])):
+        model = models.where((F.col("level") == level) & (F.col("rows") >= MIN_ROWS)).select(
+            *[F.col(c).alias(f"{own}{level}{c}") for c in names], F.struct("mu", "inv", "scale").alias(f"{own}{level}")
         )
-        on = [column(keys[c]).eqNullSafe(F.col(f"{own}{k}{c}")) for c in names]
-        rows = rows.join(model if names else F.broadcast(model), on or F.lit(True), "left").drop(*[f"{own}{k}{c}" for c in names])
-    model = F.coalesce(*[F.col(f"{own}{k}") for k in range(len(levels))])
+        on = [column(c).eqNullSafe(F.col(f"{own}{level}{c}")) for c in names]
+        rows = rows.join(model, on, "left").drop(*[f"{own}{level}{c}" for c in names])
+    overall = models.where("level = 2").first()  # one row at most
+    if overall is None:
+        return rows.withColumn(verdict, ~base_failed(column(stats))).drop(own + "0", own + "1")
+    whole = F.struct(
+        F.array(*map(F.lit, overall.mu)).alias("mu"), F.array(*map(F.lit, overall.inv)).alias("inv"), F.lit(overall.scale).alias("scale")
+    )
+    model = F.coalesce(F.col(f"{own}0"), F.col(f"{own}1"), whole)
     far = distance(features(column(stats)), model.mu, model.inv) / model.scale > chi_square_bound()
     rows = rows.withColumn(verdict, ~base_failed(column(stats)) & ~F.coalesce(far, F.lit(False)))
-    return rows.drop(*[f"{own}{k}" for k in range(len(levels))])
+    return rows.drop(own + "0", own + "1")
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns only."""
     stats, verdict = free_name(docs, "_stats"), free_name(docs, "_kept")
     narrow = docs.select("lang", "source", text_statistics("text").alias("stats"))
+    models = fit(_sound(narrow))
+    rows = judge(docs.withColumn(stats, text_statistics("text")), models, stats, verdict)
+    return rows.where(column(verdict)).select(*[column(c) for c in docs.columns])
+
+
+def _sound(rows: DataFrame) -> DataFrame:
     s = F.col("stats")
-    sound = stored(narrow.where(~base_failed(s)).select("lang", "source", features(s).alias("x")), "features")
-    levels = [fit(sound, ["lang", "source"]), fit(sound, ["lang"]), fit(sound, [])]
-    measured = docs.withColumn(stats, text_statistics("text"))
-    return apply_models(measured, levels, stats, "lang", "source", verdict).where(column(verdict)).select(
-        *[column(c) for c in docs.columns]
-    )
+    return stored(rows.where(~base_failed(s)).select(F.col("lang").cast("string"), F.col("source").cast("string"), features(s).alias("x")), "features")
 
 
 def outlier_report(docs: DataFrame) -> DataFrame:
     """Statistics and verdict of every document."""
     measured = stored(docs.select("doc_id", "lang", "source", text_statistics("text").alias("stats")), "statistics")
-    judged = judge(measured, "stats", "lang", "source", "kept")
+    judged = judge(measured, fit(_sound(measured)), "stats", "kept")
     return judged.select("doc_id", "stats.*", base_failed(F.col("stats")).alias("base_failed"), "kept")
