@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import contamination, mixing, mixing_sql, neardup, outliers, sharding
+from roadlake.llm import contamination, mixing, mixing_sql, neardup, outliers, sharding, suffixdup
 from roadlake.llm.tables import table
 from roadlake.session import configure
 
@@ -56,3 +56,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document inside 100-byte strings that also start earlier."""
+    return suffixdup.repeat_report(table(spark, sf_dir, "documents"))
