@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import contamination, mixing, mixing_sql, neardup, outliers, sharding, suffixdup
+from roadlake.llm import chat, contamination, mixing, mixing_sql, neardup, outliers, sharding, suffixdup
 from roadlake.llm.tables import table
 from roadlake.session import configure
 
@@ -62,3 +62,12 @@ def op1_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document inside 100-byte strings that also start earlier."""
     return suffixdup.repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from the prefix tree's stream."""
+    return chat.chat_report(chat.with_hard_conversation(table(spark, sf_dir, "conversations")))
+
+
+ORACLES["op3_chat_tree"] = chat.OP3
