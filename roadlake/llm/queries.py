@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlake.llm import chat, contamination, mixing, mixing_sql, neardup, outliers, sharding, suffixdup
+from roadlake.llm import (
+    chat,
+    contamination,
+    linktrust,
+    mixing,
+    mixing_sql,
+    neardup,
+    outliers,
+    sharding,
+    suffixdup,
+    toxicity,
+)
 from roadlake.llm.tables import table
 from roadlake.session import configure
 
@@ -71,3 +82,15 @@ def op3_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_chat_tree"] = chat.OP3
+
+
+@query
+def op7_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return linktrust.judge_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
