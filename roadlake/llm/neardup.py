@@ -2,17 +2,19 @@
 
 A document's set is its distinct five-word shingles, as 64-bit hashes over the whole text.
 Documents with equal sets (same size and two 64-bit fingerprints) share a representative.
-Each representative keeps `POSITIONS` minwise tokens. Independent trees branch it
+Each representative keeps `POSITIONS` minwise tokens and a bit of each of `BITS` more.
+Independent trees branch it
 recursively: a node selects one token position, with chance 1 / SIMILARITY - 1 a second one,
 and passes each document on by its token there, so a pair as similar as the threshold
 expects one shared path per level. Nodes of at most `SMALL` documents are compared exhaustively; larger ones branch
 on, down to `DEPTH`, where they are cut into chunks that share a few leaders. All pairs a
-node finds plausible (minwise estimate of at least `PLAUSIBLE`, sizes within the threshold)
-are confirmed on the full shingle sets recomputed from the texts.
+node finds plausible (estimate from the bits of at least `PLAUSIBLE`, sizes within the
+threshold) are confirmed on the full shingle sets recomputed from the texts.
 
 Large groups of copies never give all their pairs. A node first proposes a spanning forest
-of its plausible pairs; after confirmation only plausible pairs that still lie in different
-components are compared, in blocks if the node was cut. A pair inside one component needs no
+of its plausible pairs. After confirmation, members that still have a plausible partner in
+another component meet again with their full sets, in blocks if the node was cut, and each
+block gives a spanning forest of its links. A pair inside one component needs no
 comparison, so no link between components is lost.
 
 Defined results: null, empty or blank text has an empty set and is linked with nothing; with
@@ -38,19 +40,20 @@ from roadlake.llm.textbytes import NOT_SPACE, constants, hashes, mix, slices, wo
 SIMILARITY = (85, 100)  # links: 100 * intersection >= 85 * union
 WORDS = 5
 POSITIONS = 128
+BITS = 256
 TREES = 10
 SMALL = 256
 FEW = 8  # nodes up to this size propose all plausible pairs at once
 DEPTH = 6
 LEADERS = 8
-# The estimate of a pair at the threshold has a standard deviation of 0.032.
+# The estimate of a pair at the threshold has a standard deviation of 0.033.
 PLAUSIBLE = 0.70
 SECOND = 1 / 0.85 - 1
 
 _SHINGLE = constants(WORDS, 5)
 _SHORT = constants(WORDS, 50)
-_XOR = (constants(POSITIONS, 1) >> np.uint64(32)).astype(np.uint32)[:, None]
-_ODD = (constants(POSITIONS, 2) >> np.uint64(31)).astype(np.uint32)[:, None] | np.uint32(1)
+_XOR = (constants(BITS, 1) >> np.uint64(32)).astype(np.uint32)[:, None]
+_ODD = (constants(BITS, 2) >> np.uint64(31)).astype(np.uint32)[:, None] | np.uint32(1)
 _ROOTS = constants(TREES, 3)
 SKETCH = T.StructType(
     [
@@ -58,6 +61,7 @@ SKETCH = T.StructType(
         T.StructField("fa", T.LongType()),
         T.StructField("fb", T.LongType()),
         T.StructField("sig", T.BinaryType()),
+        T.StructField("bits", T.BinaryType()),
     ]
 )
 
@@ -81,24 +85,26 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
-def minwise(shingles: np.ndarray) -> np.ndarray:
-    """16 bits of the minwise token at each position."""
+def minwise(shingles: np.ndarray) -> tuple[bytes, bytes]:
+    """16 bits of the minwise token at each of POSITIONS, one bit of it at each of BITS."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(POSITIONS, np.iinfo(np.uint32).max, np.uint32)
-    for at in range(0, len(x), 2048):
-        np.minimum(least, ((x[at : at + 2048] ^ _XOR) * _ODD).min(axis=1), out=least)
-    return ((least ^ (least >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16)).astype(np.uint16)
+    least = np.full(BITS, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(x), 1024):
+        np.minimum(least, ((x[at : at + 1024] ^ _XOR) * _ODD).min(axis=1), out=least)
+    mixed = (least ^ (least >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    mixed ^= mixed >> np.uint32(13)
+    return (mixed[:POSITIONS] >> np.uint32(16)).astype(np.uint16).tobytes(), np.packbits(mixed & 1 == 1).tobytes()
 
 
 @arrow_udf(SKETCH)
 def sketch(texts: pa.Array) -> pa.Array:
-    n, fa, fb, sig = [], [], [], []
+    n, fa, fb, least = [], [], [], []
     for u in shingle_sets(texts):
         n.append(len(u))
         fa.append(mix(u).sum().view(np.int64) if len(u) else 0)
         fb.append(mix(u ^ _SHINGLE[0]).sum().view(np.int64) if len(u) else 0)
-        sig.append(minwise(u).tobytes() if len(u) else b"")
-    arrays = [pa.array(np.array(c, np.int64)) for c in (n, fa, fb)] + [pa.array(sig, pa.binary())]
+        least.append(minwise(u) if len(u) else (b"", b""))
+    arrays = [pa.array(np.array(c, np.int64)) for c in (n, fa, fb)] + [pa.array([m[k] for m in least], pa.binary()) for k in range(2)]
     return pa.StructArray.from_arrays(arrays, names=SKETCH.names)
 
 
@@ -112,11 +118,18 @@ def linked(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(found, pa.bool_())
 
 
+@arrow_udf(T.BinaryType())
+def packed_set(texts: pa.Array) -> pa.Array:
+    return pa.array([u.tobytes() for u in shingle_sets(texts)], pa.binary())
+
+
+def _fixed(batch: pa.RecordBatch, name: str, kind: type, width: int) -> np.ndarray:
+    """A binary column of equal lengths as a matrix."""
+    return np.frombuffer(b"".join(batch.column(name).to_pylist()), kind).reshape(-1, width)
+
+
 def _signatures(batch: pa.RecordBatch) -> np.ndarray:
-    parts = batch.column("sig").cast(pa.binary())
-    data = np.frombuffer(parts.buffers()[2] or b"", np.uint16)
-    first = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset] // 2 if len(parts) else 0
-    return data[first : first + len(parts) * POSITIONS].reshape(-1, POSITIONS)
+    return _fixed(batch, "sig", np.uint16, POSITIONS)
 
 
 def _children(path: np.ndarray, sig: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -150,14 +163,15 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(rep[at])], names=["node", "rep"])
 
 
-def _plausible(n: np.ndarray, sig: np.ndarray) -> np.ndarray:
-    """Minwise estimates of all pairs of a node; 0 where sizes or the estimate rule a link out."""
-    estimate = np.zeros((len(n), len(n)), np.float32)
-    for i in range(len(n) - 1):
-        estimate[i, i + 1 :] = (sig[i] == sig[i + 1 :]).mean(axis=1)
-    estimate += estimate.T
+def _plausible(n: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Estimated similarities of all pairs of a node; 0 where sizes or the estimate rule a link out."""
+    apart = np.zeros((len(n), len(n)), np.int32)
+    for k in range(bits.shape[1]):
+        apart += np.bitwise_count(bits[:, k, None] ^ bits[:, k])
+    estimate = 1 - 2 * apart.astype(np.float32) / BITS
     low, high = np.minimum(n[:, None], n), np.maximum(n[:, None], n)
     estimate[(SIMILARITY[1] * low < SIMILARITY[0] * high) | (estimate < PLAUSIBLE)] = 0
+    np.fill_diagonal(estimate, 0)
     return estimate
 
 
@@ -192,33 +206,75 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
-def _compare(again: bool):
-    """Proposes pairs of each node: the first time a forest (all pairs of few), then what still
-    lies in different components."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[np.ndarray] = []
-        for rows in _nodes(batches):
-            batch = rows.combine_chunks().to_batches()[0]
-            rep, n = batch.column("rep").to_numpy(), batch.column("n").to_numpy()
-            estimate = _plausible(n, _signatures(batch))
-            if again:
-                label, side = batch.column("label").to_numpy(), batch.column("side").to_numpy()
-                estimate[label[:, None] == label] = 0
-                estimate[(side[:, None] == 1) & (side == 1)] = 0  # compared in another block
-            if not again and len(rep) > FEW:
-                i, j = _forest(estimate)
-            else:
-                i, j = np.nonzero(np.triu(estimate))
-            if len(i):
-                pending.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]))
-            if sum(p.shape[1] for p in pending) > 10000:
-                yield _pairs(pending)
-                pending = []
-        if pending:
+def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of plausible pairs of each node; all plausible pairs of few."""
+    pending: list[np.ndarray] = []
+    for rows in _nodes(batches):
+        batch = rows.combine_chunks().to_batches()[0]
+        rep, n = batch.column("rep").to_numpy(), batch.column("n").to_numpy()
+        estimate = _plausible(n, _fixed(batch, "bits", np.uint64, BITS // 64))
+        if not estimate.any():
+            continue
+        i, j = _forest(estimate) if len(rep) > FEW else np.nonzero(np.triu(estimate))
+        pending.append(np.stack([np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]))
+        if sum(p.shape[1] for p in pending) > 10000:
             yield _pairs(pending)
-
-    return run
+            pending = []
+    if pending:
+        yield _pairs(pending)
+
+
+def _apart(label: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Pairs of different components, but for pairs that meet in another block."""
+    return (label[:, None] != label) & ~((side[:, None] == 1) & (side == 1))
+
+
+def _suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of a node that have a plausible partner in another component."""
+    for rows in _nodes(batches):
+        batch = rows.combine_chunks().to_batches()[0]
+        label, side = batch.column("label").to_numpy(), batch.column("side").to_numpy()
+        estimate = _plausible(batch.column("n").to_numpy(), _fixed(batch, "bits", np.uint64, BITS // 64))
+        open_ones = ((estimate > 0) & _apart(label, side)).any(axis=1)
+        if open_ones.any():
+            yield batch.select(["node", "rep", "label", "side"]).filter(pa.array(open_ones))
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components inside a node, from full sets: a spanning forest of them."""
+    for rows in _nodes(batches):
+        rep, label, side = (rows.column(c).to_numpy() for c in ("rep", "label", "side"))
+        sets = [np.frombuffer(b, np.uint64) for b in rows.column("shingles").to_pylist()]
+        n = np.array([len(u) for u in sets])
+        _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), n)
+        shared = count[column] > 1
+        row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, [low, low + 4096])
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[row[a:b], column[a:b] - low] = 1
+            common += part @ part.T
+        close = SIMILARITY[1] * common >= SIMILARITY[0] * (n[:, None] + n - common)
+        i, j = np.nonzero(np.triu((close & _apart(label, side)) | (close & _apart(label, side)).T))
+        root = {x: x for x in label.tolist()}
+
+        def top(x: int, root: dict[int, int] = root) -> int:
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        found = []
+        for a, b in zip(i.tolist(), j.tolist(), strict=True):
+            u, v = top(int(label[a])), top(int(label[b]))
+            if u != v:
+                root[max(u, v)] = min(u, v)
+                found.append(sorted((int(rep[a]), int(rep[b]))))
+        if found:
+            yield _pairs([np.array(found, np.int64).T])
 
 
 def _pairs(parts: list[np.ndarray]) -> pa.RecordBatch:
@@ -263,9 +319,8 @@ def tree_nodes(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stored(nodes, "nodes"), chunks
 
 
-def _proposed(nodes: DataFrame, again: bool) -> DataFrame:
-    in_order = nodes.repartition("node").sortWithinPartitions("node")
-    return in_order.mapInArrow(_compare(again), "a long, b long").distinct()
+def _by_node(rows: DataFrame) -> DataFrame:
+    return rows.repartition("node").sortWithinPartitions("node")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -294,10 +349,10 @@ def components(links: DataFrame) -> DataFrame:
 
 def find_links(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Confirmed links between representatives that give the components, and their labels."""
-    narrow = reps.select("rep", "n", "sig")
+    narrow = reps.select("rep", "n", "bits")
     small, chunks = tree_nodes(reps)
     first = small.unionByName(chunks.select("node", "rep")).join(narrow, "rep")
-    links = _confirmed(_proposed(first, False), docs)
+    links = _confirmed(_by_node(first).mapInArrow(_propose, "a long, b long").distinct(), docs)
     labels = components(links)
 
     # Nodes above FEW that still hold several components.
@@ -325,11 +380,15 @@ def find_links(docs: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
         "whole", "rep", "label", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"), F.pmod(F.xxhash64("rep", F.lit(7)), "alls").alias("part"), F.lit(1).alias("side")
     )
     crossed = few.unionByName(rest).select(F.xxhash64("whole", "piece", "part").alias("node"), "rep", "label", "side")
-    again = stored(again.unionByName(crossed), "again")
+    again = _by_node(again.unionByName(crossed).join(narrow, "rep"))
+    member = "node long, rep long, label long, side int"
+    again = stored(again.select("node", "rep", "label", "side", "n", "bits").mapInArrow(_suspect, member), "again")
     if again.isEmpty():
         return links, labels
-    proposed = _proposed(again.join(narrow, "rep"), True).join(links, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirmed(proposed, docs)).distinct()
+    wanted = again.select("rep").distinct()
+    sets = docs.where(sieve(wanted, "rep")(F.col("doc_id"))).join(wanted, F.col("doc_id") == F.col("rep")).select("rep", packed_set("text").alias("shingles"))
+    met = _by_node(again.join(sets, "rep").select("node", "rep", "label", "side", "shingles")).mapInArrow(_meet, "a long, b long")
+    links = stored(links.unionByName(met).distinct(), "links")
     return links, components(links)
 
 
@@ -340,7 +399,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     able = sketched.where("n > 0 and doc_id is not null")
     classes = stored(able.groupBy("n", "fa", "fb").agg(F.min("doc_id").alias("rep")), "classes")
     reps = able.join(classes.select("n", "fa", F.col("rep").alias("doc_id")), ["n", "fa", "doc_id"])
-    reps = stored(reps.select(F.col("doc_id").alias("rep"), "n", "sig").dropDuplicates(["rep"]), "reps")
+    reps = stored(reps.select(F.col("doc_id").alias("rep"), "n", "sig", "bits").dropDuplicates(["rep"]), "reps")
     _, labels = find_links(narrow, reps)
     # An id that stands for several texts joins their components.
     of_class = classes.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left")
