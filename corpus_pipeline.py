@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlake.llm import contamination, mixing, neardup, outliers, sharding
-from roadlake.llm.tables import stored, table
-from roadlake.session import configure
+from roadlake.llm.tables import prepared, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the hard rules or are outliers in their language and source go."""
+    prepared(spark)
     return outliers.filter_documents(docs)
 
 
@@ -49,7 +49,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(prepared(spark), sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -14,12 +14,12 @@ from roadlake.llm import (
     mixing_sql,
     neardup,
     outliers,
+    perplexity,
     sharding,
     suffixdup,
     toxicity,
 )
-from roadlake.llm.tables import table
-from roadlake.session import configure
+from roadlake.llm.tables import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +29,7 @@ ORACLES: dict[str, str] = {}
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(configure(spark), sf_dir)
+        return build(prepared(spark), sf_dir)
 
     run.__name__, run.__doc__ = build.__name__, build.__doc__
     QUERIES[build.__name__] = run
@@ -94,3 +94,9 @@ def op7_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of trusted text, and whether it is kept."""
+    return perplexity.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

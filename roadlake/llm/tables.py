@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from roadlake.session import fresh_folder
+from roadlake.session import configure, fresh_folder
+
+
+# Texts per Arrow batch: even the longest texts then fit a Python worker side by side.
+BATCH_ROWS = "1000"
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return configure(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
