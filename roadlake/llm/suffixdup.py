@@ -115,53 +115,77 @@ def _unpack(blob: bytes, n: int, types: list) -> list[np.ndarray]:
     return out
 
 
-def _marks(doc: np.ndarray, kind: int, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    """One row per document: packed (start, end) pairs."""
-    order = np.argsort(doc, kind="stable")
-    doc = doc[order]
-    pairs = np.stack([start[order], end[order]], axis=1).astype(np.int64)
-    cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, int)
-    blobs = [p.tobytes() for p in np.split(pairs, cuts[1:])] if len(cuts) else []
+_MARK = "dest long, kind int, m long, windows long, pairs binary"
+_SENT = f"bucket long, n long, blob binary, {_MARK}"
+_PAIRS = [np.int64, np.int64, np.int32]
+_ANCHOR = [np.uint64, np.uint64, np.int64, np.int64, np.int8, np.int8, np.bool_]
+_SUFFIX = [np.uint64, np.uint64, np.int64, np.int64]
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _marks(doc: np.ndarray, kind: int, start: np.ndarray, end: np.ndarray, groups: int) -> pa.RecordBatch:
+    """Packed (document, start, length), a row per group of documents."""
+    dest = (mix(doc.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
+    order = np.lexsort((start, doc, dest))
+    doc, start, length = doc[order], start[order], (end - start)[order].astype(np.int32)
+    cuts = np.searchsorted(dest[order], np.arange(groups + 1))
+    full = np.flatnonzero(np.diff(cuts))
+    parts = [slice(a, b) for a, b in zip(cuts[full].tolist(), cuts[full + 1].tolist(), strict=True)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc[cuts], pa.int64()), pa.array(np.full(len(cuts), kind, np.int32)), pa.array(blobs, pa.binary())], names=["id", "kind", "pairs"]
+        [
+            pa.array(full, pa.int64()),
+            pa.array(np.full(len(full), kind, np.int32)),
+            pa.array([p.stop - p.start for p in parts], pa.int64()),
+            pa.array([int(length[p].sum()) for p in parts], pa.int64()),
+            pa.array([_pack({"d": doc[p], "s": start[p], "l": length[p]}) for p in parts], pa.binary()),
+        ],
+        names=_names(_MARK),
     )
 
 
-_MARK = "id long, kind int, pairs binary"
-_SENT = "bucket long, n long, blob binary, id long, kind int, pairs binary"
-_ANCHOR = [np.uint64, np.uint64, np.int64, np.int64, np.int8, np.int8, np.bool_]
-_SUFFIX = [np.uint64, np.uint64, np.int64, np.int64]
+def _unpack_marks(table: pa.Table) -> pa.Table:
+    """One row per document: (start, end) pairs."""
+    parts = [_unpack(b, n, _PAIRS) for b, n in zip(table.column("pairs").to_pylist(), table.column("m").to_pylist(), strict=True)]
+    doc, start, length = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((start, doc))
+    doc, pairs = doc[order], np.stack([start[order], start[order] + length[order]], axis=1)
+    cuts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    return pa.table({"id": pa.array(doc[cuts], pa.int64()), "pairs": pa.array([p.tobytes() for p in np.split(pairs, cuts[1:])], pa.binary())})
+
+
+def _per_document(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("dest").applyInArrow(_unpack_marks, "id long, pairs binary")
 
 
 def _sent(marks: list[pa.RecordBatch], packed: list[tuple[int, int, bytes]], spread: int) -> Iterator[pa.RecordBatch]:
     """Rows for buckets; marks a task has settled itself go along to any bucket."""
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
     if packed:
         b, n, blob = zip(*packed, strict=True)
-        none = [pa.nulls(len(b), t) for t in (pa.int64(), pa.int32(), pa.binary())]
+        none = [pa.nulls(len(b), t) for t in kinds]
         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(blob, pa.binary()), *none], names=_names(_SENT))
     for m in marks:
         if len(m):
-            bucket = (m.column("id").to_numpy() % spread).astype(np.int64)
+            bucket = m.column("dest").to_numpy() % spread
             none = [pa.nulls(len(m), t) for t in (pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(bucket), *none, *m.columns], names=_names(_SENT))
 
 
-def _names(schema: str) -> list[str]:
-    return [c.split()[0] for c in schema.split(", ")]
-
-
 def _settled_marks(table: pa.Table) -> pa.Table:
-    return table.select(_names(_MARK)).filter(pa.compute.is_valid(table.column("id")))
+    return table.select(_names(_MARK)).filter(pa.compute.is_valid(table.column("dest")))
 
 
-def _find_anchors(buckets: int):
+def _find_anchors(buckets: int, groups: int):
     def settle(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, at, low, high, gram, around = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.lexsort((at, doc, around, gram))
         first = _first_of(order, gram, around)
         repeat = _earlier(doc, at, order, first)
         full = order[repeat]
-        marks = [_marks(doc[full], FULL, at[full] + low[full], at[full] + high[full] + LENGTH)]
+        marks = [_marks(doc[full], FULL, at[full] + low[full], at[full] + high[full] + LENGTH, groups)]
         order = order[~repeat]
         # Of a gram with several neighbourhoods here, all need a test; two go out as examples.
         start = _first_of(order, gram)
@@ -173,7 +197,7 @@ def _find_anchors(buckets: int):
         nth = nth - nth[start] if len(order) else nth
         many = kinds[start] > 1 if len(order) else np.zeros(0, bool)
         test = order[many]
-        marks.append(_marks(doc[test], TEST, at[test] + low[test], at[test] + high[test] + 1))
+        marks.append(_marks(doc[test], TEST, at[test] + low[test], at[test] + high[test] + 1, groups))
         go = ~many | ((nth < 2) & np.isin(np.arange(len(order)), heads))
         order, shadow = order[go], many[go]
         bucket = (gram[order] * np.uint64(buckets) >> np.uint64(48)).astype(np.int64) if buckets < 1 << 16 else (gram[order] % np.uint64(buckets)).astype(np.int64)
@@ -203,27 +227,30 @@ def _find_anchors(buckets: int):
     return run
 
 
-def _settle_anchors(table: pa.Table) -> pa.Table:
-    sent = table.filter(pa.compute.is_valid(table.column("n")))
-    found = [_settled_marks(table)]
-    if len(sent):
-        parts = [_unpack(b, n, _ANCHOR) for b, n in zip(sent.column("blob").to_pylist(), sent.column("n").to_pylist(), strict=True)]
-        gram, around, doc, at, low, high, shadow = (np.concatenate(c) for c in zip(*parts, strict=True))
-        low, high = low.astype(np.int64), high.astype(np.int64)
-        order = np.lexsort((at, doc, around, gram))
-        start, first = _first_of(order, gram), _first_of(order, gram, around)
-        repeat = _earlier(doc, at, order, first)
-        several = np.zeros(len(order), bool)
-        np.logical_or.at(several, start, first != start)
-        several = several[start]
-        # A repeated row of one document may share its first place: it is tested with it.
-        own = ~shadow[order]
-        full, test = order[own & repeat], order[own & ~repeat & several]
-        found.append(pa.Table.from_batches([
-            _marks(doc[full], FULL, at[full] + low[full], at[full] + high[full] + LENGTH),
-            _marks(doc[test], TEST, at[test] + low[test], at[test] + high[test] + 1),
-        ]))
-    return pa.concat_tables(found).combine_chunks()
+def _settle_anchors(groups: int):
+    def run(table: pa.Table) -> pa.Table:
+        sent = table.filter(pa.compute.is_valid(table.column("n")))
+        found = [_settled_marks(table)]
+        if len(sent):
+            parts = [_unpack(b, n, _ANCHOR) for b, n in zip(sent.column("blob").to_pylist(), sent.column("n").to_pylist(), strict=True)]
+            gram, around, doc, at, low, high, shadow = (np.concatenate(c) for c in zip(*parts, strict=True))
+            low, high = low.astype(np.int64), high.astype(np.int64)
+            order = np.lexsort((at, doc, around, gram))
+            start, first = _first_of(order, gram), _first_of(order, gram, around)
+            repeat = _earlier(doc, at, order, first)
+            several = np.zeros(len(order), bool)
+            np.logical_or.at(several, start, first != start)
+            several = several[start]
+            # A repeated row of one document may share its first place: it is tested with it.
+            own = ~shadow[order]
+            full, test = order[own & repeat], order[own & ~repeat & several]
+            found.append(pa.Table.from_batches([
+                _marks(doc[full], FULL, at[full] + low[full], at[full] + high[full] + LENGTH, groups),
+                _marks(doc[test], TEST, at[test] + low[test], at[test] + high[test] + 1, groups),
+            ]))
+        return pa.concat_tables(found).combine_chunks()
+
+    return run
 
 
 def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
@@ -232,12 +259,12 @@ def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
     for s in slices(batch.column("text"), SLICE):
         starts, docs = [], []
         for k in range(s.n):
-            for blob in pairs[s.first + k].as_py():
-                spans = np.frombuffer(blob, np.int64).reshape(-1, 2)
-                length = spans[:, 1] - spans[:, 0]
-                places = np.repeat(spans[:, 0] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
-                starts.append(places + s.bounds[k])
-                docs.append(np.full(len(places), k))
+            spans = np.frombuffer(pairs[s.first + k].as_py(), np.int64).reshape(-1, 2)
+            spans = spans[spans[:, 1] + LENGTH - 1 <= s.bounds[k + 1] - s.bounds[k]]  # not another text of the same id
+            length = spans[:, 1] - spans[:, 0]
+            places = np.repeat(spans[:, 0] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            starts.append(places + s.bounds[k])
+            docs.append(np.full(len(places), k))
         if starts:
             at, k = np.concatenate(starts), np.concatenate(docs)
             lead = s.data[at[:, None] + np.arange(8)].copy().view(">u8").ravel().astype(np.uint64)
@@ -254,7 +281,7 @@ def _bucket(lead: np.ndarray, rest: np.ndarray, splitters: tuple[np.ndarray, np.
     return low
 
 
-def _sort_out(splitters: tuple[np.ndarray, np.ndarray]):
+def _sort_out(splitters: tuple[np.ndarray, np.ndarray], groups: int):
     def settle(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, at, lead, rest = (np.concatenate(c) for c in zip(*parts, strict=True))
         order = np.lexsort((at, doc, rest, lead))
@@ -268,7 +295,7 @@ def _sort_out(splitters: tuple[np.ndarray, np.ndarray]):
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             o = order[cuts[b] : cuts[b + 1]]
             packed.append((b, len(o), _pack({"l": lead[o], "r": rest[o], "d": doc[o], "p": at[o]})))
-        yield from _sent([_marks(doc[gone], FULL, at[gone], at[gone] + LENGTH)], packed, len(splitters[0]) + 1)
+        yield from _sent([_marks(doc[gone], FULL, at[gone], at[gone] + LENGTH, groups)], packed, len(splitters[0]) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -285,16 +312,19 @@ def _sort_out(splitters: tuple[np.ndarray, np.ndarray]):
     return run
 
 
-def _settle_suffixes(table: pa.Table) -> pa.Table:
-    sent = table.filter(pa.compute.is_valid(table.column("n")))
-    found = [_settled_marks(table)]
-    if len(sent):
-        parts = [_unpack(b, n, _SUFFIX) for b, n in zip(sent.column("blob").to_pylist(), sent.column("n").to_pylist(), strict=True)]
-        lead, rest, doc, at = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((at, doc, rest, lead))
-        gone = order[_earlier(doc, at, order, _first_of(order, lead, rest))]
-        found.append(pa.Table.from_batches([_marks(doc[gone], FULL, at[gone], at[gone] + LENGTH)]))
-    return pa.concat_tables(found).combine_chunks()
+def _settle_suffixes(groups: int):
+    def run(table: pa.Table) -> pa.Table:
+        sent = table.filter(pa.compute.is_valid(table.column("n")))
+        found = [_settled_marks(table)]
+        if len(sent):
+            parts = [_unpack(b, n, _SUFFIX) for b, n in zip(sent.column("blob").to_pylist(), sent.column("n").to_pylist(), strict=True)]
+            lead, rest, doc, at = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((at, doc, rest, lead))
+            gone = order[_earlier(doc, at, order, _first_of(order, lead, rest))]
+            found.append(pa.Table.from_batches([_marks(doc[gone], FULL, at[gone], at[gone] + LENGTH, groups)]))
+        return pa.concat_tables(found).combine_chunks()
+
+    return run
 
 
 def _sample_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,22 +353,20 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text").where(F.octet_length("text") >= LENGTH).where("id is not null")
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET_BYTES))
-    sent = texts.mapInArrow(_find_anchors(buckets), _SENT)
-    marks = stored(sent.groupBy("bucket").applyInArrow(_settle_anchors, _MARK), "anchors")
-
-    tests = marks.where(F.col("kind") == TEST)
-    sizes = tests.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("pairs")), F.lit(0)), F.approx_count_distinct("id")).first()
-    full = marks.where(F.col("kind") == FULL).select("id", "pairs")
-    if not sizes[0]:
-        return full
-    grouped = tests.groupBy("id").agg(F.collect_list("pairs").alias("pairs"))
-    suffixes = sizes[1] // 16 * (SPREAD // 2)
-    one_in = max(1, sizes[2] // 2000)
-    sampled = stored(grouped.where(F.pmod(F.xxhash64("id"), F.lit(one_in)) == 0), "sample")
+    sent = texts.mapInArrow(_find_anchors(buckets, buckets), _SENT)
+    marks = stored(sent.groupBy("bucket").applyInArrow(_settle_anchors(buckets), _MARK), "anchors")
+
+    full = marks.where(F.col("kind") == FULL)
+    tests = stored(_per_document(marks.where(F.col("kind") == TEST)), "tests")
+    suffixes = marks.where(F.col("kind") == TEST).agg(F.sum("windows")).first()[0]
+    if not suffixes:
+        return _per_document(full)
+    one_in = max(1, tests.count() // 2000)
+    sampled = stored(tests.where(F.pmod(F.xxhash64("id"), F.lit(one_in)) == 0), "sample")
     splitters = _splitters(_with_text(texts, sampled), -(-suffixes // BUCKET_SUFFIXES))
-    sent = _with_text(texts, grouped).mapInArrow(_sort_out(splitters), _SENT)
-    hits = stored(sent.groupBy("bucket").applyInArrow(_settle_suffixes, _MARK), "suffixes")
-    return full.unionByName(hits.select("id", "pairs"))
+    sent = _with_text(texts, tests).mapInArrow(_sort_out(splitters, buckets), _SENT)
+    hits = stored(sent.groupBy("bucket").applyInArrow(_settle_suffixes(buckets), _MARK), "suffixes")
+    return _per_document(full.unionByName(hits))
 
 
 def _with_text(texts: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -351,13 +379,9 @@ def _cut(texts: pa.Array, pairs: pa.Array) -> pa.Array:
     for s in slices(texts, SLICE):
         for k in range(s.n):
             data = s.data[s.bounds[k] : s.bounds[k + 1]]
-            blobs = pairs[s.first + k].as_py() or []
-            depth = np.zeros(len(data) + 1, np.int64)
-            for blob in blobs:
-                both = np.frombuffer(blob, np.int64).reshape(-1, 2)
-                both = both[both[:, 1] <= len(data)]  # another text under the same id
-                np.add.at(depth, both[:, 0], 1)
-                np.add.at(depth, both[:, 1], -1)
+            both = np.frombuffer(pairs[s.first + k].as_py() or b"", np.int64).reshape(-1, 2)
+            both = both[both[:, 1] <= len(data)]  # not another text of the same id
+            depth = np.bincount(both[:, 0], minlength=len(data) + 1) - np.bincount(both[:, 1], minlength=len(data) + 1)
             gone = np.cumsum(depth)[:-1] > 0
             edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
             spans.append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
@@ -368,7 +392,7 @@ def _cut(texts: pa.Array, pairs: pa.Array) -> pa.Array:
 
 def remove_repeats(docs: DataFrame, name: str = "cut") -> DataFrame:
     """The rows with a struct of the removed byte spans and the remaining bytes."""
-    grouped = stored(repeated_spans(docs).groupBy("id").agg(F.collect_list("pairs").alias("pairs")), "spans")
+    grouped = stored(repeated_spans(docs), "spans")
     own = free_name(docs, "_spans")
     hit = sieve(grouped, "id")(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)))
     none = F.array().cast(T.ArrayType(SPAN))
