@@ -240,7 +240,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = stored(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "labels")
     texts = docs.select("doc_id", "text").where(sieve(known, "doc_id")(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))))
-    labelled = stored(texts.join(known, "doc_id"), "labelled")
+    # The same join at every size: a plan that broadcasts small labels only hides what large ones cost.
+    labelled = stored(texts.join(known.hint("shuffle_merge"), "doc_id"), "labelled")
     automaton = Automaton(learn_lexicon(labelled))
     features = with_features(automaton)
     sample = labelled.orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS) if labelled.count() > FIT_ROWS else labelled
