@@ -6,13 +6,13 @@ import argparse
 from datetime import date
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from roadlake.functions import codes
 from roadlake.session import RUNTIME_CONF, STARTUP_CONF, STREAMING_CONF
 from roadlake.sinks import compaction, dimension_store
 from roadlake.sinks.lake import Lake
 from roadlake.sources import dimensions
-from roadlake.sources.streams import MAX_RECORDS_PER_TRIGGER, topic_stream
+from roadlake.sources.streams import topic_stream
 from roadlake.streaming import app
 
 
@@ -29,12 +29,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--incident-topic", default="traffic-incidents")
     stream.add_argument("--flow-avro", help="file with the Avro schema of flow payloads; JSON without it")
     stream.add_argument("--incident-avro", help="file with the Avro schema of incident payloads; JSON without it")
-    stream.add_argument("--max-records", type=int, default=MAX_RECORDS_PER_TRIGGER, help="per trigger; 0 for no cap")
+    stream.add_argument("--max-records", type=int, default=0, help="cap per trigger; 0, the default, for none")
     stream.add_argument("--no-facts", action="store_true", help="stop at the silver tables")
 
     compact = commands.add_parser("compact", parents=[common], help="compact the previous day")
     compact.add_argument("--today", type=date.fromisoformat, help="run as on this day")
-    compact.add_argument("--files", type=int, default=codes.COMPACTED_FILES, help="per folder; 0 to size by bytes")
+    compact.add_argument("--files", type=int, default=0, help="write tasks; 0, the default, sizes files by bytes")
     return parser.parse_args(argv)
 
 
@@ -55,7 +55,10 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "dimensions":
         dimension_store.bootstrap(lake)
     elif args.command == "compact":
-        compaction.compact_previous_day(lake, args.today, files=args.files or None).show(truncate=False)
+        outcomes = compaction.compact_previous_day(lake, args.today, files=args.files or None)
+        outcomes.show(len(compaction.tables.COMPACTED_TABLES), truncate=False)
+        if not outcomes.where(F.col("outcome").startswith(compaction.FAILED)).isEmpty():
+            raise SystemExit(1)
     else:
         topics = [
             topic_stream(spark, args.servers, topic, args.max_records or None)

@@ -10,6 +10,10 @@ from roadlake.catalog.registry import query
 from roadlake.functions import flow as flow_columns
 from roadlake.operators import flow, history, incidents, keys, quality
 from roadlake.plans import marts
+from roadlake.session import fresh_folder
+from roadlake.sinks import lake as tables
+from roadlake.sinks import writers
+from roadlake.sinks.lake import Lake
 from roadlake.sources import adapters, dimensions
 
 FLOW_GROUP = ["location_name", "city", "window_start", "window_end"]
@@ -199,7 +203,27 @@ FLOW_OUT = sql.rounded(keys.FLOW_FACT_COLUMNS)
 INCIDENT_FACT_OUT = ", ".join(keys.INCIDENT_FACT_COLUMNS)
 HISTORY_OF = 1  # surrogate key of the first seeded location
 IN_FLOW = sql.with_(sql.FLOW_FACTS)
-IN_INCIDENTS = sql.with_(sql.INCIDENT_FACTS)
+IN_INCIDENTS = sql.with_(sql.STORED_INCIDENT_FACTS)
+_stored: dict[tuple[str, str], Lake] = {}
+
+
+def stored_facts(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with both fact tables, loaded once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        lake = Lake(spark, fresh_folder(spark, "facts"))
+        writers.load_flow_facts(rollup(spark, sf_dir), dimensions.seeded(spark), lake, "b0")
+        writers.load_incident_facts(collapsed(spark, sf_dir), dimensions.seeded(spark), lake, "b0")
+        _stored[key] = lake
+    return _stored[key]
+
+
+def stored_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_facts(spark, sf_dir).read(tables.FACT_FLOW)
+
+
+def stored_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_facts(spark, sf_dir).read(tables.FACT_INCIDENTS)
 
 
 @query(
@@ -208,12 +232,16 @@ IN_INCIDENTS = sql.with_(sql.INCIDENT_FACTS)
     f"ORDER BY window_start_utc DESC, location_sk ASC NULLS FIRST LIMIT {marts.LATEST}",
 )
 def rd_latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.latest_windows(flow_facts(spark, sf_dir))
+    lake = stored_facts(spark, sf_dir)
+    days = lake.spark.read.parquet(lake.path(tables.FACT_FLOW)).groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
+    newest = marts.latest_windows(lake.read(tables.FACT_FLOW), marts.newest_days(days, marts.LATEST))
+    return newest.select(*keys.FLOW_FACT_COLUMNS)
 
 
 @query("rd_flow_by_location", IN_FLOW + f"SELECT {FLOW_OUT} FROM flow_facts WHERE location_sk = {HISTORY_OF}")
 def rd_flow_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.location_history(flow_facts(spark, sf_dir), HISTORY_OF)
+    history_of = marts.location_history(stored_flow(spark, sf_dir), dimensions.location_dimension(spark), HISTORY_OF)
+    return history_of.select(*keys.FLOW_FACT_COLUMNS)
 
 
 @query(
@@ -224,7 +252,7 @@ def rd_flow_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM flow_facts GROUP BY date_key, location_sk",
 )
 def rd_flow_date_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.flow_by_date_location(flow_facts(spark, sf_dir))
+    return marts.flow_by_date_location(stored_flow(spark, sf_dir))
 
 
 @query(
@@ -234,25 +262,25 @@ def rd_flow_date_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     "FROM flow_facts GROUP BY congestion_level",
 )
 def rd_flow_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.flow_by_level(flow_facts(spark, sf_dir))
+    return marts.flow_by_level(stored_flow(spark, sf_dir))
 
 
 @query(
     "rd_active_incidents",
-    IN_INCIDENTS + f"SELECT {INCIDENT_FACT_OUT} FROM incident_facts WHERE is_active_at_ingestion "
+    IN_INCIDENTS + f"SELECT {INCIDENT_FACT_OUT} FROM stored_incidents WHERE is_active_at_ingestion "
     "ORDER BY window_start_utc DESC",
 )
 def rd_active_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.active_incidents(incident_facts(spark, sf_dir))
+    return marts.active_incidents(stored_incidents(spark, sf_dir)).select(*keys.INCIDENT_FACT_COLUMNS)
 
 
 @query(
     "rd_inc_by_location",
     IN_INCIDENTS + "SELECT location_sk, count(*) AS incidents, CAST(sum(delay_seconds) AS BIGINT) AS delay_seconds "
-    "FROM incident_facts GROUP BY location_sk",
+    "FROM stored_incidents GROUP BY location_sk",
 )
 def rd_inc_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.incidents_by_location(incident_facts(spark, sf_dir))
+    return marts.incidents_by_location(stored_incidents(spark, sf_dir))
 
 
 @query(
@@ -261,38 +289,38 @@ def rd_inc_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     "coalesce(category_group, 'Other') AS category_group, coalesce(severity_level, 'low') AS severity_level, "
     "coalesce(severity_rank, 1) AS severity_rank, count(*) AS incidents, "
     "CAST(sum(delay_seconds) AS BIGINT) AS delay_seconds, count(*) FILTER (WHERE is_road_closure) AS closures "
-    "FROM incident_facts LEFT JOIN dim_incident_category USING (category_sk) GROUP BY ALL",
+    "FROM stored_incidents LEFT JOIN dim_incident_category USING (category_sk) GROUP BY ALL",
 )
 def rd_inc_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.incidents_by_category(incident_facts(spark, sf_dir), dimensions.category_dimension(spark))
+    return marts.incidents_by_category(stored_incidents(spark, sf_dir), dimensions.category_dimension(spark))
 
 
 @query(
     "rd_inc_date_location",
     IN_INCIDENTS + "SELECT date_key, location_sk, count(*) AS incidents, "
-    "count(*) FILTER (WHERE is_road_closure) AS closures FROM incident_facts GROUP BY date_key, location_sk",
+    "count(*) FILTER (WHERE is_road_closure) AS closures FROM stored_incidents GROUP BY date_key, location_sk",
 )
 def rd_inc_date_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.incidents_by_date_location(incident_facts(spark, sf_dir))
+    return marts.incidents_by_date_location(stored_incidents(spark, sf_dir))
 
 
 @query(
     "rd_inc_by_magnitude",
     IN_INCIDENTS + "SELECT magnitude, magnitude_label, count(*) AS incidents, "
     "round(avg(delay_minutes), 6) AS mean_delay_minutes, round(avg(length_km), 6) AS mean_length_km "
-    "FROM incident_facts GROUP BY magnitude, magnitude_label",
+    "FROM stored_incidents GROUP BY magnitude, magnitude_label",
 )
 def rd_inc_by_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.incidents_by_magnitude(incident_facts(spark, sf_dir))
+    return marts.incidents_by_magnitude(stored_incidents(spark, sf_dir))
 
 
 @query(
     "rd_points_in_area",
     IN_INCIDENTS + "SELECT area, count(*) AS incidents, count(*) FILTER (WHERE is_road_closure) AS closures "
-    "FROM incident_facts JOIN areas ON lat BETWEEN lat0 AND lat1 AND lon BETWEEN lon0 AND lon1 GROUP BY area",
+    "FROM stored_incidents JOIN areas ON lat BETWEEN lat0 AND lat1 AND lon BETWEEN lon0 AND lon1 GROUP BY area",
 )
 def rd_points_in_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.incidents_in_area(incident_facts(spark, sf_dir))
+    return marts.incidents_in_area(stored_incidents(spark, sf_dir))
 
 
 # --- quality checks -------------------------------------------------------------
@@ -437,29 +465,36 @@ OBSERVED = f"""observed AS (
   FROM (SELECT *, max(ingested_at) OVER (PARTITION BY location_name) AS last_seen FROM readings)
   WHERE ingested_at = last_seen GROUP BY location_name)"""
 ROLLED = sql.READINGS + ",\n" + sql.DIM_LOCATION + ",\n" + OBSERVED + """,
-paired AS (SELECT d.*, new_frc, effective_date, new_frc IS DISTINCT FROM frc AND new_frc IS NOT NULL AS changed
+paired AS (SELECT d.*, new_frc, effective_date, new_frc IS DISTINCT FROM frc AND new_frc IS NOT NULL
+             AND effective_date > valid_from AS changed
            FROM dim_location d LEFT JOIN observed o USING (location_key)),
 rolled_locations AS (
-  SELECT location_sk, location_key, version_number, location_name, city, frc, valid_from,
+  SELECT location_sk, location_key, version_number, location_name, city, governorate, area_zone, road_type, frc,
+    frc_label, lat, lon, valid_from,
     CASE WHEN changed THEN effective_date ELSE valid_to END AS valid_to, NOT changed AS is_current FROM paired
   UNION ALL
-  SELECT location_sk, location_key, version_number + 1, location_name, city, new_frc, effective_date, NULL, TRUE
-  FROM paired WHERE changed)"""
+  SELECT NULL, location_key, version_number + 1, location_name, city, governorate, area_zone,
+    CASE new_frc WHEN 'FRC0' THEN 'highway' WHEN 'FRC1' THEN 'highway' WHEN 'FRC2' THEN 'arterial' ELSE 'local' END,
+    new_frc, coalesce(class_label, 'Unknown'), lat, lon, effective_date, NULL, TRUE
+  FROM paired LEFT JOIN classes ON new_frc = class_code WHERE changed)"""
+# New versions have a hashed key, which SQL leaves out.
+ROLLED_SK = "CASE WHEN version_number = 1 THEN location_sk END AS location_sk"
 ROLLED_OUT = [
-    "location_key", "version_number", "location_name", "city", "frc", "valid_from", "valid_to", "is_current",
+    "location_key", "version_number", "location_name", "city", "governorate", "area_zone", "road_type", "frc",
+    "frc_label", "lat", "lon", "valid_from", "valid_to", "is_current",
 ]
 
 
-@query("scd_location_roll", sql.with_(ROLLED) + f"SELECT {', '.join(ROLLED_OUT)} FROM rolled_locations")
+@query("scd_location_roll", sql.with_(ROLLED) + f"SELECT {ROLLED_SK}, {', '.join(ROLLED_OUT)} FROM rolled_locations")
 def scd_location_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rolled_locations(spark, sf_dir).select(*ROLLED_OUT)
+    return rolled_locations(spark, sf_dir).selectExpr(ROLLED_SK, *ROLLED_OUT)
 
 
 @query(
-    "flt_current_dim", sql.with_(ROLLED) + f"SELECT {', '.join(ROLLED_OUT)} FROM rolled_locations WHERE is_current"
+    "flt_current_dim", sql.with_(ROLLED) + f"SELECT {ROLLED_SK}, {', '.join(ROLLED_OUT)} FROM rolled_locations WHERE is_current"
 )
 def flt_current_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.current_versions(rolled_locations(spark, sf_dir)).select(*ROLLED_OUT)
+    return dimensions.current_versions(rolled_locations(spark, sf_dir)).selectExpr(ROLLED_SK, *ROLLED_OUT)
 
 
 @query(

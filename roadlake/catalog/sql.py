@@ -274,6 +274,11 @@ incident_facts AS (SELECT * EXCLUDE (bbox_name, city, icon_category_id)
   FROM incident_keyed)"""
 
 
+# As stored: plausible days beyond the seeded calendar get their key as well.
+STORED_INCIDENT_FACTS = INCIDENT_FACTS + """,
+stored_incidents AS (SELECT * REPLACE (CAST(strftime(window_start_utc, '%Y%m%d') AS INTEGER) AS date_key) FROM incident_facts)"""
+
+
 def rounded(columns: list[str]) -> str:
     """Select list with averages, ratios and confidences rounded as ``tidy`` does."""
     return ", ".join(f"round({c}::DOUBLE, 6) AS {c}" if is_rounded(c) else c for c in columns)

@@ -23,8 +23,8 @@ INCIDENT_COLUMNS = contracts.INCIDENT_SCHEMA.names
 
 
 def new_lake(spark: SparkSession, purpose: str) -> Lake:
-    """An empty lake. The polls are few and spread over three years, hence the sparse layout."""
-    return Lake(spark, fresh_folder(spark, purpose), {**tables.SPARSE_LAYOUT, tables.FACT_FLOW: tables.FACT_WINDOWS})
+    """An empty lake."""
+    return Lake(spark, fresh_folder(spark, purpose))
 
 
 # --- sources --------------------------------------------------------------------
@@ -65,6 +65,23 @@ def src_flow_json_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.flow_records(adapters.raw_flow_json(spark, sf_dir))
 
 
+@query(
+    "src_response_dead_letters",
+    sql.with_(sql.READINGS)
+    + "SELECT location_name, ingested_at, CASE (ingested_at // 1000) % 40 WHEN 0 THEN 'malformed response' "
+    "WHEN 3 THEN 'missing flowSegmentData' ELSE CASE WHEN (ingested_at // 1000) % 40 IN (1, 2) AND current_speed_kmh > 0 "
+    "THEN 'malformed response' END END AS reason, "
+    "CASE WHEN (ingested_at // 1000) % 40 IN (0, 3) OR ((ingested_at // 1000) % 40 IN (1, 2) AND current_speed_kmh > 0) "
+    "THEN NULL ELSE current_speed_kmh END AS current_speed_kmh FROM readings",
+)
+def src_response_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound and broken responses: each is a record or a dead letter, none is read as zeros."""
+    bodies = adapters.broken_flow_json(spark, sf_dir)
+    records = responses.flow_records(bodies).select("location_name", "ingested_at", F.lit(None).cast("string").alias("reason"), "current_speed_kmh")
+    dead = responses.dead_letters(bodies, contracts.RAW_FLOW, responses.FLOW_PART)
+    return records.unionByName(dead.select("location_name", "ingested_at", "reason", F.lit(None).cast("int").alias("current_speed_kmh")))
+
+
 INCIDENT_JSON_SQL = sql.with_(sql.AREAS, sql.CATEGORY_NAMES) + f""",
 o AS (SELECT o_orderkey AS k, o_custkey, o_totalprice, CAST(o_orderkey % 4 AS INTEGER) // 2 + 1 AS mid,
         30 + (o_orderkey % 100) / 100.0::DOUBLE AS lon0_, 31 + (o_orderkey % 50) / 100.0::DOUBLE AS lat0_ FROM orders)
@@ -287,10 +304,10 @@ def snk_fact_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "snk_fact_incidents",
-    sql.with_(sql.INCIDENT_FACTS) + f"SELECT {', '.join(keys.INCIDENT_FACT_COLUMNS)} FROM incident_facts "
-    "WHERE date_key IS NOT NULL",
+    sql.with_(sql.STORED_INCIDENT_FACTS) + f"SELECT {', '.join(keys.INCIDENT_FACT_COLUMNS)} FROM stored_incidents",
 )
 def snk_fact_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polls run into a year after the seeded calendar: those facts are kept as well."""
     lake = new_lake(spark, "facts")
     writers.load_incident_facts(rollups.collapsed(spark, sf_dir), dimensions.seeded(spark), lake, "b0")
     return lake.read(tables.FACT_INCIDENTS).select(*keys.INCIDENT_FACT_COLUMNS)
@@ -325,8 +342,8 @@ def snk_fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "snk_quarantine",
     sql.with_(sql.READINGS) + "SELECT location_name AS key, ts AS timestamp, CASE event_id % 50 "
-    "WHEN 0 THEN 'malformed record' WHEN 1 THEN 'missing frc' WHEN 2 THEN 'malformed record' END AS reason "
-    "FROM readings",
+    "WHEN 0 THEN 'malformed record' WHEN 1 THEN 'missing frc' WHEN 2 THEN 'malformed record' END AS reason, "
+    "CASE WHEN event_id % 50 < 3 THEN ingested_at END AS ingested_at, event_id % 50 < 3 AS has_record FROM readings",
 )
 def snk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routes all messages; every one is found again, landed (no reason) or quarantined."""
@@ -335,8 +352,16 @@ def snk_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         adapters.checked_messages(spark, sf_dir), F.col("body"), contracts.FLOW_SCHEMA, contracts.FLOW_REQUIRED
     )
     writers.route(checked, contracts.FLOW_SCHEMA, lake, tables.LANDING_FLOW, "b0")
-    landed = lake.read(tables.LANDING_FLOW).select("key", "timestamp", F.lit(None).cast("string").alias("reason"))
-    return landed.unionByName(lake.read(f"{tables.QUARANTINE}/flow").select("key", "timestamp", "reason"))
+    landed = lake.read(tables.LANDING_FLOW).select(
+        "key", "timestamp", F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("long").alias("ingested_at"), F.lit(False).alias("has_record"),
+    )
+    # The record is kept whole, even where it does not parse.
+    inside = F.regexp_extract("record", r'"ingested_at":(\d+)', 1).cast("long")
+    dead = lake.read(f"{tables.QUARANTINE}/flow").select(
+        "key", "timestamp", "reason", inside.alias("ingested_at"), F.col("record").isNotNull().alias("has_record")
+    )
+    return landed.unionByName(dead)
 
 
 def land_in_loads(spark: SparkSession, sf_dir: str, lake: Lake, loads: int = 4) -> None:
@@ -349,18 +374,19 @@ def land_in_loads(spark: SparkSession, sf_dir: str, lake: Lake, loads: int = 4)
 
 @query(
     "snk_compact",
-    sql.with_(sql.ENRICHED) + "SELECT day(event_time) AS day, CASE WHEN day(event_time) = 1 THEN 'compacted' "
-    "ELSE 'b' || ((ingested_at // 3600000) % 4) END AS load, count(*) AS row_count, "
-    "CAST(sum(current_speed_kmh) AS BIGINT) AS speed_sum FROM enriched GROUP BY ALL",
+    sql.with_(sql.ENRICHED.replace("SELECT * REPLACE (coalesce(congestion_ratio::DOUBLE, 1.0::DOUBLE) AS "
+                                   "congestion_ratio) FROM readings", "SELECT * FROM readings"))
+    + f"SELECT {sql.rounded(FLOW_COLUMNS)}, day(event_time) AS day, CASE WHEN day(event_time) = 1 THEN 'compacted-' "
+    "ELSE 'b' || ((ingested_at // 3600000) % 4) END AS load FROM enriched",
 )
 def snk_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lands in four loads and compacts the first day; the second stays as it was."""
     lake = new_lake(spark, "compaction")
     land_in_loads(spark, sf_dir, lake)
     compaction.compact_previous_day(lake, date(2024, 1, 2), [tables.LANDING_FLOW])
-    return lake.read(tables.LANDING_FLOW).groupBy("day", "load").agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("current_speed_kmh").alias("speed_sum")
-    )
+    compacted = F.col(tables.LOAD).startswith(tables.COMPACTED)
+    load = F.when(compacted, tables.COMPACTED).otherwise(F.col(tables.LOAD))
+    return lake.read(tables.LANDING_FLOW).select(*FLOW_COLUMNS, "day", load.alias("load"))
 
 
 @query(
@@ -369,19 +395,20 @@ def snk_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     + sql.with_(sql.ENRICHED) + "SELECT count(*) AS rows FROM enriched WHERE day(event_time) = 1) "
     "UNION ALL SELECT 'landing/incidents', 'compacted', rows FROM ("
     + sql.with_(sql.POLLS) + "SELECT count(*) AS rows FROM polls "
-    "WHERE date_trunc('month', make_timestamp(ingested_at * 1000)) = DATE '2024-01-01') "
+    "WHERE date_trunc('day', make_timestamp(ingested_at * 1000)) = DATE '2024-01-01') "
     "UNION ALL SELECT 'silver/flow', 'compacted', rows FROM ("
     + sql.with_(sql.ROLLUP) + "SELECT count(*) AS rows FROM rollup_rows WHERE day(window_start) = 1) "
     "UNION ALL SELECT 'silver/incidents', 'compacted', rows FROM ("
     + sql.with_(sql.COLLAPSED) + "SELECT count(*) AS rows FROM collapsed "
-    "WHERE date_trunc('month', event_time) = DATE '2024-01-01')",
+    "WHERE date_trunc('day', event_time) = DATE '2024-01-01')",
 )
 def snk_compact_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compacts the day before 2024-01-02 in all four tables; incidents are kept by month."""
+    """Compacts the day before 2024-01-02 in the landing and silver tables."""
     lake = new_lake(spark, "compaction")
     land_in_loads(spark, sf_dir, lake)
     writers.write_silver_flow(rollups.rollup(spark, sf_dir), lake, "b0")
     polls = adapters.incident_polls(spark, sf_dir)
     writers.land(polls, lake, tables.LANDING_INCIDENTS, "b0")
     writers.write_silver_incidents(incidents.collapse_polls(polls), lake, "b0")
-    return compaction.compact_previous_day(lake, date(2024, 1, 2))
+    names = [tables.LANDING_FLOW, tables.LANDING_INCIDENTS, tables.SILVER_FLOW, tables.SILVER_INCIDENTS]
+    return compaction.compact_previous_day(lake, date(2024, 1, 2), names)

@@ -163,7 +163,7 @@ LOCATION_VALID_FROM = "2024-01-01"
 ROAD_TYPE_OF_CLASS = {"FRC0": "highway", "FRC1": "highway", "FRC2": "arterial", "FRC3": "local"}
 CITY_OF_GOVERNORATE = {"Cairo": "cairo", "Giza": "cairo", "Alexandria": "alexandria"}
 
-# --- Fixed values: compaction ---------------------------------------------------
-COMPACTED_FILES = 4
+
+
 
 CITY_OF_PLACE = {row[0]: row[1] for row in MONITORED_POINTS + AREAS}

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlake.functions import codes
+from roadlake.functions.lookup import label_of, road_class_label
+
 TRACKED = ["road_type", "frc", "frc_label"]
 
 
+def derived_from_class(frc: Column) -> dict[str, Column]:
+    """What follows from the road class."""
+    return {"road_type": label_of(frc, codes.ROAD_TYPE_OF_CLASS, "local"), "frc_label": road_class_label(frc)}
+
+
 def roll_versions(
     dimension: DataFrame, observed: DataFrame, key: str = "location_key", tracked: list[str] = TRACKED,
     effective: str = "effective_date", surrogate: str = "location_sk",
@@ -17,7 +25,9 @@ def roll_versions(
     """Closes current versions whose tracked values changed and opens the next ones.
 
     ``observed`` has one row per key: the tracked values now seen and the day they
-    took effect. A NULL observation changes nothing. The closed version ends on the
+    took effect. A NULL observation changes nothing, nor does one that is not later than
+    the start of the current version: it would end it before it began. Columns that follow from
+    the road class follow the new one unless they are tracked themselves. The closed version ends on the
     day the new one starts and the new one gets a surrogate key of its own, a stable
     64-bit hash of key and version. One join; closed and new rows come from the same
     matched row, so the dimension is read once.
@@ -29,6 +39,7 @@ def roll_versions(
         lambda a, b: a | b,
         [F.col(f"_new_{c}").isNotNull() & ~F.col(f"_new_{c}").eqNullSafe(F.col(c)) for c in tracked],
     )
+    differs = differs & (F.col("_from") > F.col("valid_from"))
     matched = dimension.join(seen, (dimension[key] == seen["_key"]) & dimension["is_current"], "left")
     marked = matched.withColumn("_changed", F.coalesce(differs, F.lit(False)) & F.col("_key").isNotNull())
     kept = F.struct(
@@ -49,6 +60,11 @@ def roll_versions(
         "is_current": F.lit(True),
         **{c: F.coalesce(F.col(f"_new_{c}"), F.col(c)) for c in tracked},
     }
+    if "frc" in tracked:
+        new_class = F.coalesce(F.col("_new_frc"), F.col("frc"))
+        for name, value in derived_from_class(new_class).items():
+            if name not in tracked and name in dimension.columns:
+                fresh[name] = value
     opened = F.struct(*[fresh[c].alias(c) if c in fresh else F.col(c) for c in dimension.columns])
     versions = F.when(F.col("_changed"), F.array(kept, opened)).otherwise(F.array(kept))
     return marked.select(F.explode(versions).alias("v")).select("v.*")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from roadlake.functions import calendar
 from roadlake.sources.dimensions import Dimensions
 
+# The column names of the two fact tables.
 FLOW_FACT_COLUMNS = [
     "date_key", "time_key", "location_sk",
     "window_start_utc", "window_end_utc",
@@ -42,6 +43,17 @@ INCIDENT_IDENTITY = [
 ]
 
 
+# Days outside are taken for wrong clocks; their rows are rejected whole.
+PLAUSIBLE_DAYS = ("2000-01-01", "2099-12-31")
+
+
+def with_days_to_come(facts: DataFrame, at: str) -> DataFrame:
+    """Gives plausible days that the calendar lacks so far the key it will have for them."""
+    day = F.to_date(at)
+    plausible = day.between(*[F.lit(d).cast("date") for d in PLAUSIBLE_DAYS])
+    return facts.withColumn("date_key", F.coalesce("date_key", F.when(plausible, calendar.date_key(day))))
+
+
 def with_date_key(rows: DataFrame, date: DataFrame, at: str) -> DataFrame:
     day = date.select("date_key", F.col("full_date").alias("_day"))
     return rows.join(day, F.to_date(rows[at]) == day["_day"], "left").drop("_day")
@@ -96,10 +108,10 @@ def in_calendar(facts: DataFrame) -> DataFrame:
     return facts.where("date_key IS NOT NULL")
 
 
-def outside_calendar(facts: DataFrame, record: list[str]) -> DataFrame:
-    """Dead-letter rows for facts whose day the calendar lacks."""
+def outside_calendar(facts: DataFrame) -> DataFrame:
+    """Dead-letter rows, the whole record each, for facts whose day no calendar can hold."""
     return facts.where("date_key IS NULL").select(
         F.current_timestamp().alias("failed_at"),
         F.lit("day outside the calendar").alias("reason"),
-        F.to_json(F.struct(*record)).alias("record"),
+        F.to_json(F.struct("*")).alias("record"),
     )

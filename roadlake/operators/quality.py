@@ -33,16 +33,20 @@ TEXT_LENGTHS = {
     "fact_incidents": {"road_numbers": 100, "magnitude_label": 20},
 }
 SMALL_INTEGERS = {
-    "fact_traffic_flow": ["min_speed_kmh", "max_speed_kmh", "sample_count"],
-    "fact_incidents": ["magnitude"],
+    "dim_date": ["year", "quarter", "month", "week_of_year", "day_of_month", "day_of_week"],
+    "dim_time": ["time_key", "hour", "minute"],
+    "dim_location": ["version_number"],
+    "dim_incident_category": ["icon_category_id", "severity_rank"],
+    "fact_traffic_flow": ["time_key", "min_speed_kmh", "max_speed_kmh", "sample_count"],
+    "fact_incidents": ["time_key", "magnitude"],
 }
 NOT_NULL = {
-    "dim_date": ["full_date", "year", "quarter", "month", "month_name_en", "month_name_ar", "week_of_year",
+    "dim_date": ["date_key", "full_date", "year", "quarter", "month", "month_name_en", "month_name_ar", "week_of_year",
                  "day_of_month", "day_of_week", "day_name_en", "day_name_ar", "is_weekend",
                  "is_public_holiday", "is_ramadan", "is_school_term", "season", "day_type"],
-    "dim_time": ["hour", "minute", "period_label", "is_peak_am", "is_peak_pm", "is_off_peak", "is_overnight"],
-    "dim_location": ["location_key", "version_number", "location_name", "city", "valid_from", "is_current"],
-    "dim_incident_category": ["category_key", "category_raw", "category_label_en", "category_group",
+    "dim_time": ["time_key", "hour", "minute", "period_label", "is_peak_am", "is_peak_pm", "is_off_peak", "is_overnight"],
+    "dim_location": ["location_sk", "location_key", "version_number", "location_name", "city", "valid_from", "is_current"],
+    "dim_incident_category": ["category_sk", "category_key", "category_raw", "category_label_en", "category_group",
                               "severity_level", "severity_rank", "causes_road_closure"],
     "fact_traffic_flow": ["date_key", "time_key", "window_start_utc", "window_end_utc"],
     "fact_incidents": ["date_key", "time_key", "window_start_utc", "has_known_location", "delay_seconds",

@@ -7,10 +7,10 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlake.functions import codes
 from roadlake.sinks import lake as tables
 from roadlake.sinks.lake import Lake
 
+FAILED = "failed"
 OUTCOME = "table_name string, outcome string, rows long"
 
 
@@ -27,7 +27,7 @@ def day_predicate(today: date | None = None):
 
 def compact_previous_day(
     lake: Lake, today: date | None = None, names: list[str] = tables.COMPACTED_TABLES,
-    files: int | None = codes.COMPACTED_FILES,
+    files: int | None = None,
 ) -> DataFrame:
     """Compacts the partition of the previous day in each table; one outcome row per table.
 
@@ -35,11 +35,10 @@ def compact_previous_day(
     tells the error.
     """
     day = previous_day(today)
-    run = "compact-" + "-".join(str(v) for v in day.values())
     outcomes = []
     for name in names:
         try:
-            outcomes.append(tables.compact(lake, name, day, run, files))
+            outcomes.append(tables.compact(lake, name, day, files))
         except Exception as error:  # reported as a row, never swallowed
-            outcomes.append((name, f"failed: {error}"[:500], 0))
+            outcomes.append((name, f"{FAILED}: {error}", 0))
     return lake.spark.createDataFrame(outcomes, OUTCOME)

@@ -1,12 +1,13 @@
-"""Stores the seeded dimensions."""
+"""Stores the dimensions and adds the members they lack."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from roadlake.operators.merge import insert_if_absent
-from roadlake.sinks.lake import Lake, staged, unfinished_run
+from roadlake.sinks.lake import Lake
 from roadlake.sources import dimensions
+from roadlake.sources.tables import read_if_exists
 
 FOLDER = "dimensions"
 
@@ -18,26 +19,22 @@ def folder(lake: Lake) -> str:
 def bootstrap(lake: Lake) -> None:
     """Stores the seeded dimensions, keeping every row already there.
 
-    A table that lacks no row is not written. One that does is replaced from a checked
-    copy, which an interrupted bootstrap goes on from.
+    What is missing is appended in one commit, so an interrupted bootstrap has added
+    it or not, and repeating it adds nothing twice.
     """
-    spark = lake.spark
-    for name, seed in dimensions.seed_tables(spark).items():
-        table, keys = f"{FOLDER}/{name}", dimensions.CONFLICT_KEYS[name]
-        path, stored = lake.path(table), lake.read_if_exists(table)
-        resuming = unfinished_run(lake, table, "bootstrap")
-        if stored is None and not resuming:
-            seed.coalesce(1).write.mode("overwrite").parquet(path)
-            continue
-        if not resuming and seed.join(stored.select(*keys), keys, "left_anti").isEmpty():
-            continue
-
-        def publish(rows: DataFrame, path: str = path) -> None:
-            rows.write.mode("overwrite").parquet(path)
-
-        staged(
-            spark, lake.staging(table), "bootstrap",
-            build=lambda stored=stored, seed=seed, keys=keys: insert_if_absent(stored, seed, keys),
-            publish=publish,
-            at_least=lambda stored=stored: stored.count(),
-        )
+    for name, seed in dimensions.seed_tables(lake.spark).items():
+        _append_missing(lake, name, seed)
+
+
+def add_days(lake: Lake, days: DataFrame) -> None:
+    """Appends the days (``full_date``) that the stored calendar lacks, if one is stored."""
+    if read_if_exists(lake.spark, f"{folder(lake)}/dim_date") is not None:
+        _append_missing(lake, "dim_date", dimensions.date_dimension(days))
+
+
+def _append_missing(lake: Lake, name: str, rows: DataFrame) -> None:
+    path, keys = f"{folder(lake)}/{name}", dimensions.CONFLICT_KEYS[name]
+    stored = read_if_exists(lake.spark, path)
+    missing = rows if stored is None else insert_if_absent(stored.limit(0), rows.join(stored, keys, "left_anti"), keys)
+    if not missing.isEmpty():
+        missing.coalesce(1).write.mode("append").parquet(path)

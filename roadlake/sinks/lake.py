@@ -1,33 +1,37 @@
-"""Table layout and idempotent writes.
-
-Every table below ``root`` is partitioned Parquet without a file-sink log, so a
-batch job may rewrite it. Two kinds of write are used, and both may be repeated:
-
-* ``write_load`` adds a load in partitions of its own (``load=<id>``); repeating a
-  load overwrites exactly those.
-* ``replace_partitions`` and ``compact`` stage the new content beside the tables, check its
-  row count, record that it is complete, and only then touch the table. A run that
-  is repeated after a crash goes on from the staged copy.
+"""Table layout, idempotent loads, and compaction that loses nothing.
+
+Every table below ``root`` is Parquet partitioned by day and by ``load``, without a file-sink
+log, so batch jobs may rewrite it.
+
+* A load is written to folders of its own; repeating it replaces exactly those.
+* Compaction copies the loads it has listed into one new load beside them, checks that the row
+  counts are equal, records "the new load replaces these" in the table's ledger, and only then
+  removes the replaced folders. Loads that land meanwhile are other folders. Readers see a
+  compacted load once it is recorded, and from then on none of the loads it replaces. A crash
+  leaves either the old loads or both and a record that says which count; the next
+  compaction cleans up. A load that is delivered again after it was replaced is left out.
+* Fact tables are merged by key on reading: of the rows of one key, the load with the highest
+  sequence number counts. Loads are numbered when they first appear, so a repeated load keeps its
+  place and no clock decides.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlake.functions import codes
+from roadlake.operators import keys, merge
 from roadlake.sources.tables import read_if_exists
 
 LOAD = "load"
-COMPACTED = "compacted"
+SEQUENCE = "load_seq"
+COMPACTED = "compacted-"
 DAYS = ["year", "month", "day"]
-MONTHS = ["year", "month"]
-FACT_WINDOWS = ["date_key", "time_key"]
-FACT_MONTHS = ["month_key"]
+DATE_KEY = ["date_key"]
 
 LANDING_FLOW = "landing/flow"
 LANDING_INCIDENTS = "landing/incidents"
@@ -36,215 +40,189 @@ SILVER_INCIDENTS = "silver/incidents"
 FACT_FLOW = "facts/fact_traffic_flow"
 FACT_INCIDENTS = "facts/fact_incidents"
 QUARANTINE = "quarantine"
-COMPACTED_TABLES = [LANDING_FLOW, LANDING_INCIDENTS, SILVER_FLOW, SILVER_INCIDENTS]
-
-# Time partitions of each table. Records arrive day by day and compaction takes a
-# day; a stream closes a window once, so with one folder per window a fact load
-# rewrites little else than what it brings.
-LAYOUT = {
-    LANDING_FLOW: DAYS,
-    LANDING_INCIDENTS: DAYS,
-    SILVER_FLOW: DAYS,
-    SILVER_INCIDENTS: DAYS,
-    FACT_FLOW: FACT_WINDOWS,
-    FACT_INCIDENTS: FACT_WINDOWS,
-}
-# For backfills that spread few rows over years: thousands of tiny folders are slower
-# than the rows in them.
-SPARSE_LAYOUT = {
-    LANDING_INCIDENTS: MONTHS,
-    SILVER_INCIDENTS: MONTHS,
-    FACT_FLOW: FACT_MONTHS,
-    FACT_INCIDENTS: FACT_MONTHS,
+DEAD_LETTERS = [f"{QUARANTINE}/{s}" for s in ("flow", "incidents", "fact_traffic_flow", "fact_incidents")]
+COMPACTED_TABLES = [LANDING_FLOW, LANDING_INCIDENTS, SILVER_FLOW, SILVER_INCIDENTS, FACT_FLOW, FACT_INCIDENTS, *DEAD_LETTERS]
+
+FACT_KEYS = {
+    FACT_FLOW: [*DATE_KEY, *keys.FLOW_IDENTITY],
+    FACT_INCIDENTS: [*DATE_KEY, *keys.INCIDENT_IDENTITY],
 }
 
 
+def partitions(table: str) -> list[str]:
+    """Time partitions of a table; compaction takes one of them."""
+    return DATE_KEY if table in FACT_KEYS else DAYS
+
+
 @dataclass(frozen=True)
 class Lake:
-    """A folder of tables that all executors can reach; ``layout`` overrides table partitions."""
+    """A folder of tables that all executors can reach."""
 
     spark: SparkSession
     root: str
-    layout: dict[str, list[str]] = field(default_factory=dict)
-
-    def partitions(self, table: str) -> list[str]:
-        return self.layout.get(table, LAYOUT[table])
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def staging(self, table: str) -> str:
-        return f"{self.root}/_staging/{table}"
+    def ledger(self, table: str) -> str:
+        return f"{self.root}/_ledger/{table}"
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        """The rows that count, one per key in fact tables."""
+        rows = visible(self, table, self.spark.read.parquet(self.path(table)))
+        return merge.latest_per_key(rows, FACT_KEYS[table], SEQUENCE) if table in FACT_KEYS else rows
 
     def read_if_exists(self, table: str) -> DataFrame | None:
-        return read_if_exists(self.spark, self.path(table))
+        return None if read_if_exists(self.spark, self.path(table)) is None else self.read(table)
 
 
 def with_day(rows: DataFrame, at: Column) -> DataFrame:
     return rows.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
 
 
-def write_load(rows: DataFrame, path: str, partitions: list[str], load: str, rebalance: bool = False) -> None:
-    """Adds one load; the same ``load`` again replaces itself.
+# --- ledger ---------------------------------------------------------------------
 
-    ``rebalance`` first gathers each partition's rows into few files; adaptive
-    execution splits a partition that is too big for one. Without it no row moves.
-    """
-    if rebalance:
-        rows = rows.hint("rebalance", *partitions)
-    (
-        rows.withColumn(LOAD, F.lit(load))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, LOAD)
-        .parquet(path)
-    )
+COMMITTED, CLEANED = "committed", "cleaned"
+_ENTRY = "partition string, load string, replaces array<string>, rows long, state string"
 
 
-# --- staged replacement ---------------------------------------------------------
+def _record(lake: Lake, table: str, partition: str, load: str, replaces: list[str], rows: int, state: str) -> None:
+    entry = lake.spark.createDataFrame([(partition, load, replaces, rows, state)], _ENTRY)
+    entry.coalesce(1).write.mode("append").parquet(lake.ledger(table))
 
 
-def _marker(spark: SparkSession, staging: str) -> tuple[str, str, int] | None:
-    found = read_if_exists(spark, f"{staging}/marker")
-    row = found.first() if found is not None else None
-    return (row["run"], row["state"], row["rows"]) if row else None
+def _in_partition(partition: str) -> Column:
+    terms = [F.col(k) == int(v) for k, _, v in (level.partition("=") for level in partition.split("/"))]
+    return reduce(lambda a, b: a & b, terms)
 
 
-def unfinished(mark: tuple[str, str, int] | None, run: str) -> bool:
-    return mark is not None and mark[:2] == (run, "checked")
+def visible(lake: Lake, table: str, rows: DataFrame) -> DataFrame:
+    """Without compacted loads that are not recorded and without loads that a recorded one replaces."""
+    ledger = read_if_exists(lake.spark, lake.ledger(table))
+    recorded = [] if ledger is None else ledger.select("partition", LOAD, "state").collect()
+    unrecorded = F.col(LOAD).startswith(COMPACTED) & ~F.col(LOAD).isin([r.load for r in recorded])
+    rows = rows.where(~unrecorded)
+    for load, partition in _uncleaned(recorded).items():
+        (entry,) = ledger.where((F.col(LOAD) == load) & (F.col("state") == COMMITTED)).select("replaces").collect()
+        rows = rows.where(~(_in_partition(partition) & F.col(LOAD).isin(entry.replaces)))
+    return rows
 
 
-def unfinished_run(lake: Lake, table: str, run: str) -> bool:
-    """Whether a run staged and checked its rows but did not get to its end."""
-    return unfinished(_marker(lake.spark, lake.staging(table)), run)
+def _uncleaned(recorded: list) -> dict[str, str]:
+    """Recorded loads whose replaced folders may still be there, with their partition."""
+    cleaned = {r.load for r in recorded if r.state == CLEANED}
+    return {r.load: r.partition for r in recorded if r.state == COMMITTED and r.load not in cleaned}
 
 
-def _mark(spark: SparkSession, staging: str, run: str, state: str, rows: int) -> None:
-    marker = spark.createDataFrame([(run, state, rows)], "run string, state string, rows long")
-    marker.coalesce(1).write.mode("overwrite").parquet(f"{staging}/marker")
+def _remove_loads(lake: Lake, table: str, partition: str, loads: list[str]) -> None:
+    """Deletes the folders of loads in one partition, below further levels (city) as well."""
+    jvm = lake.spark._jvm
+    for load in loads:
+        for below in ("", "*/"):
+            pattern = jvm.org.apache.hadoop.fs.Path(f"{lake.path(table)}/{partition}/{below}{LOAD}={load}")
+            store = pattern.getFileSystem(lake.spark._jsc.hadoopConfiguration())
+            for found in store.globStatus(pattern) or []:
+                store.delete(found.getPath(), True)
 
 
-def staged(
-    spark: SparkSession, staging: str, run: str, build: Callable[[], DataFrame], publish: Callable[[DataFrame], None],
-    at_least: Callable[[], int],
-) -> int:
-    """Stages ``build()``, checks that no row is missing, publishes it; returns its row count.
+# --- loads ----------------------------------------------------------------------
 
-    ``at_least`` counts the rows to be replaced, which Parquet answers from file
-    footers. Neither compaction nor a keyed merge may leave fewer.
 
-    The staging folder holds the last run only. Repeating a run that got past the
-    check but not to its end publishes the staged rows again, instead of building
-    them from a table that may be half replaced. ``build`` must give the same
-    result when a finished run is repeated.
-    """
-    mark = _marker(spark, staging)
-    rows_path = f"{staging}/rows"
-    if not unfinished(mark, run):
-        build().write.mode("overwrite").parquet(rows_path)
-        copied, expected = spark.read.parquet(rows_path).count(), at_least()
-        if copied < expected:
-            raise RuntimeError(f"staged {copied} of {expected} rows in {rows_path}; table left as it was")
-        mark = (run, "checked", copied)
-        _mark(spark, staging, *mark)
-    publish(spark.read.parquet(rows_path))
-    _mark(spark, staging, run, "done", mark[2])
-    return mark[2]
-
-
-def _in_partitions(partitions: list[str], values: list[tuple]) -> Column:
-    """Predicate for a set of partitions: one term per value of the first column."""
-    first, *rest = partitions
-    if not rest:
-        return F.col(first).isin([v[0] for v in values])
-    by_first: dict = {}
-    for value in values:
-        by_first.setdefault(value[0], []).append(value[1:])
-    terms = [(F.col(first) == head) & _in_partitions(rest, tails) for head, tails in by_first.items()]
-    return reduce(lambda a, b: a | b, terms)
-
-
-def replace_partitions(
-    lake: Lake, table: str, rows: DataFrame, run: str,
-    combine: Callable[[DataFrame | None, DataFrame], DataFrame], sort_by: list[str] = (),
-) -> int:
-    """Rewrites the partitions that ``rows`` touch with ``combine(their rows, rows)``.
-
-    Only partition values reach the driver, as many as there are folders to
-    rewrite. Other partitions are neither read nor written. Where the table has no
-    rows in them yet, as for windows a stream has just closed, there is nothing to
-    lose and they are written directly. Returns the rows the partitions now hold.
+def sequence(lake: Lake, table: str, load: str) -> int:
+    """The load's place in the order of loads: by first appearance of what stands before its
+    last dot (a stream's id), then by the number after it (its batch)."""
+    source, _, number = load.rpartition(".")
+    source, batch = (source, int(number)) if source and number.isdigit() else (load, 0)
+    path = lake.ledger(f"{table}-sources")
+    known = read_if_exists(lake.spark, path)
+    places = {} if known is None else {r.source: r.place for r in known.collect()}
+    if source not in places:
+        places[source] = max(places.values(), default=0) + 1
+        row = lake.spark.createDataFrame([(source, places[source])], "source string, place long")
+        row.coalesce(1).write.mode("append").parquet(path)
+    return (places[source] << 32) + batch
+
+
+def write_load(lake: Lake, table: str, rows: DataFrame, load: str, *levels: str, rebalance: bool = False) -> None:
+    """Adds one load; the same ``load`` again replaces itself, and is left out where compaction
+    has replaced it.
+
+    ``rebalance`` first gathers each partition's rows into few files; adaptive
+    execution splits a partition that is too big for one. Without it no row moves.
     """
-    spark, partitions = lake.spark, lake.partitions(table)
-    rows = rows.persist()
-    try:
-        touched = [tuple(r) for r in rows.select(*partitions).distinct().collect()]
-        if not touched:
-            return 0
-
-        existing = lake.read_if_exists(table)
-        if existing is not None:
-            existing = existing.where(_in_partitions(partitions, touched))
-
-        def publish(new: DataFrame) -> None:
-            (
-                new.hint("rebalance", *partitions)
-                .sortWithinPartitions(*partitions, *sort_by)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*partitions)
-                .parquet(lake.path(table))
-            )
-
-        staging = lake.staging(table)
-        if (existing is None or existing.isEmpty()) and not unfinished_run(lake, table, run):
-            publish(combine(None, rows))
-            return rows.count()
-        return staged(
-            spark, staging, run,
-            build=lambda: combine(existing, rows),
-            publish=publish,
-            at_least=lambda: 0 if existing is None else existing.count(),
-        )
-    finally:
-        rows.unpersist()
+    by = [*partitions(table), *levels]
+    ledger = read_if_exists(lake.spark, lake.ledger(table))
+    if ledger is not None:
+        replaced = ledger.where((F.col("state") == COMMITTED) & F.array_contains("replaces", load)).select("partition")
+        for entry in replaced.collect():
+            rows = rows.where(~_in_partition(entry.partition))
+    if rebalance:
+        rows = rows.hint("rebalance", *by)
+    (
+        rows.withColumn(LOAD, F.lit(load))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, LOAD)
+        .parquet(lake.path(table))
+    )
 
 
 # --- compaction -----------------------------------------------------------------
 
 
-def compact(
-    lake: Lake, table: str, day: dict[str, int], run: str, files: int | None = codes.COMPACTED_FILES
-) -> tuple[str, str, int]:
-    """Rewrites one time partition of a table to few files; returns (table, outcome, rows).
+def clean_up(lake: Lake, table: str) -> None:
+    """Removes the folders that recorded loads replace, where an earlier run did not get to it."""
+    ledger = read_if_exists(lake.spark, lake.ledger(table))
+    if ledger is None:
+        return
+    for load, partition in _uncleaned(ledger.select("partition", LOAD, "state").collect()).items():
+        entry = ledger.where((F.col(LOAD) == load) & (F.col("state") == COMMITTED)).first()
+        _remove_loads(lake, table, partition, entry.replaces)
+        _record(lake, table, partition, load, [], entry.rows, CLEANED)
+
+
+def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = None) -> tuple[str, str, int]:
+    """Makes one load of a day's loads; returns (table, outcome, rows).
 
-    The partition is the day, or the coarser one of the table's layout that holds it.
-    Its loads become one. ``files`` is the number of write tasks and so of files per
-    folder; None lets adaptive execution size the files, which suits days of many
-    gigabytes. A partition that is missing or empty is skipped and says so.
+    ``files`` is the number of write tasks; None lets adaptive execution size the files by
+    bytes. A day that is missing or empty is skipped and says so; one that is a
+    single compacted load already is left as it is.
     """
-    spark, staging = lake.spark, lake.staging(table)
-    folder = "/".join([lake.path(table), *(f"{k}={day[k]}" for k in lake.partitions(table))])
-    part = read_if_exists(spark, folder)
-    if not unfinished_run(lake, table, run):
-        if part is None:
-            return table, "missing", 0
-        if part.isEmpty():
-            return table, "empty", 0
-
-    def build() -> DataFrame:
-        single = part.withColumn(LOAD, F.lit(COMPACTED))
-        return single.hint("rebalance") if files is None else single.repartition(files)
-
-    def publish(new: DataFrame) -> None:
-        levels = [c for c in ("city", LOAD) if c in new.columns]
-        new = new if files is None else new.coalesce(files)
-        new.sortWithinPartitions(*levels).write.mode("overwrite").partitionBy(*levels).parquet(folder)
-
-    return table, "compacted", staged(spark, staging, run, build, publish, at_least=lambda: part.count())
+    spark = lake.spark
+    clean_up(lake, table)
+    values = {"date_key": day["year"] * 10000 + day["month"] * 100 + day["day"], **day}
+    partition = "/".join(f"{k}={values[k]}" for k in partitions(table))
+    folder = f"{lake.path(table)}/{partition}"
+    stored = read_if_exists(spark, folder)
+    if stored is None:
+        return table, "missing", 0
+    loads = [r.load for r in stored.select(LOAD).distinct().collect()]
+    ledger = read_if_exists(spark, lake.ledger(table))
+    recorded = [] if ledger is None else [r.load for r in ledger.select(LOAD).distinct().collect()]
+    # What an earlier run wrote but did not record is not read and goes.
+    dead = [x for x in loads if x.startswith(COMPACTED) and x not in recorded]
+    _remove_loads(lake, table, partition, dead)
+    loads = [x for x in loads if x not in dead]
+    part = spark.read.schema(stored.schema).parquet(folder).where(F.col(LOAD).isin(loads)) if loads else stored.limit(0)
+    if part.isEmpty():
+        return table, "empty", 0
+    if table in FACT_KEYS:
+        below = [k for k in FACT_KEYS[table] if k not in DATE_KEY]
+        part = merge.latest_per_key(part, below, SEQUENCE)
+    expected = part.count()
+    if loads[1:] or not loads[0].startswith(COMPACTED):
+        load = COMPACTED + uuid.uuid4().hex
+        levels = [c for c in ("city", LOAD) if c in part.columns]
+        new = part.withColumn(LOAD, F.lit(load))
+        new = new.hint("rebalance") if files is None else new.repartition(files)
+        new.sortWithinPartitions(*levels).write.mode("append").partitionBy(*levels).parquet(folder)
+        copied = spark.read.schema(stored.schema).parquet(folder).where(F.col(LOAD) == load).count()
+        if copied != expected:
+            _remove_loads(lake, table, partition, [load])
+            raise RuntimeError(f"copied {copied} of {expected} rows of {folder}; table left as it was")
+        _record(lake, table, partition, load, loads, copied, COMMITTED)
+        clean_up(lake, table)
+    return table, "compacted", expected

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlake.functions import flow, geo
-from roadlake.operators import contract, keys, merge
+from roadlake.operators import contract, keys
+from roadlake.sinks import dimension_store
 from roadlake.sinks import lake as tables
 from roadlake.sinks.lake import Lake
 from roadlake.sources.dimensions import Dimensions
@@ -17,13 +18,13 @@ LOADED = "inserted_at"
 
 def land(records: DataFrame, lake: Lake, table: str, load: str) -> None:
     """Records as they came, by day of ingestion. No shuffle."""
-    rows = tables.with_day(records, flow.event_time())
-    tables.write_load(rows, lake.path(table), lake.partitions(table), load)
+    tables.write_load(lake, table, tables.with_day(records, flow.event_time()), load)
 
 
 def quarantine(rejected: DataFrame, lake: Lake, source: str, load: str) -> None:
-    """Dead-letter rows of one source, kept by load."""
-    tables.write_load(rejected, lake.path(f"{tables.QUARANTINE}/{source}"), [], load)
+    """Dead-letter rows of one source, by the day they failed."""
+    rows = tables.with_day(rejected, F.col("failed_at"))
+    tables.write_load(lake, f"{tables.QUARANTINE}/{source}", rows, load)
 
 
 def route(checked: DataFrame, schema: T.StructType, lake: Lake, table: str, load: str) -> None:
@@ -33,22 +34,21 @@ def route(checked: DataFrame, schema: T.StructType, lake: Lake, table: str, load
     """
     checked = checked.persist()
     try:
-        land(contract.accepted(checked, schema, "key", "timestamp"), lake, table, load)
-        quarantine(contract.rejected(checked, "key", "timestamp"), lake, table.rsplit("/", 1)[-1], load)
+        keep = [c for c in ("key", "timestamp") if c in checked.columns]
+        land(contract.accepted(checked, schema, *keep), lake, table, load)
+        quarantine(contract.rejected(checked, *keep), lake, table.rsplit("/", 1)[-1], load)
     finally:
         checked.unpersist()
 
 
 def write_silver_flow(rollup: DataFrame, lake: Lake, load: str) -> None:
     rows = tables.with_day(rollup, F.col("window_start"))
-    partitions = [*lake.partitions(tables.SILVER_FLOW), "city"]
-    tables.write_load(rows, lake.path(tables.SILVER_FLOW), partitions, load, rebalance=True)
+    tables.write_load(lake, tables.SILVER_FLOW, rows, load, "city", rebalance=True)
 
 
 def write_silver_incidents(collapsed: DataFrame, lake: Lake, load: str) -> None:
     rows = tables.with_day(collapsed, F.col("event_time"))
-    partitions = [*lake.partitions(tables.SILVER_INCIDENTS), "city"]
-    tables.write_load(rows, lake.path(tables.SILVER_INCIDENTS), partitions, load, rebalance=True)
+    tables.write_load(lake, tables.SILVER_INCIDENTS, rows, load, "city", rebalance=True)
 
 
 def _surrogate(identity: list[str]) -> Column:
@@ -56,44 +56,32 @@ def _surrogate(identity: list[str]) -> Column:
     return F.xxhash64(F.to_json(F.struct(*identity)))
 
 
-def _loaded() -> dict[str, Column]:
-    return {"month_key": F.expr("date_key div 100").cast("int"), LOADED: F.current_timestamp()}
-
-
-def _replace_newer(identity: list[str]):
-    def combine(existing: DataFrame | None, new: DataFrame) -> DataFrame:
-        both = new if existing is None else existing.unionByName(new)
-        return merge.latest_per_key(both, identity, LOADED)
-
-    return combine
+def _load_facts(facts: DataFrame, lake: Lake, table: str, load: str) -> int:
+    """One load of a fact table, and its dead letters; the facts are computed once."""
+    facts = keys.with_days_to_come(facts, "window_start_utc").withColumns(
+        {LOADED: F.current_timestamp(), tables.SEQUENCE: F.lit(tables.sequence(lake, table, load)).cast("long")}
+    ).persist()
+    try:
+        quarantine(keys.outside_calendar(facts.drop(tables.SEQUENCE)), lake, table.rsplit("/", 1)[-1], load)
+        inside = keys.in_calendar(facts)
+        dimension_store.add_days(lake, inside.select(F.to_date("window_start_utc").alias("full_date")).distinct())
+        tables.write_load(lake, table, inside, load, rebalance=True)
+        return inside.count()
+    finally:
+        facts.unpersist()
 
 
-def load_flow_facts(rollup: DataFrame, dims: Dimensions, lake: Lake, run: str) -> int:
-    """Keyed upsert into fact_traffic_flow; a row loaded again replaces the older one."""
+def load_flow_facts(rollup: DataFrame, dims: Dimensions, lake: Lake, load: str) -> int:
+    """Keyed upsert into fact_traffic_flow; a row loaded again takes the older one's place."""
     facts = keys.flow_facts(keys.resolve_flow_keys(rollup, dims), "location_name")
-    facts = facts.withColumns({"flow_sk": _surrogate(keys.FLOW_IDENTITY), **_loaded()})
-    quarantine(keys.outside_calendar(facts, keys.FLOW_IDENTITY), lake, "fact_traffic_flow", run)
-    return tables.replace_partitions(
-        lake, tables.FACT_FLOW, keys.in_calendar(facts), run,
-        _replace_newer(keys.FLOW_IDENTITY), ["location_name"],
-    )
+    return _load_facts(facts.withColumn("flow_sk", _surrogate(keys.FLOW_IDENTITY)), lake, tables.FACT_FLOW, load)
 
 
-def load_incident_facts(collapsed: DataFrame, dims: Dimensions, lake: Lake, run: str) -> int:
+def load_incident_facts(collapsed: DataFrame, dims: Dimensions, lake: Lake, load: str) -> int:
     """Keyed upsert into fact_incidents on window and incident identity, NULL parts equal."""
     facts = keys.incident_facts(keys.resolve_incident_keys(collapsed, dims), "bbox_name", "category")
-    facts = facts.withColumns(
-        {
-            "geom": geo.point(F.col("lat"), F.col("lon")),
-            "incident_sk": _surrogate(keys.INCIDENT_IDENTITY),
-            **_loaded(),
-        }
-    )
-    quarantine(keys.outside_calendar(facts, keys.INCIDENT_IDENTITY), lake, "fact_incidents", run)
-    return tables.replace_partitions(
-        lake, tables.FACT_INCIDENTS, keys.in_calendar(facts), run,
-        _replace_newer(keys.INCIDENT_IDENTITY), ["bbox_name"],
-    )
+    facts = facts.withColumns({"geom": geo.point(F.col("lat"), F.col("lon")), "incident_sk": _surrogate(keys.INCIDENT_IDENTITY)})
+    return _load_facts(facts, lake, tables.FACT_INCIDENTS, load)
 
 
 def mirror(rows: DataFrame, table: str, jdbc: dict[str, str]) -> None:

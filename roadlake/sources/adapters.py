@@ -27,20 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Shares out the rows of a scan that has fewer tasks than there are cores.
-
-    The benchmark files hold one row group each, so all work before the first shuffle
-    would fall to a single task. A scan of many files is left as it is. Rows are dealt
-    by key, so a task that is run again gets the same rows.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _base_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    events = spread(events, "event_id")
     place = F.col("user_id") % len(PLACES)
     step1 = events.select(
         "event_id",
@@ -100,7 +88,6 @@ def _iso(seconds: Column) -> Column:
 def incident_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident polls: one order line is one poll of the order's incident."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    lines = spread(lines, "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     polls = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -161,9 +148,25 @@ def raw_flow_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_flow_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw flow responses of which some are cut short, have a fraction or text for a whole
+    number, or hold no segment; ``kind`` says which (NULL: sound)."""
+    part = F.expr("(ingested_at div 1000) % 40")
+    with_speed = F.col("body").contains('"currentSpeed"')
+    kind = F.when(part == 0, "cut").when((part == 1) & with_speed, "fraction").when((part == 2) & with_speed, "text").when(part == 3, "empty")
+    body = (
+        F.when(F.col("kind") == "cut", F.expr("substring(body, 1, length(body) - 3)"))
+        .when(F.col("kind") == "fraction", F.regexp_replace("body", r'"currentSpeed":(\d+)', r'"currentSpeed":$1.5'))
+        .when(F.col("kind") == "text", F.regexp_replace("body", r'"currentSpeed":(\d+)', r'"currentSpeed":"x$1"'))
+        .when(F.col("kind") == "empty", F.lit("{}"))
+        .otherwise(F.col("body"))
+    )
+    return raw_flow_json(spark, sf_dir).withColumn("kind", kind).withColumn("body", body)
+
+
 def raw_incident_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw incident responses of up to 10 incidents (ten neighbouring order keys)."""
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     k = F.col("o_orderkey")
     lon, lat = 30 + (k % 100) / 100, 31 + (k % 50) / 100
     vertices = (k % 4).cast("int")

@@ -4,12 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlake.functions.flow import speed_ratio
 from roadlake.functions.lookup import category_name
 from roadlake.sources import contracts
 
 
+CORRUPT = "_corrupt_record"
+
+
+def parsed(body: Column, schema: T.StructType) -> Column:
+    """The response, with its text in ``_corrupt_record`` where a field has the wrong type."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = schema.fields + [T.StructField(CORRUPT, T.StringType())]
+    return F.from_json(body, T.StructType(fields), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def well_formed(responses: DataFrame, schema: T.StructType, part: str, body: str = "body") -> DataFrame:
+    """Adds ``response`` to the responses that parse and hold ``part`` with the right types.
+
+    It comes out of a one-element explode, so no filter parses the text again.
+    """
+    rows = responses.withColumn("response", F.explode(F.array(parsed(F.col(body), schema))))
+    return rows.where(_reason(part).isNull())
+
+
+def _reason(part: str) -> Column:
+    response = F.col("response")
+    malformed = response.isNull() | response[CORRUPT].isNotNull()
+    return F.when(malformed, "malformed response").when(response[part].isNull(), f"missing {part}")
+
+
+def dead_letters(responses: DataFrame, schema: T.StructType, part: str, body: str = "body") -> DataFrame:
+    """The other responses, whole, with the reason: nothing is read as zeros or left out."""
+    rows = responses.withColumn("response", F.explode(F.array(parsed(F.col(body), schema)))).withColumn("reason", _reason(part))
+    return rows.where("reason IS NOT NULL").select(
+        F.current_timestamp().alias("failed_at"), "reason", F.col(body).alias("record"),
+        *[c for c in responses.columns if c != body],
+    )
+
+
+FLOW_PART, INCIDENT_PART = "flowSegmentData", "incidents"
+
+
 def middle(items: Column) -> Column:
     """The element at half the length of an array, NULL for an empty or missing one."""
     return F.try_element_at(items, (F.size(items) / 2).cast("int") + 1)
@@ -24,9 +62,11 @@ def flow_records(responses: DataFrame, body: str = "body") -> DataFrame:
     """One record per flow response.
 
     Needs ``ingested_at, location_name, query_lat, query_lon`` next to the JSON
-    text. Absent numbers become 0, absent text "", an absent closure false.
+    text. Absent numbers become 0, absent text "", an absent closure false. A body that
+    is malformed or has a value of the wrong type gives none: see ``dead_letters``.
     """
-    parsed = responses.withColumn("seg", F.from_json(F.col(body), contracts.RAW_FLOW)["flowSegmentData"])
+    fitting = well_formed(responses, contracts.RAW_FLOW, FLOW_PART, body)
+    parsed = fitting.withColumn("seg", F.col("response")[FLOW_PART])
 
     def zero(field: str) -> Column:
         return F.coalesce(F.col(f"seg.{field}"), F.lit(0))
@@ -65,11 +105,12 @@ def message_key(bbox_name: Column, position: Column) -> Column:
 def incident_records(responses: DataFrame, body: str = "body", with_key: bool = False) -> DataFrame:
     """One record per incident of each response; needs ``ingested_at, bbox_name``.
 
-    A response without incidents yields nothing. ``with_key`` adds the message
+    A response with an empty list yields nothing; a malformed one is a dead letter. ``with_key`` adds the message
     key, the area name and the incident's place in its response.
     """
-    incidents = F.from_json(F.col(body), contracts.RAW_INCIDENTS)["incidents"]
-    each = responses.select("ingested_at", "bbox_name", F.posexplode(incidents).alias("position", "incident"))
+    incidents = F.col("response")[INCIDENT_PART]
+    fitting = well_formed(responses, contracts.RAW_INCIDENTS, INCIDENT_PART, body)
+    each = fitting.select("ingested_at", "bbox_name", F.posexplode(incidents).alias("position", "incident"))
     each = each.select(
         "ingested_at",
         "bbox_name",

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
-
-MAX_RECORDS_PER_TRIGGER = 1000
-
 
 def replay_stream(
     spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int | None = None, kind: str = "parquet"
@@ -20,20 +17,21 @@ def replay_stream(
 
 
 def topic_stream(
-    spark: SparkSession, servers: str, topic: str, max_records: int | None = MAX_RECORDS_PER_TRIGGER,
-    starting: str = "latest",
+    spark: SparkSession, servers: str, topic: str, max_records: int | None = None, starting: str = "latest",
+    fail_on_loss: bool = True,
 ) -> DataFrame:
     """Stream of a broker topic with key, value and timestamp.
 
-    Needs the external broker connector on the cluster. The record cap protects a
-    small deployment; ``max_records=None`` takes all that is there.
+    Needs the external broker connector on the cluster. All that is there is taken, unless
+    ``max_records`` caps a trigger; a cap below the rate of arrival outlives the topic's
+    retention, which stops the query rather than skip records (``fail_on_loss``).
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_loss).lower())
     )
     if max_records:
         reader = reader.option("maxOffsetsPerTrigger", max_records)

@@ -30,6 +30,11 @@ def split_envelope(messages: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def text_of(payload: str) -> Column:
+    """Payload bytes as text, NULL where they are not valid UTF-8."""
+    return F.try_validate_utf8(F.col(payload).cast("string"))
+
+
 def parse_json(text: Column, schema: T.StructType) -> Column:
     """Record struct of a JSON payload; the text itself in a corrupt-record field if it does not fit."""
     return F.from_json(
@@ -58,7 +63,7 @@ def decode_payload(
     NULL fields instead of stopping the job; ``operators.contract`` sets it aside.
     """
     if avro_schema is None:
-        record = F.from_json(F.decode(F.col(payload), "UTF-8"), schema, {"mode": "PERMISSIVE"})
+        record = F.from_json(text_of(payload), schema, {"mode": "PERMISSIVE"})
     else:
         record = parse_avro(F.col(payload), avro_schema)
     return messages.select(record.alias("data"), "timestamp").select("data.*", "timestamp")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -28,8 +29,13 @@ def current(dims: DimensionSource) -> Dimensions:
     return dims() if callable(dims) else dims
 
 
-def load_id(batch_id: int) -> str:
-    return f"b{batch_id}"
+def load_id(lake: Lake, name: str, batch_id: int) -> str:
+    """Id of a micro-batch's load: the id its query's checkpoint was given, and the batch.
+
+    A redelivered batch has the id it had; another checkpoint never repeats one.
+    """
+    (line,) = lake.spark.read.text(f"{lake.checkpoint(name)}/metadata").collect()
+    return f"{json.loads(line.value)['id']}.{batch_id}"
 
 
 def _start(rows: DataFrame, lake: Lake, name: str, write, trigger: dict) -> StreamingQuery:
@@ -45,7 +51,7 @@ def _start(rows: DataFrame, lake: Lake, name: str, write, trigger: dict) -> Stre
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                write(batch, load_id(batch_id))
+                write(batch, load_id(lake, name, batch_id))
         finally:
             batch.unpersist()
 
@@ -81,7 +87,7 @@ def load_flow_stream(
     def write(batch: DataFrame, load: str) -> None:
         writers.write_silver_flow(batch, lake, load)
         if dims is not None:
-            writers.load_flow_facts(batch, current(dims), lake, f"stream-{load}")
+            writers.load_flow_facts(batch, current(dims), lake, load)
 
     return _start(rollup, lake, "flow_rollup", write, trigger)
 
@@ -94,7 +100,7 @@ def load_incident_stream(
     def write(batch: DataFrame, load: str) -> None:
         writers.write_silver_incidents(batch, lake, load)
         if dims is not None:
-            writers.load_incident_facts(batch, current(dims), lake, f"stream-{load}")
+            writers.load_incident_facts(batch, current(dims), lake, load)
 
     return _start(collapsed, lake, "incident_rollup", write, trigger)
 
@@ -113,8 +119,10 @@ class Feed:
         split = wire.split_envelope(messages)
         known = F.col("magic") == wire.MAGIC
         if avro_schema is None:
-            text = F.when(known, F.decode(F.col("payload"), "UTF-8"))
-            return contract.check_records(split, text, self.schema, self.required, self.zero_defaults)
+            # What is not text of a known kind is kept as it came, in base64, and is no record.
+            text = F.when(known, wire.text_of("payload"))
+            kept = F.coalesce(text, F.base64("value"))
+            return contract.check_records(split, kept, self.schema, self.required, self.zero_defaults)
         record = F.when(known, wire.parse_avro(F.col("payload"), avro_schema))
         return contract.check_records(
             split, F.base64("value"), self.schema, self.required, self.zero_defaults, record
