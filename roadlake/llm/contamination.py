@@ -263,7 +263,8 @@ def with_findings(docs: DataFrame, benchmark: DataFrame, name: str, shard_bytes:
     blocks = benchmark_blocks(benchmark, block_bytes) or [Patterns.of([], [])]
     for k, patterns in enumerate(blocks):
         search = arrow_udf(lambda texts, p=patterns: _found(texts, p, shard_bytes), FOUND)
-        docs = docs.withColumn(f"{own}{k}", search("text"))
+        # Else a filter on the findings would be moved below the search and repeat it.
+        docs = docs.withColumn(f"{own}{k}", search.asNondeterministic()("text"))
     parts = [F.col(f"{own}{k}") for k in range(len(blocks))]
     if len(parts) == 1:
         return docs.withColumnRenamed(f"{own}0", name)

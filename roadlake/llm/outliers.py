@@ -20,12 +20,11 @@ from __future__ import annotations
 
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf, pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from roadlake.llm.tables import column, free_name, stored
 from roadlake.llm.textbytes import NOT_SPACE, constants, hashes, mix, slices, word_spans
@@ -101,6 +100,10 @@ def text_statistics(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c) for c in columns], names=list(STATISTICS))
 
 
+# Else a filter on the result would be moved below it and count every text a second time.
+text_statistics = text_statistics.asNondeterministic()
+
+
 def base_failed(stats: Column) -> Column:
     return (stats.n_words < MIN_WORDS) | (100 * stats.n_repeat_words > 50 * stats.n_words)
 
@@ -129,17 +132,18 @@ def chi_square_bound(tail: float = TAIL, p: int = P) -> float:
 _ROW = T.ArrayType(T.DoubleType())
 
 
-@pandas_udf(T.StructType([T.StructField("mu", _ROW), T.StructField("inv", _ROW), T.StructField("logdet", T.DoubleType())]))
-def _solve(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
+@arrow_udf(T.StructType([T.StructField("mu", _ROW), T.StructField("inv", _ROW), T.StructField("logdet", T.DoubleType())]))
+def _solve(n: pa.Array, sums: pa.Array, products: pa.Array) -> pa.Array:
     """Centre, inverse scatter and log determinant from moments; floors keep it regular."""
     rows = []
-    for k, s, q in zip(n, sums, products, strict=True):
+    for k, s, q in zip(n.to_pylist(), sums.to_pylist(), products.to_pylist(), strict=True):
         mu = np.asarray(s, float) / k
         cov = np.zeros((P, P))
         cov[np.triu_indices(P)] = np.asarray(q, float) / k
         cov = cov + cov.T - np.diag(np.diag(cov)) - np.outer(mu, mu) + np.diag(np.square(FLOORS))
-        rows.append((mu.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
-    return pd.DataFrame(rows, columns=["mu", "inv", "logdet"])
+        rows.append({"mu": mu.tolist(), "inv": np.linalg.inv(cov).ravel().tolist(), "logdet": float(np.linalg.slogdet(cov)[1])})
+    row = pa.list_(pa.float64())
+    return pa.array(rows, pa.struct([("mu", row), ("inv", row), ("logdet", pa.float64())]))
 
 
 def distance(x: Column, mu: Column, inv: Column) -> Column:
