@@ -244,8 +244,9 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = stored(texts.join(known.hint("shuffle_merge"), "doc_id"), "labelled")
     automaton = Automaton(learn_lexicon(labelled))
     features = with_features(automaton)
-    sample = labelled.orderBy(F.xxhash64("doc_id")).limit(FIT_ROWS) if labelled.count() > FIT_ROWS else labelled
-    fitted = sample.select(features("text").alias("x"), "toxic").collect()
+    # Features before the sample: texts are not sorted, at any size.
+    described = labelled.select(F.xxhash64("doc_id").alias("place"), features("text").alias("x"), "toxic")
+    fitted = described.orderBy("place").limit(FIT_ROWS).select("x", "toxic").collect()
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), features("text").alias("features"))
     if not fitted:
         return rows.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), "features")
