@@ -22,7 +22,8 @@ _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_VALUES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {_BASE: np.ones(1, np.uint64), _BASE_INVERSE: np.ones(1, np.uint64)}
+# A power is one of these times one of base^PAGE: tables stay small however long a text is.
+PAGE = 1 << 16
 
 LOWER_AZ = np.arange(256, dtype=np.uint8)
 LOWER_AZ[65:91] += 32
@@ -42,12 +43,18 @@ ALPHANUMERIC = byte_class((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    have = _powers[base]
-    if len(have) < n:
-        grown = np.full(max(n, 2 * len(have)), base, np.uint64)
-        grown[0] = 1
-        have = _powers[base] = np.cumprod(grown)
-    return have[:n]
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors)
+
+
+def page_powers(base: int, n: int) -> np.ndarray:
+    """The power at the start of each page of n positions."""
+    return powers(pow(base, PAGE, 1 << 64), -(-n // PAGE))
+
+
+_IN_PAGE = powers(_BASE, PAGE)
+_IN_PAGE_INVERSE = powers(_BASE_INVERSE, PAGE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -77,7 +84,10 @@ class Slice:
 
     def prefix(self) -> np.ndarray:
         terms = _BYTE_VALUES[self.data]
-        terms *= powers(_BASE, len(terms))
+        for k, start in enumerate(page_powers(_BASE, len(terms))):
+            page = terms[k * PAGE : (k + 1) * PAGE]
+            page *= _IN_PAGE[: len(page)]
+            page *= start
         sums = np.zeros(len(terms) + 1, np.uint64)
         np.cumsum(terms, out=sums[1:])
         return sums
@@ -88,7 +98,8 @@ class Slice:
 
 def hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     h = prefix[ends] - prefix[starts]
-    h *= powers(_BASE_INVERSE, len(prefix))[starts]
+    h *= _IN_PAGE_INVERSE[starts & (PAGE - 1)]
+    h *= page_powers(_BASE_INVERSE, len(prefix))[starts >> PAGE.bit_length() - 1]
     h += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     return mix(h)
 
@@ -110,6 +121,8 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES, lower: bool = False) -> It
         part = data[offsets[first] : offsets[last]]
         yield Slice(first, LOWER_AZ[part] if lower else part, offsets[first : last + 1] - offsets[first])
         first = last
+    # Workers are kept between stages: what Arrow holds for batches that are done goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(s: Slice, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
