@@ -1,9 +1,9 @@
 """Toxicity scores from a learned lexicon, matched by Levenshtein automata.
 
 1. Lexicon: words and word beginnings (four letters or more, marked `*`) that labelled toxic
-   documents hold far more often than other labelled documents. All labelled training rows
-   are counted; a candidate must be in 1 % of the toxic ones, which bounds the list by a
-   hundred times the distinct terms of a mean document.
+   documents hold significantly more than LEAST_ODDS times as often as other labelled documents
+   (likelihood ratio). All labelled training rows are counted; a use between quotation marks
+   does not count on either side. The least count is the same at every size.
 2. Matching: the lexicon is a trie. Its product with the automaton of one edit is made
    deterministic once, and all words of a slice of texts run through that table together: exact
    terms and beginnings, and misspellings (one insertion, deletion or substitution) of
@@ -22,6 +22,7 @@ is toxic if one says so; repeated documents are scored each; without labels ever
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,19 +37,22 @@ from roadlake.llm.tables import sieve, stored
 from roadlake.llm.textbytes import slices
 
 FIT_ROWS = 50_000
-LEAST_SHARE = 0.01
 LEAST_DOCUMENTS = 4
-ODDS = 50  # share among toxic documents over share among others
+LEAST_ODDS = 5  # share among toxic documents over share among others
+SIGNIFICANT = 5.41  # chi-square of one degree, 1 % on one side
+HELD_TERMS = 200_000
 STEM = 4
 FUZZY = 5
 CONTEXT = 3
 RIDGE = 1e-2
 FEATURES = ("exact", "fuzzy", "quoted", "density")
+_QUOTES = "\"“”„‟«»‹›"
 _WORD = re.compile(r"[^\W\d_]+")
+_QUOTED = re.compile(f"[{_QUOTES}]")
 _LETTER = np.array([chr(i).isalpha() for i in range(1 << 16)])
 _FOLD = np.array([ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(1 << 16)], np.uint32)
 _QUOTE = np.zeros(1 << 16, bool)
-_QUOTE[[ord(c) for c in "\"“”„‟«»‹›"]] = True
+_QUOTE[[ord(c) for c in _QUOTES]] = True
 
 
 def held_out(doc_id: Column) -> Column:
@@ -56,48 +60,70 @@ def held_out(doc_id: Column) -> Column:
 
 
 def terms_of(text: str | None) -> set[str]:
-    """Words, and their beginnings with `*`."""
-    words = set(_WORD.findall((text or "").lower()))
+    """Words, and their beginnings with `*`, but for words with quotation marks on both sides."""
+    text = (text or "").lower()
+    quotes = [m.start() for m in _QUOTED.finditer(text)]
+    if len(quotes) < 2:
+        words = set(_WORD.findall(text))
+    else:
+        spans = [m.span() for m in _WORD.finditer(text)]
+        words = set()
+        for k, (start, end) in enumerate(spans):
+            left, right = spans[max(k - CONTEXT, 0)][0] - 1, spans[min(k + CONTEXT, len(spans) - 1)][1] + 1
+            before, after = bisect_left(quotes, start), bisect_left(quotes, end)
+            if before == bisect_left(quotes, left) or after == bisect_left(quotes, right):
+                words.add(text[start:end])
     return words | {w[:k] + "*" for w in words for k in range(STEM, len(w))}
 
 
-def _count(known: frozenset[str] | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                terms = terms_of(text)
-                counts.update(terms if known is None else terms & known)
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
 
-    return run
+    def counted() -> pa.RecordBatch:
+        terms = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array([c[t] for t in terms], pa.int64()) for c in counts]
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *columns], names=["term", "clean", "toxic"])
 
-
-def _document_counts(rows: DataFrame, known: frozenset[str] | None) -> DataFrame:
-    counted = rows.select("text").mapInArrow(_count(known), "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n"))
+    for batch in batches:
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            if toxic in (0, 1):
+                counts[toxic].update(terms_of(text))
+            if len(counts[0]) + len(counts[1]) > HELD_TERMS:
+                yield counted()
+                for c in counts:
+                    c.clear()
+    yield counted()
 
 
 def learn_lexicon(labelled: DataFrame) -> list[str]:
     """Words, and beginnings with `*`, of toxic documents. labelled: text, toxic."""
-    toxic, clean = labelled.where("toxic = 1"), labelled.where("toxic = 0")
     sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * n_toxic)
-    often = {r.term: r.n for r in _document_counts(toxic, None).where(F.col("n") >= least).collect()}
-    other = {r.term: r.n for r in _document_counts(clean, frozenset(often)).collect()} if often else {}
-    odd = {t: n for t, n in often.items() if n * (n_clean + 1) >= ODDS * (other.get(t, 0) + 0.5) * n_toxic}
-    # A beginning stands for all that begin with it; a word stays for matching with an edit if
-    # it is most of its beginning.
-    stems = sorted((t[:-1] for t in odd if t.endswith("*")), key=len)
+    if not n_toxic or not n_clean:
+        return []
+    counted = labelled.select("text", "toxic").mapInArrow(_count, "term string, clean long, toxic long")
+    counted = counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # Of the documents with a term, more are toxic than odds of LEAST_ODDS explain.
+    usual = LEAST_ODDS * n_toxic / (LEAST_ODDS * n_toxic + n_clean)
+    toxic, clean, both = F.col("toxic"), F.col("clean"), F.col("toxic") + F.col("clean")
+    ratio = 2 * (toxic * F.log(toxic / (both * usual)) + F.when(clean > 0, clean * F.log(clean / (both * (1 - usual)))).otherwise(0.0))
+    found = counted.where(toxic >= LEAST_DOCUMENTS).where((toxic > both * usual) & (ratio >= SIGNIFICANT)).collect()
+    odds = {r.term: r.toxic / (r.clean + 0.5) for r in found}
+    best: dict[str, float] = {}
+    for t, o in odds.items():
+        for k in range(STEM, len(t) if t.endswith("*") else len(t) + 1):
+            best[t[:k]] = max(best.get(t[:k], 0.0), o)
+    # A beginning stands for all that begin with it, unless other words blur what its terms tell.
     kept: set[str] = set()
-    for s in stems:
-        if not any(s[:k] in kept for k in range(STEM, len(s))):
+    for s in sorted((t[:-1] for t in odds if t.endswith("*")), key=len):
+        if 2 * odds[s + "*"] >= best[s] and not any(s[:k] in kept for k in range(STEM, len(s))):
             kept.add(s)
+    # A word stays for matching with an edit if it is most of its beginning.
+    toxic_in = {r.term: r.toxic for r in found}
     words = []
-    for w in (t for t in odd if not t.endswith("*")):
+    for w in (t for t in odds if not t.endswith("*")):
         above = next((w[:k] for k in range(STEM, len(w)) if w[:k] in kept), None)
-        if above is None or odd[w] >= 0.6 * odd[above + "*"]:
+        if above is None or toxic_in[w] >= 0.6 * toxic_in[above + "*"]:
             words.append(w)
     return sorted(words) + sorted(s + "*" for s in kept)
 

@@ -319,6 +319,19 @@ def test_quotation_counts_less_than_abuse():
     assert plain[0] > 0 and plain[2] == 0 and quoted[0] == 0 and quoted[2] > 0
 
 
+def test_quoted_and_rare_terms_are_learned(spark):
+    """A term that clean documents quote often, and one in 0.5 % of the toxic ones."""
+    rows = [(f"plain words number {i} you are a total grobnik today", 1) for i in range(300)]
+    rows += [(f"plain words number {i} what a vile zarfling he is", 1) for i in range(5)]
+    rows += [(f"plain words number {i} and nothing much to say here", 1) for i in range(695)]
+    rows += [(f'plain words number {i} they wrote "grobnik" in the report of the day', 0) for i in range(400)]
+    rows += [(f"plain words number {i} about a quiet day and nothing much to say", 0) for i in range(3600)]
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    for word in ("grobnik", "zarfling"):
+        assert any(t == word or (t.endswith("*") and word.startswith(t[:-1])) for t in lexicon), word
+    assert not {"plain", "words", "number", "nothing", "report"} & set(lexicon)
+
+
 # --- perplexity --------------------------------------------------------------------
 
 
