@@ -7,7 +7,8 @@
 2. Matching: the lexicon is a trie. Its product with the automaton of one edit is made
    deterministic once, and all words of a slice of texts run through that table together: exact
    terms and beginnings, and misspellings (one insertion, deletion or substitution) of
-   whole words of five letters or more.
+   whole words of five letters or more. Two words with a single digit or symbol between them
+   are also read as one, in which that is a wrong letter or a letter too many.
 3. Context: a hit counts 1, less a half for a quotation mark in the three words before it and
    a half for one in the three words after it; what is taken off counts as quotation.
 4. Score: logistic regression of the logarithms of those sums, fitted on at most FIT_ROWS
@@ -51,6 +52,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _QUOTED = re.compile(f"[{_QUOTES}]")
 _LETTER = np.array([chr(i).isalpha() for i in range(1 << 16)])
 _FOLD = np.array([ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(1 << 16)], np.uint32)
+_SPACE = np.array([chr(i).isspace() for i in range(1 << 16)])
 _QUOTE = np.zeros(1 << 16, bool)
 _QUOTE[[ord(c) for c in _QUOTES]] = True
 
@@ -118,13 +120,7 @@ def learn_lexicon(labelled: DataFrame) -> list[str]:
     for s in sorted((t[:-1] for t in odds if t.endswith("*")), key=len):
         if 2 * odds[s + "*"] >= best[s] and not any(s[:k] in kept for k in range(STEM, len(s))):
             kept.add(s)
-    # A word stays for matching with an edit if it is most of its beginning.
-    toxic_in = {r.term: r.toxic for r in found}
-    words = []
-    for w in (t for t in odds if not t.endswith("*")):
-        above = next((w[:k] for k in range(STEM, len(w)) if w[:k] in kept), None)
-        if above is None or toxic_in[w] >= 0.6 * toxic_in[above + "*"]:
-            words.append(w)
+    words = [t for t in odds if not t.endswith("*")]  # all of them, for matching with an edit
     return sorted(words) + sorted(s + "*" for s in kept)
 
 
@@ -224,14 +220,23 @@ def _features_of(texts: pa.Array, automaton: Automaton) -> np.ndarray:
         ends = np.flatnonzero(inside & ~after) + 1
         counts = np.diff(np.searchsorted(starts, bounds))
         verdict = automaton.read_words(letters, starts, ends - starts)
+        # Neighbours that no term is in, with one digit or symbol between them.
+        texts_of = np.repeat(np.arange(s.n), counts)
+        joint = np.flatnonzero((starts[1:] == ends[:-1] + 1) & (texts_of[1:] == texts_of[:-1]) & (verdict[1:] == 0) & (verdict[:-1] == 0))
+        joint = joint[~_SPACE[points[ends[joint]]] & ~_QUOTE[points[ends[joint]]]]
+        joint = joint[automaton.read_words(letters, starts[joint], ends[joint + 1] - starts[joint]) > 0]
+        verdict[joint] = 1
+        tail = np.arange(len(starts))  # the last word of a hit
+        tail[joint] += 1
         hit = np.flatnonzero(verdict)
-        text = np.repeat(np.arange(s.n), counts)[hit]
+        tail = tail[hit]
+        text = texts_of[hit]
         first = (np.cumsum(counts) - counts)[text]
         last = first + counts[text] - 1
         quotes = np.concatenate([[0], np.cumsum(_QUOTE[points])])
         left = np.maximum(starts[np.maximum(hit - CONTEXT, first)] - 1, bounds[text]) if len(hit) else hit
-        right = np.minimum(ends[np.minimum(hit + CONTEXT, last)] + 1, bounds[text + 1]) if len(hit) else hit
-        abuse = 1 - 0.5 * (quotes[starts[hit]] > quotes[left]) - 0.5 * (quotes[right] > quotes[ends[hit]])
+        right = np.minimum(ends[np.minimum(tail + CONTEXT, last)] + 1, bounds[text + 1]) if len(hit) else hit
+        abuse = 1 - 0.5 * (quotes[starts[hit]] > quotes[left]) - 0.5 * (quotes[right] > quotes[ends[tail]])
         total = lambda w: np.bincount(text, weights=w, minlength=s.n)  # noqa: E731,B023
         exact, fuzzy = total(abuse * (verdict[hit] == 2)), total(abuse * (verdict[hit] == 1))
         parts.append(np.stack([

@@ -332,6 +332,23 @@ def test_quoted_and_rare_terms_are_learned(spark):
     assert not {"plain", "words", "number", "nothing", "report"} & set(lexicon)
 
 
+def test_misspellings_of_inflected_words_and_with_symbols(spark):
+    import pyarrow as pa
+
+    rows = [(f"number {i} you are a {w} today and more", 1) for i in range(100) for w in ("moron", "morons")]
+    rows += [(f"number {i} you are an idiot today and more", 1) for i in range(100)]
+    rows += [(f"number {i} you are a calm one on an odd day, today and more", 0) for i in range(2000)]
+    automaton = toxicity.Automaton(toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int")))
+    caught = ["a mron here", "two moeron s", "a m0ron here", "an id!ot", "xm0rons", "an id-iot", "m0ron"]
+    other = ["a m0r0n here", "an id! ot", 'an id"ot', "a day.today", "", "id", "id!"]
+    found = toxicity._features_of(pa.array(caught + other), automaton)
+    assert (found[:, 0] == 0).all() and (found[:, 1] > 0).tolist() == [c != "xm0rons" for c in caught] + [False] * len(other)
+    # Hits by themselves stay so, and the marks around a joined word count as for any other.
+    both = toxicity._features_of(pa.array(["idiot,moron", "so idiot's", 'they wrote "id!ot" in the report']), automaton)
+    assert both[0, 0] == pytest.approx(np.log(3)) and both[1, 0] > 0 and (both[:2, 1] == 0).all()
+    assert both[2, 1] == 0 and both[2, 2] > 0
+
+
 # --- perplexity --------------------------------------------------------------------
 
 
