@@ -33,9 +33,9 @@ MIN_WORDS = 50
 MIN_ROWS = 200
 KEPT_SHARE = 0.75
 STEPS = 3
-# The bound holds for 1 - 1e-9 of normal rows; language statistics have heavier tails, so the
-# scatter is also floored per feature at what ordinary prose varies by.
-TAIL = 1e-9
+# The bound holds for 1 - 1e-4 of normal rows; language statistics have heavier tails, so the
+# scatter in any direction is at least what ordinary prose varies by.
+TAIL = 1e-4
 FLOORS = (0.8, 0.08, 0.35, 0.12, 0.6)
 P = len(FLOORS)
 MARKS = np.zeros(256, bool)
@@ -140,7 +140,9 @@ def _solve(n: pa.Array, sums: pa.Array, products: pa.Array) -> pa.Array:
         mu = np.asarray(s, float) / k
         cov = np.zeros((P, P))
         cov[np.triu_indices(P)] = np.asarray(q, float) / k
-        cov = cov + cov.T - np.diag(np.diag(cov)) - np.outer(mu, mu) + np.diag(np.square(FLOORS))
+        cov = (cov + cov.T - np.diag(np.diag(cov)) - np.outer(mu, mu)) / np.outer(FLOORS, FLOORS)
+        values, axes = np.linalg.eigh(cov)
+        cov = (axes * np.maximum(values, 1.0)) @ axes.T * np.outer(FLOORS, FLOORS)
         rows.append({"mu": mu.tolist(), "inv": np.linalg.inv(cov).ravel().tolist(), "logdet": float(np.linalg.slogdet(cov)[1])})
     row = pa.list_(pa.float64())
     return pa.array(rows, pa.struct([("mu", row), ("inv", row), ("logdet", pa.float64())]))
@@ -183,7 +185,7 @@ def fit(sound: DataFrame) -> DataFrame:
         *[F.percentile_approx(x[i], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"q{i}") for i in range(P)],
         *_moments(x),
     )
-    spread = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + FLOORS[i] ** 2 for i in range(P)]
+    spread = [F.greatest(F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2), F.lit(FLOORS[i] ** 2)) for i in range(P)]
     quartiles = F.struct(
         F.lit(0).alias("start"),
         F.array(*[F.col(f"q{i}")[1] for i in range(P)]).alias("mu"),

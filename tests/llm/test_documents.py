@@ -222,6 +222,24 @@ def test_covariance_determinant_ignores_a_third_of_junk(spark):
     assert np.allclose(model.mu, good.mean(axis=0), atol=0.05)
 
 
+def test_repetition_or_lines_alone_are_outliers_of_a_tight_group(spark):
+    rng = np.random.default_rng(4)
+
+    def words(n):
+        return [f"w{v:05d}" for v in rng.integers(0, 100_000, n)]
+
+    rows = [(i, " ".join(words(200)), "en", "a") for i in range(400)]
+    half, lines = words(45), words(300)
+    rows += [(1000, " ".join(half + half + words(110)), "en", "a")]  # 45 % of the words repeated
+    rows += [(1001, "\n".join([" ".join(lines[:k + 7]) for k in range(0, 2)] + ["ab"] * 41 + [" ".join(words(200))]), "en", "a")]
+    report = outliers.outlier_report(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    found = {r.doc_id: r for r in report.collect()}
+    assert not found[1000].base_failed and not found[1001].base_failed
+    assert found[1000].n_repeat_words == 90 and found[1001].n_dup_lines == 40
+    assert not found[1000].kept and not found[1001].kept
+    assert sum(not r.kept for i, r in found.items() if i < 1000) == 0
+
+
 def test_quality_of_odd_rows(odd_documents, no_documents):
     assert outliers.outlier_report(odd_documents).count() == odd_documents.count()
     kept = outliers.filter_documents(odd_documents)
