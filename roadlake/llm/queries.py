@@ -10,6 +10,8 @@ from roadlake.llm import (
     chat,
     contamination,
     linktrust,
+    merkle,
+    merkle_sql,
     mixing,
     mixing_sql,
     neardup,
@@ -100,3 +102,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of every document under a model of trusted text, and whether it is kept."""
     return perplexity.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the Merkle manifest, and whether a later copy still verifies."""
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_merkle"] = merkle_sql.OP13
