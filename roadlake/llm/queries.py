@@ -17,6 +17,7 @@ from roadlake.llm import (
     neardup,
     outliers,
     perplexity,
+    secrets,
     sharding,
     suffixdup,
     toxicity,
@@ -111,3 +112,9 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_merkle"] = merkle_sql.OP13
+
+
+@query
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: fixed patterns, and credential values that are costly to guess."""
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
