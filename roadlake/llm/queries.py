@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlake.llm import (
+    alignment,
     chat,
     contamination,
     linktrust,
@@ -118,3 +119,9 @@ ORACLES["op13_merkle"] = merkle_sql.OP13
 def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: fixed patterns, and credential values that are costly to guess."""
     return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, shared groups and links of every document under two tokenizers."""
+    return alignment.alignment_report(table(spark, sf_dir, "documents"))
