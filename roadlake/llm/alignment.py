@@ -19,7 +19,8 @@ meets in one task is one chunk.
 
 Tokens are found per word: a cut before a single space between two printable ASCII signs
 separates both tokenizers exactly (checked against the vocabulary of B when it is loaded),
-so a word is encoded once and remembered, by the public libraries themselves.
+so each distinct word of a slice is encoded once. For that, words are joined to texts
+again, whose tokens fall apart at the same cuts. The public libraries do the encoding.
 
 Defined results: texts that are null or empty, or whose joined token bytes differ from a space
 and the text, have no tokens: zeros and an empty string; rows that repeat or share an id are
@@ -45,12 +46,14 @@ from pyspark.sql.window import Window
 from roadlake.llm.tables import stored
 
 CHUNK_BYTES = 8 << 20
-SLICE_BYTES = 1 << 20
-KEPT_WORDS = 200_000  # remembered by a worker; then it begins anew
+SLICE_BYTES = 1 << 19
+JOINED_BYTES = 1 << 16
 BLOCK_TERMS = 1 << 20
 FOLDER = "/opt/tokenizers"
 FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 SPACE = "▁"
+# Fixed value: how A's byte-level pre-tokenizer splits, for ASCII.
+ASCII_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
 
 
 # --- sparse matrices ----------------------------------------------------------------
@@ -69,14 +72,12 @@ class Csr:
         return len(self.starts) - 1
 
     @staticmethod
-    def of(rows: np.ndarray, columns: np.ndarray, n: int) -> Csr:
+    def of(rows: np.ndarray, columns: np.ndarray, n: int, n_columns: int) -> Csr:
         """From coordinates in any order; what repeats is added up."""
-        order = np.lexsort((columns, rows))
-        rows, columns = rows[order], columns[order]
-        first = np.ones(len(rows), bool)
-        first[1:] = (rows[1:] != rows[:-1]) | (columns[1:] != columns[:-1])
-        at = np.flatnonzero(first)
-        return Csr(np.searchsorted(rows[at], np.arange(n + 1)), columns[at], np.diff(np.append(at, len(rows))))
+        key = np.sort(rows * n_columns + columns)
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        head = key[at]
+        return Csr(np.searchsorted(head, np.arange(n + 1) * n_columns), head % n_columns, np.diff(np.append(at, len(key))))
 
     def transposed(self, n_columns: int) -> Csr:
         rows = np.repeat(np.arange(self.n), np.diff(self.starts))
@@ -157,6 +158,7 @@ class Tokenizers:
     def __init__(self, a_file: bytes, b_file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
+        import tiktoken
         import tokenizers
 
         self.a = tokenizers.Tokenizer.from_buffer(a_file)
@@ -176,17 +178,20 @@ class Tokenizers:
             # A piece with a space behind another sign could reach from one word into the next.
             self.words_apart &= SPACE not in piece.lstrip(SPACE) or self.b.is_control(i)
         self.tokens = (_table(a_tokens), _table(b_tokens))
-
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
-
-    def encode(self, words: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of each word: A's with a space before it, B's as they are (B adds the space)."""
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        a = [e.ids for e in self.a.encode_batch([" " + w for w in new], add_special_tokens=False)]
-        self.known.update(zip(new, zip(a, self.b.encode(new, num_threads=1), strict=True), strict=True))
-        return [self.known[w] for w in words]
+        # Where ids are ranks of merges, ASCII needs no more than the ranks (four times as fast).
+        merges = [m if isinstance(m, list) else m.split(" ") for m in vocabulary["model"]["merges"]]
+        special = [t["id"] for t in vocabulary["added_tokens"]]
+        ranked = all(entries[left + right] == 256 + rank for rank, (left, right) in enumerate(merges))
+        ranks = {t: i for i, t in enumerate(a_tokens) if i not in special}
+        self.ascii_a = tiktoken.Encoding("a", pat_str=ASCII_PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranked else None
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a whole text: A's with a space before it (B adds its own)."""
+        if self.ascii_a and text.isascii():
+            a = self.ascii_a.encode_ordinary(" " + text)
+        else:
+            a = self.a.encode(" " + text, add_special_tokens=False).ids
+        return np.array(a, np.int64), np.array(self.b.encode(text), np.int64)
 
 
 def _byte_level() -> dict[str, int]:
@@ -234,51 +239,109 @@ class Stream:
     counts: np.ndarray
 
 
-def _gathered(per_word: list[list[int]], of: np.ndarray, words_per_text: np.ndarray) -> Stream:
-    sizes = np.array([len(w) for w in per_word], np.int64)
-    flat = np.array([i for w in per_word for i in w], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    lengths = sizes[of]
-    text = np.repeat(np.arange(len(words_per_text)), words_per_text)
-    counts = np.bincount(text, weights=lengths, minlength=len(words_per_text)).astype(np.int64)
-    return Stream(flat[expand(starts[of], lengths)], counts)
+@dataclass
+class Vocabulary:
+    """Ids of each distinct word, end to end, and whether their bytes are the word's."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    exact: np.ndarray
+
+
+def _runs(tokenizers: Tokenizers, words: list[bytes]) -> Iterator[tuple[list[int], bytes]]:
+    """Words to be encoded as one text: those that begin and end printable, some KB together,
+    ASCII apart from others; and every other word alone."""
+    open_runs: dict[bool, list[int]] = {True: [], False: []}
+    held = {True: 0, False: 0}
+    for i, word in enumerate(words):
+        if not (tokenizers.words_apart and 0x20 < word[0] < 0x7F and 0x20 < word[-1] < 0x7F):
+            yield [i], word
+            continue
+        kind = word.isascii()
+        open_runs[kind].append(i)
+        held[kind] += len(word)
+        if held[kind] > JOINED_BYTES:
+            yield open_runs[kind], b" ".join([words[k] for k in open_runs[kind]])
+            open_runs[kind], held[kind] = [], 0
+    for run in open_runs.values():
+        if run:
+            yield run, b" ".join([words[k] for k in run])
+
+
+def _encoded(tokenizers: Tokenizers, words: list[bytes]) -> list[Vocabulary]:
+    """Both tokenizers' ids of distinct words."""
+    lengths = np.array([len(w) for w in words], np.int64) + 1  # with the space before
+    order, parts, counts, exact = [], ([], []), ([], []), ([], [])
+    for run, text in _runs(tokenizers, words):
+        wanted = np.frombuffer(b" " + text, np.uint8)
+        ends = np.cumsum(lengths[run])
+        order.extend(run)
+        for side, ids in enumerate(tokenizers.encode(text.decode())):
+            offsets, signs = tokenizers.tokens[side]
+            sizes = np.diff(offsets)[ids]
+            joined = signs[expand(offsets[ids], sizes)]
+            if len(joined) == len(wanted) and (joined == wanted).all():
+                word = np.searchsorted(ends, np.cumsum(sizes))
+                counts[side].append(np.bincount(word, minlength=len(run)))
+                exact[side].append(np.ones(len(run), bool))
+            elif len(run) > 1:  # some word is not reproduced: each for itself
+                alone = [tokenizers.encode(words[i].decode())[side] for i in run]
+                made = [signs[expand(offsets[x], np.diff(offsets)[x])].tobytes() for x in alone]
+                ids = np.concatenate(alone)
+                counts[side].append(np.array([len(x) for x in alone]))
+                exact[side].append(np.array([m == b" " + words[i] for m, i in zip(made, run, strict=True)]))
+            else:
+                counts[side].append(np.array([len(ids)]))
+                exact[side].append(np.zeros(1, bool))
+            parts[side].append(ids)
+    out = []
+    place = np.argsort(np.array(order, np.int64))
+    for side in (0, 1):
+        sizes = np.concatenate(counts[side])
+        starts = np.cumsum(sizes) - sizes
+        ids = np.concatenate(parts[side])[expand(starts[place], sizes[place])]
+        out.append(Vocabulary(ids, sizes[place], np.concatenate(exact[side])[place]))
+    return out
+
+
+def _reproduced(tokenizers: Tokenizers, side: int, ids: np.ndarray, text: bytes) -> bool:
+    offsets, signs = tokenizers.tokens[side]
+    return signs[expand(offsets[ids], np.diff(offsets)[ids])].tobytes() == b" " + text
 
 
 def tokenized(tokenizers: Tokenizers, data: np.ndarray, bounds: np.ndarray) -> tuple[Stream, Stream]:
     """Streams of both tokenizers; texts that they do not reproduce have no tokens."""
+    texts = len(bounds) - 1
     if tokenizers.words_apart:
         starts, words_per_text = _words(data, bounds)
     else:
         full = np.diff(bounds) > 0
         starts, words_per_text = bounds[:-1][full], full.astype(np.int64)
+    if not len(starts):
+        return Stream(starts, words_per_text), Stream(starts, words_per_text)
     lengths = np.diff(np.append(starts, len(data)))
-    # B takes a word without its space: it adds one. A text's own first word has none.
+    # A word after the first of its text goes without its space: that is added again.
     inner = np.ones(len(starts), np.int64)
     inner[np.isin(starts, bounds)] = 0
     offsets = np.concatenate([[0], np.cumsum(lengths - inner)])
-    body = data[expand(starts + inner, lengths - inner)].tobytes()
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(body))
+    keep = np.ones(len(data), bool)
+    keep[starts[inner == 1]] = False
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[keep])])
     distinct = words.dictionary_encode()
     of = distinct.indices.to_numpy().astype(np.int64)
-    ids = tokenizers.encode(distinct.dictionary.to_pylist())
-    streams = [_gathered([pair[side] for pair in ids], of, words_per_text) for side in (0, 1)]
-
-    # The texts with a space before each.
-    wanted = np.insert(data, bounds[:-1], 0x20)
-    wanted_bounds = bounds + np.arange(len(bounds))
+    text = np.repeat(np.arange(texts), words_per_text)
     good = np.diff(bounds) > 0
-    for stream, (token_offsets, token_bytes) in zip(streams, tokenizers.tokens, strict=True):
-        sizes = np.diff(token_offsets)[stream.ids]
-        text = np.repeat(np.arange(len(stream.counts)), stream.counts)
-        per_text = np.bincount(text, weights=sizes, minlength=len(stream.counts)).astype(np.int64)
-        good &= per_text == np.diff(wanted_bounds)
-        joined = token_bytes[expand(token_offsets[stream.ids], sizes)]
-        joined_bounds = np.concatenate([[0], np.cumsum(per_text)])
-        same = np.flatnonzero(good)
-        there = expand(joined_bounds[same], per_text[same])
-        here = expand(wanted_bounds[same], per_text[same])
-        differ = np.repeat(same, per_text[same])[joined[there] != wanted[here]]
-        good[differ] = False
+    streams = []
+    for side, found in enumerate(_encoded(tokenizers, distinct.dictionary.to_pylist())):
+        first = np.cumsum(found.sizes) - found.sizes
+        sizes = found.sizes[of]
+        counts = np.bincount(text, weights=sizes, minlength=texts).astype(np.int64)
+        stream = Stream(found.ids[expand(first[of], sizes)], counts)
+        streams.append(stream)
+        ends = np.cumsum(counts)
+        for t in np.unique(text[~found.exact[of]]):
+            whole = data[bounds[t] : bounds[t + 1]].tobytes()
+            good[t] &= _reproduced(tokenizers, side, stream.ids[ends[t] - counts[t] : ends[t]], whole)
     for stream in streams:
         stream.ids = stream.ids[np.repeat(good, stream.counts)]
         stream.counts = np.where(good, stream.counts, 0)
@@ -332,8 +395,10 @@ def align(tokenizers: Tokenizers, data: np.ndarray, bounds: np.ndarray) -> Align
     a_text = np.repeat(np.arange(texts), a.counts)
     # Rows of P: the A ids of each text.
     span = len(a_offsets)
-    rows, row_of = np.unique(a_text * span + a.ids, return_inverse=True)
-    p, q = Csr.of(row_of, a_groups, len(rows)), Csr.of(b_groups, b.ids, n)
+    key = np.sort((a_text * span + a.ids) * max(n, 1) + a_groups)
+    rows = np.unique(key // max(n, 1))
+    p = Csr.of(np.searchsorted(rows, key // max(n, 1)), key % max(n, 1), len(rows), max(n, 1))
+    q = Csr.of(b_groups, b.ids, n, len(b_offsets))
     parts = list(gustavson(p, q))
     row, column, links = (np.concatenate(x) if parts else np.zeros(0, np.int64) for x in (zip(*parts, strict=True) if parts else [()] * 3))
     pair = (rows[row] % span << B_BITS) + column
@@ -399,6 +464,7 @@ def _aligner(files: Broadcast, chunk_bytes: int, slice_bytes: int):
             bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
             slices.append(align(tokenizers, np.frombuffer(b"".join(texts), np.uint8), bounds))
             texts.clear()
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):

@@ -101,8 +101,8 @@ def test_row_products_equal_dense_ones(block):
             for at, value in entries.items():
                 d[at] = value
         made = [
-            alignment.Csr.of(np.array([i for i, _ in e.elements()]), np.array([j for _, j in e.elements()]), size)
-            for e, size in ((left, n), (right, k))
+            alignment.Csr.of(np.array([i for i, _ in e.elements()]), np.array([j for _, j in e.elements()]), size, wide)
+            for e, size, wide in ((left, n, k), (right, k, m))
         ]
         product = np.zeros((n, m), int)
         for rows, columns, values in alignment.gustavson(*made, block):
