@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from functools import cache
@@ -52,8 +53,10 @@ BLOCK_TERMS = 1 << 20
 FOLDER = "/opt/tokenizers"
 FILES = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 SPACE = "▁"
-# Fixed value: how A's byte-level pre-tokenizer splits, for ASCII.
-ASCII_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
+# Fixed value: how A's byte-level pre-tokenizer splits.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Signs outside these old blocks may be letters to one version of Unicode and unassigned to another.
+_RECENT = re.compile("[^\0-ɏЀ-џぁ-ゖァ-ヺ一-龥]")
 
 
 # --- sparse matrices ----------------------------------------------------------------
@@ -178,22 +181,26 @@ class Tokenizers:
             # A piece with a space behind another sign could reach from one word into the next.
             self.words_apart &= SPACE not in piece.lstrip(SPACE) or self.b.is_control(i)
         self.tokens = (_table(a_tokens), _table(b_tokens))
-        # Where ids are ranks of merges, ASCII needs no more than the ranks (four times as fast).
+        # Where ids are ranks of merges, the ranks give the same tokens four times as fast.
         merges = [m if isinstance(m, list) else m.split(" ") for m in vocabulary["model"]["merges"]]
         special = [t["id"] for t in vocabulary["added_tokens"]]
         ranked = all(entries[left + right] == 256 + rank for rank, (left, right) in enumerate(merges))
         ranks = {t: i for i, t in enumerate(a_tokens) if i not in special}
-        self.ascii_a = tiktoken.Encoding("a", pat_str=ASCII_PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranked else None
+        self.ranks_a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranked else None
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a whole text: A's with a space before it (B adds its own)."""
-        if self.ascii_a and text.isascii():
-            a = self.ascii_a.encode_ordinary(" " + text)
+        if self.ranks_a and _usual(text):
+            a = self.ranks_a.encode_ordinary(" " + text)
         else:
             a = self.a.encode(" " + text, add_special_tokens=False).ids
         return np.array(a, np.int64), np.array(self.b.encode(text), np.int64)
 
 
+def _usual(text: str) -> bool:
+    return text.isascii() or not _RECENT.search(text)
+
+
 def _byte_level() -> dict[str, int]:
     """Sign of a byte-level vocabulary to byte: printable Latin-1 stands for itself, the other
     bytes follow from 256 on, in order."""
@@ -250,14 +257,14 @@ class Vocabulary:
 
 def _runs(tokenizers: Tokenizers, words: list[bytes]) -> Iterator[tuple[list[int], bytes]]:
     """Words to be encoded as one text: those that begin and end printable, some KB together,
-    ASCII apart from others; and every other word alone."""
+    those with unusual signs apart; and every other word alone."""
     open_runs: dict[bool, list[int]] = {True: [], False: []}
     held = {True: 0, False: 0}
     for i, word in enumerate(words):
         if not (tokenizers.words_apart and 0x20 < word[0] < 0x7F and 0x20 < word[-1] < 0x7F):
             yield [i], word
             continue
-        kind = word.isascii()
+        kind = word.isascii() or _usual(word.decode())
         open_runs[kind].append(i)
         held[kind] += len(word)
         if held[kind] > JOINED_BYTES:

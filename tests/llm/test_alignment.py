@@ -117,3 +117,14 @@ def test_overlaps_share_bytes_and_make_groups():
     assert links == [(0, 0, 1), (0, 1, 1), (1, 1, 3), (2, 2, 1), (3, 2, 1), (3, 3, 1), (3, 4, 2)]
     groups = alignment.group_of(a, b)
     assert [g.tolist() for g in groups[:2]] == [[0, 0, 1, 1], [0, 0, 1, 1, 1]] and groups[2] == 2
+
+
+def test_ranks_give_the_library_s_tokens():
+    """Every sign that the faster way takes, among letters, digits, marks and spaces."""
+    files = [os.path.join(alignment.FOLDER, f) for f in alignment.FILES]
+    both = alignment.Tokenizers(*[open(f, "rb").read() for f in files])
+    assert both.words_apart and both.ranks_a
+    for c in map(chr, range(0x9FA6)):
+        if not 0xD800 <= ord(c) < 0xE000 and alignment._usual(c):
+            text = f" a{c}1 {c}{c} !{c}?  {c}"
+            assert both.ranks_a.encode_ordinary(text) == both.a.encode(text, add_special_tokens=False).ids
