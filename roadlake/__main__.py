@@ -35,6 +35,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     compact = commands.add_parser("compact", parents=[common], help="compact the previous day")
     compact.add_argument("--today", type=date.fromisoformat, help="run as on this day")
     compact.add_argument("--files", type=int, default=0, help="write tasks; 0, the default, sizes files by bytes")
+    compact.add_argument("--keep-seconds", type=float, default=3600, help="leave replaced files to their readers for so long")
     return parser.parse_args(argv)
 
 
@@ -55,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "dimensions":
         dimension_store.bootstrap(lake)
     elif args.command == "compact":
-        outcomes = compaction.compact_previous_day(lake, args.today, files=args.files or None)
+        outcomes = compaction.compact_previous_day(lake, args.today, files=args.files or None, keep_seconds=args.keep_seconds)
         outcomes.show(len(compaction.tables.COMPACTED_TABLES), truncate=False)
         if not outcomes.where(F.col("outcome").startswith(compaction.FAILED)).isEmpty():
             raise SystemExit(1)

@@ -233,8 +233,8 @@ def stored_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rd_latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = stored_facts(spark, sf_dir)
-    days = lake.spark.read.parquet(lake.path(tables.FACT_FLOW)).groupBy("date_key").agg(F.count(F.lit(1)).alias("rows"))
-    newest = marts.latest_windows(lake.read(tables.FACT_FLOW), marts.newest_days(days, marts.LATEST))
+    since = tables.certain_since(lake.snapshot(tables.FACT_FLOW), marts.LATEST)
+    newest = marts.latest_windows(lake.read(tables.FACT_FLOW), since)
     return newest.select(*keys.FLOW_FACT_COLUMNS)
 
 

@@ -14,20 +14,9 @@ def _mean(column: str) -> Column:
     return F.avg(column).alias(f"mean_{column}")
 
 
-def newest_days(rows_by_day: DataFrame, n: int) -> int:
-    """The first of the newest days that together hold ``n`` rows; (date_key, rows) per day."""
-    enough = 0
-    first = 0
-    for day in rows_by_day.orderBy(F.desc("date_key")).collect():
-        first, enough = day.date_key, enough + day.rows
-        if enough >= n:
-            break
-    return first
-
-
 def latest_windows(flow_facts: DataFrame, since: int, n: int = LATEST) -> DataFrame:
-    """The newest ``n`` flow rows, read from the partitions since a day that hold them; each
-    task keeps its own top ``n``, no full sort."""
+    """The newest ``n`` flow rows, read from the days that surely hold them (see
+    ``lake.certain_since``); each task keeps its own top ``n``, no full sort."""
     return flow_facts.where(F.col("date_key") >= since).orderBy(F.desc("window_start_utc"), F.asc_nulls_first("location_sk")).limit(n)
 
 

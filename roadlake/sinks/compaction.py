@@ -27,18 +27,18 @@ def day_predicate(today: date | None = None):
 
 def compact_previous_day(
     lake: Lake, today: date | None = None, names: list[str] = tables.COMPACTED_TABLES,
-    files: int | None = None,
+    files: int | None = None, keep_seconds: float = 0,
 ) -> DataFrame:
     """Compacts the partition of the previous day in each table; one outcome row per table.
 
     A table that fails does not keep the others from being compacted; its row
-    tells the error.
+    tells the error. Replaced files younger than ``keep_seconds`` stay for those who read them.
     """
     day = previous_day(today)
     outcomes = []
     for name in names:
         try:
-            outcomes.append(tables.compact(lake, name, day, files))
+            outcomes.append(tables.compact(lake, name, day, files, keep_seconds))
         except Exception as error:  # reported as a row, never swallowed
             outcomes.append((name, f"{FAILED}: {error}", 0))
     return lake.spark.createDataFrame(outcomes, OUTCOME)

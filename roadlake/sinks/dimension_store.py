@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from roadlake.operators.merge import insert_if_absent
+from roadlake.sinks import snapshots
 from roadlake.sinks.lake import Lake
 from roadlake.sources import dimensions
 from roadlake.sources.tables import read_if_exists
 
 FOLDER = "dimensions"
+ADDED = "added-"
 
 
 def folder(lake: Lake) -> str:
@@ -19,8 +23,8 @@ def folder(lake: Lake) -> str:
 def bootstrap(lake: Lake) -> None:
     """Stores the seeded dimensions, keeping every row already there.
 
-    What is missing is appended in one commit, so an interrupted bootstrap has added
-    it or not, and repeating it adds nothing twice.
+    What is missing is added as one file, so an interrupted bootstrap has added it or not, and
+    repeating it adds nothing twice.
     """
     for name, seed in dimensions.seed_tables(lake.spark).items():
         _append_missing(lake, name, seed)
@@ -33,8 +37,24 @@ def add_days(lake: Lake, days: DataFrame) -> None:
 
 
 def _append_missing(lake: Lake, name: str, rows: DataFrame) -> None:
+    """Adds what is missing as the next numbered file. Of two writers one gets the number; the
+    other finds it taken and looks again at what is missing, so no row is added twice."""
     path, keys = f"{folder(lake)}/{name}", dimensions.CONFLICT_KEYS[name]
-    stored = read_if_exists(lake.spark, path)
-    missing = rows if stored is None else insert_if_absent(stored.limit(0), rows.join(stored, keys, "left_anti"), keys)
-    if not missing.isEmpty():
-        missing.coalesce(1).write.mode("append").parquet(path)
+    store, at = snapshots.file_system(lake.spark, path), snapshots._path(lake.spark, path)
+    for _ in range(snapshots.RETRIES):
+        store.mkdirs(at)
+        # The number is taken before the rows are read: what is added in between has it.
+        added = [f.getPath().getName() for f in store.listStatus(at) if f.getPath().getName().startswith(ADDED)]
+        number = max([int(n[len(ADDED) :].partition(".")[0]) for n in added], default=0) + 1
+        stored = read_if_exists(lake.spark, path)
+        missing = rows if stored is None else insert_if_absent(stored.limit(0), rows.join(stored, keys, "left_anti"), keys)
+        if missing.isEmpty():
+            return
+        draft = f"{lake.path('_drafts')}/{uuid.uuid4().hex}"
+        missing.coalesce(1).write.parquet(draft)
+        (part,) = [f.getPath() for f in store.listStatus(snapshots._path(lake.spark, draft)) if f.getPath().getName().startswith("part-")]
+        done = snapshots.publish_file(lake.spark, part.toString(), f"{path}/{ADDED}{number:09d}.parquet")
+        store.delete(snapshots._path(lake.spark, draft), True)
+        if done:
+            return
+    raise RuntimeError(f"{snapshots.RETRIES} other writers were first in {path}")

@@ -1,33 +1,44 @@
-"""Table layout, idempotent loads, and compaction that loses nothing.
-
-Every table below ``root`` is Parquet partitioned by day and by ``load``, without a file-sink
-log, so batch jobs may rewrite it.
-
-* A load is written to folders of its own; repeating it replaces exactly those.
-* Compaction copies the loads it has listed into one new load beside them, checks that the row
-  counts are equal, records "the new load replaces these" in the table's ledger, and only then
-  removes the replaced folders. Loads that land meanwhile are other folders. Readers see a
-  compacted load once it is recorded, and from then on none of the loads it replaces. A crash
-  leaves either the old loads or both and a record that says which count; the next
-  compaction cleans up. A load that is delivered again after it was replaced is left out.
+"""Table layout, loads that are seen whole, and compaction that loses nothing.
+
+Every table below ``root`` is Parquet partitioned by ``attempt``, day and ``load``, without a
+file-sink log, so batch jobs may rewrite it. What counts is named by the table's newest version
+(see ``snapshots``); attempts that no version names are neither listed nor read.
+
+* Each write of a load is an attempt in a folder of its own, which also keeps jobs that write at
+  once apart. It counts once its version is published. A load that is delivered again takes
+  the place of its earlier attempt in one step.
+* Compaction copies the loads of a day into one new load beside them, checks that the row counts
+  are equal, and publishes a version in which the new load stands for them. The replaced
+  loads are remembered (as ranges of batches), so one that is written late, or delivered
+  again at any time, is left out. A crash leaves files that no version names.
+* Replaced files are removed by the next compaction, once no version that names them is younger
+  than ``keep_seconds``.
 * Fact tables are merged by key on reading: of the rows of one key, the load with the highest
   sequence number counts. Loads are numbered when they first appear, so a repeated load keeps its
-  place and no clock decides.
+  place and no clock decides. Only days with loads whose ranges of keys overlap are merged; the
+  others are read as they are.
 """
 
 from __future__ import annotations
 
+import json
+import re
+import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadlake.operators import keys, merge
-from roadlake.sources.tables import read_if_exists
+from roadlake.sinks import packing, snapshots
+from roadlake.sinks.snapshots import Load, Snapshot
 
 LOAD = "load"
+ATTEMPT = "attempt"
 SEQUENCE = "load_seq"
 COMPACTED = "compacted-"
 DAYS = ["year", "month", "day"]
@@ -47,6 +58,9 @@ FACT_KEYS = {
     FACT_FLOW: [*DATE_KEY, *keys.FLOW_IDENTITY],
     FACT_INCIDENTS: [*DATE_KEY, *keys.INCIDENT_IDENTITY],
 }
+# Part of every fact key; loads of a day whose ranges of it are apart have no key in common.
+RANGE_KEY = "window_start_utc"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def partitions(table: str) -> list[str]:
@@ -64,68 +78,131 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def ledger(self, table: str) -> str:
-        return f"{self.root}/_ledger/{table}"
+    def versions(self, table: str) -> str:
+        return f"{self.root}/_versions/{table}"
+
+    def snapshot(self, table: str) -> Snapshot:
+        return snapshots.latest(self.spark, self.versions(table))
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
 
     def read(self, table: str) -> DataFrame:
         """The rows that count, one per key in fact tables."""
-        rows = visible(self, table, self.spark.read.parquet(self.path(table)))
-        return merge.latest_per_key(rows, FACT_KEYS[table], SEQUENCE) if table in FACT_KEYS else rows
+        snapshot, rows = consistent(self, table)
+        if not snapshot.loads:
+            raise AnalysisException(f"[PATH_NOT_FOUND] table {table} of {self.root} has no rows")
+        if table not in FACT_KEYS:
+            return visible(snapshot, rows).drop(ATTEMPT)
+        return merged(snapshot, table, visible(snapshot, rows)).drop(ATTEMPT)
 
     def read_if_exists(self, table: str) -> DataFrame | None:
-        return None if read_if_exists(self.spark, self.path(table)) is None else self.read(table)
+        return self.read(table) if self.snapshot(table).loads else None
 
 
 def with_day(rows: DataFrame, at: Column) -> DataFrame:
     return rows.withColumns({"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)})
 
 
-# --- ledger ---------------------------------------------------------------------
+# --- reading ---------------------------------------------------------------------
+
+
+def attempt_folder(lake: Lake, table: str, attempt: str) -> str:
+    return f"{lake.path(table)}/{ATTEMPT}={attempt}"
+
 
-COMMITTED, CLEANED = "committed", "cleaned"
-_ENTRY = "partition string, load string, replaces array<string>, rows long, state string"
+def stored_rows(lake: Lake, table: str, schema: str, attempts: list[str]) -> DataFrame:
+    """Every stored row of the attempts."""
+    reader = lake.spark.read.schema(T.StructType.fromJson(json.loads(schema))).option("basePath", lake.path(table))
+    return reader.parquet(*[attempt_folder(lake, table, a) for a in attempts])
 
 
-def _record(lake: Lake, table: str, partition: str, load: str, replaces: list[str], rows: int, state: str) -> None:
-    entry = lake.spark.createDataFrame([(partition, load, replaces, rows, state)], _ENTRY)
-    entry.coalesce(1).write.mode("append").parquet(lake.ledger(table))
+def consistent(lake: Lake, table: str) -> tuple[Snapshot, DataFrame | None]:
+    """A version and the files listed for it: listed again if what it names was retired meanwhile."""
+    while True:
+        snapshot = lake.snapshot(table)
+        if not snapshot.loads:
+            return snapshot, None
+        try:
+            rows = stored_rows(lake, table, snapshot.schema, [x.attempt for x in snapshot.loads])  # lists the files
+        except AnalysisException:
+            if lake.snapshot(table).version == snapshot.version:
+                raise
+            continue
+        if snapshot.attempts() <= lake.snapshot(table).attempts():
+            return snapshot, rows
 
 
 def _in_partition(partition: str) -> Column:
-    terms = [F.col(k) == int(v) for k, _, v in (level.partition("=") for level in partition.split("/"))]
+    terms = [
+        F.col(k).isNull() if v == NO_VALUE else F.col(k) == int(v)
+        for k, _, v in (level.partition("=") for level in partition.split("/"))
+    ]
     return reduce(lambda a, b: a & b, terms)
 
 
-def visible(lake: Lake, table: str, rows: DataFrame) -> DataFrame:
-    """Without compacted loads that are not recorded and without loads that a recorded one replaces."""
-    ledger = read_if_exists(lake.spark, lake.ledger(table))
-    recorded = [] if ledger is None else ledger.select("partition", LOAD, "state").collect()
-    unrecorded = F.col(LOAD).startswith(COMPACTED) & ~F.col(LOAD).isin([r.load for r in recorded])
-    rows = rows.where(~unrecorded)
-    for load, partition in _uncleaned(recorded).items():
-        (entry,) = ledger.where((F.col(LOAD) == load) & (F.col("state") == COMMITTED)).select("replaces").collect()
-        rows = rows.where(~(_in_partition(partition) & F.col(LOAD).isin(entry.replaces)))
+def visible(snapshot: Snapshot, rows: DataFrame) -> DataFrame:
+    """Without the days of an attempt that no longer count: a filter on partitions only."""
+    live = {x.attempt for x in snapshot.loads}
+    gone: dict[str, list[str]] = {}
+    for partition, _, attempt in snapshot.retired:
+        if attempt in live:
+            gone.setdefault(partition, []).append(attempt)
+    for partition, attempts in gone.items():
+        rows = rows.where(~(_in_partition(partition) & F.col(ATTEMPT).isin(attempts)))
     return rows
 
 
-def _uncleaned(recorded: list) -> dict[str, str]:
-    """Recorded loads whose replaced folders may still be there, with their partition."""
-    cleaned = {r.load for r in recorded if r.state == CLEANED}
-    return {r.load: r.partition for r in recorded if r.state == COMMITTED and r.load not in cleaned}
-
-
-def _remove_loads(lake: Lake, table: str, partition: str, loads: list[str]) -> None:
-    """Deletes the folders of loads in one partition, below further levels (city) as well."""
-    jvm = lake.spark._jvm
-    for load in loads:
-        for below in ("", "*/"):
-            pattern = jvm.org.apache.hadoop.fs.Path(f"{lake.path(table)}/{partition}/{below}{LOAD}={load}")
-            store = pattern.getFileSystem(lake.spark._jsc.hadoopConfiguration())
-            for found in store.globStatus(pattern) or []:
-                store.delete(found.getPath(), True)
+def _overlap(spans: list[tuple]) -> bool:
+    """Whether two ranges (low, high) have a value in common; a range without values may have any."""
+    if len(spans) > 1 and any(low is None for low, _ in spans):
+        return True
+    reached = None
+    for low, high in sorted(spans):
+        if reached is not None and low <= reached:
+            return True
+        reached = high if reached is None else max(reached, high)
+    return False
+
+
+def overlapping_partitions(snapshot: Snapshot) -> list[str]:
+    """The partitions in which two loads may have a key in common."""
+    spans: dict[str, list] = {}
+    for load in snapshot.loads:
+        for partition, (_, low, high) in load.parts.items():
+            spans.setdefault(partition, []).append((low, high))
+    return [p for p, s in spans.items() if _overlap(s)]
+
+
+def merged(snapshot: Snapshot, table: str, rows: DataFrame) -> DataFrame:
+    """One row per key; only days with overlapping loads are grouped."""
+    doubtful = [int(p.partition("=")[2]) for p in overlapping_partitions(snapshot)]
+    if not doubtful:
+        return rows
+    apart = F.col(*DATE_KEY).isin(doubtful)
+    together = merge.latest_per_key(rows.where(apart), FACT_KEYS[table], SEQUENCE)
+    if len(doubtful) == len({p for x in snapshot.loads for p in x.parts}):
+        return together
+    return rows.where(~apart).unionByName(together)
+
+
+def certain_since(snapshot: Snapshot, n: int) -> int:
+    """The first of the newest days that together surely hold ``n`` merged rows.
+
+    A day has at least the rows of its largest load, whatever its other loads replace, and all of
+    them where no two loads overlap. No data are read. 0 if there are fewer rows.
+    """
+    doubtful = set(overlapping_partitions(snapshot))
+    rows: dict[str, list[int]] = {}
+    for load in snapshot.loads:
+        for partition, (count, _, _) in load.parts.items():
+            rows.setdefault(partition, []).append(count)
+    held = 0
+    for partition in sorted(rows, key=lambda p: -int(p.partition("=")[2])):
+        held += max(rows[partition]) if partition in doubtful else sum(rows[partition])
+        if held >= n:
+            return int(partition.partition("=")[2])
+    return 0
 
 
 # --- loads ----------------------------------------------------------------------
@@ -134,95 +211,186 @@ def _remove_loads(lake: Lake, table: str, partition: str, loads: list[str]) -> N
 def sequence(lake: Lake, table: str, load: str) -> int:
     """The load's place in the order of loads: by first appearance of what stands before its
     last dot (a stream's id), then by the number after it (its batch)."""
-    source, _, number = load.rpartition(".")
-    source, batch = (source, int(number)) if source and number.isdigit() else (load, 0)
-    path = lake.ledger(f"{table}-sources")
-    known = read_if_exists(lake.spark, path)
-    places = {} if known is None else {r.source: r.place for r in known.collect()}
-    if source not in places:
-        places[source] = max(places.values(), default=0) + 1
-        row = lake.spark.createDataFrame([(source, places[source])], "source string, place long")
-        row.coalesce(1).write.mode("append").parquet(path)
-    return (places[source] << 32) + batch
-
-
-def write_load(lake: Lake, table: str, rows: DataFrame, load: str, *levels: str, rebalance: bool = False) -> None:
-    """Adds one load; the same ``load`` again replaces itself, and is left out where compaction
-    has replaced it.
-
-    ``rebalance`` first gathers each partition's rows into few files; adaptive
-    execution splits a partition that is too big for one. Without it no row moves.
+    source, batch = snapshots.split_load(load)
+
+    def add(now: Snapshot) -> Snapshot | None:
+        if source in now.sources:
+            return None
+        return replace(now, sources={**now.sources, source: max(now.sources.values(), default=0) + 1})
+
+    return (snapshots.commit(lake.spark, lake.versions(table), add).sources[source] << 32) + batch
+
+
+def _new_attempt() -> str:
+    return f"a{uuid.uuid4().hex}"  # never a number
+
+
+def _partition_of(by: list[str], key: tuple) -> str:
+    return "/".join(f"{k}={NO_VALUE if v is None else v}" for k, v in zip(by, key, strict=True))
+
+
+def _measured(rows: DataFrame, table: str, levels: tuple[str, ...]) -> tuple[list, dict[str, list]]:
+    """Rows per folder, and per time partition its rows and range of keys."""
+    by = [*partitions(table), *levels]
+    at = F.unix_micros(F.col(RANGE_KEY).cast("timestamp")) if table in FACT_KEYS else F.lit(None).cast("long")
+    counted = rows.groupBy(*by).agg(F.count(F.lit(1)), F.min(at), F.max(at)).collect()
+    parts: dict[str, list] = {}
+    for row in counted:
+        name, (n, low, high) = _partition_of(partitions(table), row[: len(partitions(table))]), row[len(by) :]
+        known = parts.get(name, [0, low, high])
+        lows, highs = ([v for v in pair if v is not None] for pair in ((known[1], low), (known[2], high)))
+        parts[name] = [known[0] + n, min(lows, default=None), max(highs, default=None)]
+    return [(tuple(row[: len(by)]), row[len(by)]) for row in counted], parts
+
+
+def _written_schema(now: Snapshot, rows: DataFrame) -> str:
+    """The columns of the table: those known and those of a new load."""
+    fields = list(T.StructType.fromJson(json.loads(now.schema)).fields) if now.schema else []
+    known = {f.name for f in fields}
+    return T.StructType([T.StructField(f.name, f.dataType) for f in [*fields, *[f for f in rows.schema.fields if f.name not in known]]]).json()
+
+
+def write_load(lake: Lake, table: str, rows: DataFrame, load: str, *levels: str, gather: bool = False) -> int:
+    """Adds one load and returns its rows; the same ``load`` again takes its own place, and is
+    left out where compaction has replaced it.
+
+    The rows are counted per folder first, so persist them if they are dear. ``gather`` deals
+    them out to few files by those counts; without it no row moves.
     """
     by = [*partitions(table), *levels]
-    ledger = read_if_exists(lake.spark, lake.ledger(table))
-    if ledger is not None:
-        replaced = ledger.where((F.col("state") == COMMITTED) & F.array_contains("replaces", load)).select("partition")
-        for entry in replaced.collect():
-            rows = rows.where(~_in_partition(entry.partition))
-    if rebalance:
-        rows = rows.hint("rebalance", *by)
-    (
-        rows.withColumn(LOAD, F.lit(load))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by, LOAD)
-        .parquet(lake.path(table))
-    )
+    counted, parts = _measured(rows, table, levels)
+    attempt = _new_attempt()
+    dealt = packing.packed(rows, by, counted) if gather else rows
+    marked = dealt.withColumn(LOAD, F.lit(load))
+    schema = marked.withColumn(ATTEMPT, F.lit(attempt))
+    if parts:
+        (
+            marked.write.mode("append")
+            # Tasks may put files in place as they end: none counts before its version.
+            .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            .partitionBy(*by, LOAD)
+            .parquet(attempt_folder(lake, table, attempt))
+        )
+
+    def add(now: Snapshot) -> Snapshot | None:
+        # Letters of one failure are in one day, but a retry may fail on another.
+        elsewhere = now.replaced if table.startswith(QUARANTINE) else ()
+        fresh = {p: v for p, v in parts.items() if not any(snapshots.is_replaced(now, x, load) for x in (p, *elsewhere))}
+        earlier = [x for x in now.loads if x.load == load]
+        if not parts and not earlier:
+            return None
+        left_out = [[p, load, attempt] for p in parts if p not in fresh]
+        superseded = [[p, load, x.attempt] for x in earlier for p in x.parts]
+        loads = [x for x in now.loads if x.load != load]
+        if fresh:
+            loads.append(Load(load, attempt, fresh))
+        return replace(now, schema=_written_schema(now, schema), loads=loads, retired=[*now.retired, *left_out, *superseded])
+
+    snapshots.commit(lake.spark, lake.versions(table), add)
+    return sum(n for n, _, _ in parts.values())
 
 
 # --- compaction -----------------------------------------------------------------
 
 
-def clean_up(lake: Lake, table: str) -> None:
-    """Removes the folders that recorded loads replace, where an earlier run did not get to it."""
-    ledger = read_if_exists(lake.spark, lake.ledger(table))
-    if ledger is None:
+def _folders(lake: Lake, table: str, partition: str, load: str, attempt: str = "*") -> list:
+    """The folders of a load's attempt in one partition, below further levels (city) as well."""
+    found = []
+    for below in ("", "*/"):
+        pattern = lake.spark._jvm.org.apache.hadoop.fs.Path(f"{attempt_folder(lake, table, attempt)}/{partition}/{below}{LOAD}={load}")
+        store = pattern.getFileSystem(lake.spark._jsc.hadoopConfiguration())
+        found += [(store, status.getPath()) for status in store.globStatus(pattern) or []]
+    return found
+
+
+def _remove_loads(lake: Lake, table: str, partition: str, attempts: list[tuple[str, str]]) -> None:
+    for load, attempt in attempts:
+        for store, folder in _folders(lake, table, partition, load, attempt):
+            store.delete(folder, True)
+
+
+def _record(lake: Lake, table: str, partition: str, new: Load, replaces: list[Load]) -> None:
+    """Publishes that the new load stands for the others in the partition."""
+    gone = {x.attempt for x in replaces}
+
+    def swap(now: Snapshot) -> Snapshot:
+        if gone - {x.attempt for x in now.in_partition(partition)}:
+            raise RuntimeError(f"loads of {partition} were delivered again while they were compacted; left as they are")
+        loads = []
+        for x in now.loads:
+            parts = {p: v for p, v in x.parts.items() if x.attempt not in gone or p != partition}
+            loads += [replace(x, parts=parts)] if parts else []
+        names = [x.load for x in replaces if not x.load.startswith(COMPACTED)]
+        return replace(
+            now, loads=[*loads, new], replaced=snapshots.with_replaced(now, partition, names),
+            retired=[*now.retired, *[[partition, x.load, x.attempt] for x in replaces]],
+        )
+
+    snapshots.commit(lake.spark, lake.versions(table), swap)
+
+
+def clean_up(lake: Lake, table: str, keep_seconds: float = 0) -> None:
+    """Removes what published versions retired, unless the newest version is too young."""
+    now = lake.snapshot(table)
+    if not now.retired:
         return
-    for load, partition in _uncleaned(ledger.select("partition", LOAD, "state").collect()).items():
-        entry = ledger.where((F.col(LOAD) == load) & (F.col("state") == COMMITTED)).first()
-        _remove_loads(lake, table, partition, entry.replaces)
-        _record(lake, table, partition, load, [], entry.rows, CLEANED)
+    name = f"{lake.versions(table)}/{snapshots._name(now.version)}"
+    path = lake.spark._jvm.org.apache.hadoop.fs.Path(name)
+    age = time.time() - path.getFileSystem(lake.spark._jsc.hadoopConfiguration()).getFileStatus(path).getModificationTime() / 1000
+    if age < keep_seconds:
+        return
+    by_partition: dict[str, list[tuple[str, str]]] = {}
+    for partition, load, attempt in now.retired:
+        by_partition.setdefault(partition, []).append((load, attempt))
+    for partition, attempts in by_partition.items():
+        _remove_loads(lake, table, partition, attempts)
+    live = {x.attempt for x in now.loads}
+    for attempt in {a for _, _, a in now.retired} - live:  # what is left of it: empty folders
+        left = lake.spark._jvm.org.apache.hadoop.fs.Path(attempt_folder(lake, table, attempt))
+        left.getFileSystem(lake.spark._jsc.hadoopConfiguration()).delete(left, True)
+    done = set(map(tuple, now.retired))
+
+    def forget(newest: Snapshot) -> Snapshot:
+        return replace(newest, retired=[r for r in newest.retired if tuple(r) not in done])
+
+    snapshots.commit(lake.spark, lake.versions(table), forget)
 
 
-def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = None) -> tuple[str, str, int]:
+def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = None, keep_seconds: float = 0) -> tuple[str, str, int]:
     """Makes one load of a day's loads; returns (table, outcome, rows).
 
     ``files`` is the number of write tasks; None lets adaptive execution size the files by
-    bytes. A day that is missing or empty is skipped and says so; one that is a
-    single compacted load already is left as it is.
+    bytes. A day without rows is skipped and says so; one that is a single compacted load
+    already is left as it is. One compaction of a table runs at a time.
     """
-    spark = lake.spark
-    clean_up(lake, table)
+    clean_up(lake, table, keep_seconds)
     values = {"date_key": day["year"] * 10000 + day["month"] * 100 + day["day"], **day}
     partition = "/".join(f"{k}={values[k]}" for k in partitions(table))
-    folder = f"{lake.path(table)}/{partition}"
-    stored = read_if_exists(spark, folder)
-    if stored is None:
+    snapshot = lake.snapshot(table)
+    loads = snapshot.in_partition(partition)
+    if not loads:
         return table, "missing", 0
-    loads = [r.load for r in stored.select(LOAD).distinct().collect()]
-    ledger = read_if_exists(spark, lake.ledger(table))
-    recorded = [] if ledger is None else [r.load for r in ledger.select(LOAD).distinct().collect()]
-    # What an earlier run wrote but did not record is not read and goes.
-    dead = [x for x in loads if x.startswith(COMPACTED) and x not in recorded]
-    _remove_loads(lake, table, partition, dead)
-    loads = [x for x in loads if x not in dead]
-    part = spark.read.schema(stored.schema).parquet(folder).where(F.col(LOAD).isin(loads)) if loads else stored.limit(0)
-    if part.isEmpty():
-        return table, "empty", 0
-    if table in FACT_KEYS:
-        below = [k for k in FACT_KEYS[table] if k not in DATE_KEY]
-        part = merge.latest_per_key(part, below, SEQUENCE)
+    # Copies that an earlier run wrote but did not publish count nowhere and go.
+    live = {x.attempt for x in loads} | {a for p, _, a in snapshot.retired if p == partition}
+    folders = [f for _, f in _folders(lake, table, partition, COMPACTED + "*")]
+    copies = [(f.getName().partition("=")[2], re.search(rf"/{ATTEMPT}=(\w+)/", f.toString())[1]) for f in folders]
+    _remove_loads(lake, table, partition, [c for c in copies if c[1] not in live])
+    _, rows = consistent(lake, table)
+    part = rows.where(_in_partition(partition) & F.col(ATTEMPT).isin([x.attempt for x in loads]))
+    if table in FACT_KEYS and partition in overlapping_partitions(replace(snapshot, loads=loads)):
+        part = merge.latest_per_key(part, FACT_KEYS[table], SEQUENCE)
     expected = part.count()
-    if loads[1:] or not loads[0].startswith(COMPACTED):
-        load = COMPACTED + uuid.uuid4().hex
-        levels = [c for c in ("city", LOAD) if c in part.columns]
-        new = part.withColumn(LOAD, F.lit(load))
+    if loads[1:] or not loads[0].load.startswith(COMPACTED):
+        load, attempt = COMPACTED + uuid.uuid4().hex, _new_attempt()
+        levels = [*partitions(table), *(c for c in ("city",) if c in part.columns), LOAD]
+        new = part.drop(ATTEMPT).withColumn(LOAD, F.lit(load))
         new = new.hint("rebalance") if files is None else new.repartition(files)
-        new.sortWithinPartitions(*levels).write.mode("append").partitionBy(*levels).parquet(folder)
-        copied = spark.read.schema(stored.schema).parquet(folder).where(F.col(LOAD) == load).count()
-        if copied != expected:
-            _remove_loads(lake, table, partition, [load])
-            raise RuntimeError(f"copied {copied} of {expected} rows of {folder}; table left as it was")
-        _record(lake, table, partition, load, loads, copied, COMMITTED)
-        clean_up(lake, table)
+        new.sortWithinPartitions(*levels).write.partitionBy(*levels).parquet(attempt_folder(lake, table, attempt))
+        copied = stored_rows(lake, table, snapshot.schema, [attempt])
+        _, parts = _measured(copied, table, ())
+        if parts[partition][0] != expected:
+            _remove_loads(lake, table, partition, [(load, attempt)])
+            raise RuntimeError(f"copied {parts[partition][0]} of {expected} rows of {partition}; table left as it was")
+        _record(lake, table, partition, Load(load, attempt, parts), loads)
+        clean_up(lake, table, keep_seconds)
     return table, "compacted", expected

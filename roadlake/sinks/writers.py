@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +19,23 @@ from roadlake.sources.dimensions import Dimensions
 LOADED = "inserted_at"
 
 
+@contextmanager
+def held(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows, persisted while they are counted and written (a micro-batch already is)."""
+    if rows.is_cached:
+        yield rows
+        return
+    rows = rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def land(records: DataFrame, lake: Lake, table: str, load: str) -> None:
-    """Records as they came, by day of ingestion. No shuffle."""
-    tables.write_load(lake, table, tables.with_day(records, flow.event_time()), load)
+    """Records as they came, by day of ingestion. Only a micro-batch, which is persisted, is
+    dealt out to few files; a batch of any size is written where it lies, without a shuffle."""
+    tables.write_load(lake, table, tables.with_day(records, flow.event_time()), load, gather=records.is_cached)
 
 
 def quarantine(rejected: DataFrame, lake: Lake, source: str, load: str) -> None:
@@ -42,13 +59,15 @@ def route(checked: DataFrame, schema: T.StructType, lake: Lake, table: str, load
 
 
 def write_silver_flow(rollup: DataFrame, lake: Lake, load: str) -> None:
-    rows = tables.with_day(rollup, F.col("window_start"))
-    tables.write_load(lake, tables.SILVER_FLOW, rows, load, "city", rebalance=True)
+    with held(rollup) as rows:
+        rows = tables.with_day(rows, F.col("window_start"))
+        tables.write_load(lake, tables.SILVER_FLOW, rows, load, "city", gather=True)
 
 
 def write_silver_incidents(collapsed: DataFrame, lake: Lake, load: str) -> None:
-    rows = tables.with_day(collapsed, F.col("event_time"))
-    tables.write_load(lake, tables.SILVER_INCIDENTS, rows, load, "city", rebalance=True)
+    with held(collapsed) as rows:
+        rows = tables.with_day(rows, F.col("event_time"))
+        tables.write_load(lake, tables.SILVER_INCIDENTS, rows, load, "city", gather=True)
 
 
 def _surrogate(identity: list[str]) -> Column:
@@ -65,8 +84,7 @@ def _load_facts(facts: DataFrame, lake: Lake, table: str, load: str) -> int:
         quarantine(keys.outside_calendar(facts.drop(tables.SEQUENCE)), lake, table.rsplit("/", 1)[-1], load)
         inside = keys.in_calendar(facts)
         dimension_store.add_days(lake, inside.select(F.to_date("window_start_utc").alias("full_date")).distinct())
-        tables.write_load(lake, table, inside, load, rebalance=True)
-        return inside.count()
+        return tables.write_load(lake, table, inside, load, gather=True)
     finally:
         facts.unpersist()
 

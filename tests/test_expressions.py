@@ -161,7 +161,8 @@ def test_flow_response_defaults(spark):
     row = flow_response(spark, '{"flowSegmentData":{}}')
     assert (row.frc, row.current_speed_kmh, row.free_flow_speed_kmh, row.confidence) == ("", 0, 0, 0.0)
     assert row.road_closed is False and row.congestion_ratio is None and row.segment_lat is None
-    assert flow_response(spark, "{}").frc == ""
+    # An empty body holds no reading, and zeros for one without its part would be a false one.
+    assert flow_response(spark, "{}") is None and flow_response(spark, '{"other":1}') is None
 
 
 @pytest.mark.parametrize("count, middle", [(0, None), (1, 0), (2, 1), (3, 1), (4, 2)])
