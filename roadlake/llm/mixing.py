@@ -7,9 +7,14 @@ quotients (divisors 1, 3, 5, ...), each source's quota is apportioned the same w
 shards, and each shard takes its blocks from its documents in a seeded order: whole rounds
 first, then the first blocks of one more round.
 
-Only DataFrame functions are used. A shard is a hash of the document id, and there are about
-sqrt(words) / 16 of them, so neither a source with a third of all rows nor the list of
-shards is ever one task's work. Apportionment needs no list of all seats: rounding at the
+No shard takes more than `limit` times its words. What that cuts off, and what whole blocks
+leave over or take too much, goes to (or comes from) the source's shards in the order of their next
+quotients, word by word. So a source takes its target to the word, and one that stops at its
+limit takes every document exactly `limit` times, however small it is.
+
+Only DataFrame functions are used. A shard is a hash of the document id, and a source has about
+sqrt(its words) / 16 of them, so neither a source with a third of all rows nor the list of
+its shards is ever one task's work. Apportionment needs no list of all seats: rounding at the
 mean quotient gives all but a few, and the rest are ranked among the next quotients only.
 
 Defined results: null text has size 0 and is never taken; a null source is the last source; a
@@ -19,8 +24,6 @@ rows: nothing is taken; other columns are not read.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,7 +52,7 @@ def sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def targets(sized: DataFrame, limit: int = LIMIT, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """source, source_size, total, target."""
+    """rank (of the source by name), source, source_size, total, target."""
     everything = Window.partitionBy()
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     by_ratio = Window.orderBy(limit * F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
@@ -58,7 +61,8 @@ def targets(sized: DataFrame, limit: int = LIMIT, weights: tuple[int, ...] = WEI
     rank = F.row_number().over(by_name) - 1
     ranked = (
         sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-        .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int")).cast("bigint"))
+        .withColumn("rank", rank.cast("bigint"))
+        .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int")).cast("bigint"))
         .withColumn("total", F.sum("source_size").over(everything))
         .withColumn("left", F.col("total") - F.coalesce(F.sum(limit * F.col("source_size")).over(before), F.lit(0)))
         .withColumn("shares", F.sum("weight").over(onward))
@@ -67,7 +71,7 @@ def targets(sized: DataFrame, limit: int = LIMIT, weights: tuple[int, ...] = WEI
     # The first source that is not full fixes the words per weight for itself and all after it.
     rate = F.max(F.when(~F.col("full"), F.col("left") / F.col("shares"))).over(everything)
     target = F.when(F.col("full"), (limit * F.col("source_size")).cast("double")).otherwise(rate * F.col("weight"))
-    return ranked.select("source", "source_size", "total", target.alias("target"))
+    return ranked.select("rank", "source", "source_size", "total", target.alias("target"))
 
 
 def apportion(rows: DataFrame, seats: str, share: str, group: list[str], key: list[Column], out: str) -> DataFrame:
@@ -95,50 +99,58 @@ def apportion(rows: DataFrame, seats: str, share: str, group: list[str], key: li
     return kept.unionByName(moved).groupBy(*names).agg(F.max_by(out, "_p").cast("bigint").alias(out))
 
 
-def shard_count(sized: DataFrame) -> int:
-    """About sqrt(words) / 16: both the shards of a source and the documents of a shard stay few."""
-    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    return max(1, math.ceil(math.sqrt(total) / 16))
+def shard_of(place: Column, source_size: Column) -> Column:
+    """About sqrt(words of the source) / 16 shards: they, and the documents of each, stay few."""
+    shards = F.greatest(F.lit(1), F.ceil(F.sqrt(source_size.cast("double")) / 16)).cast("bigint")
+    return F.conv(F.substring(place, 1, 8), 16, 10).cast("bigint") % shards
 
 
-def quotas(sized: DataFrame, shards: int, limit: int = LIMIT, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
-    """source, shard, source_size, target, cell (words of the shard), quota (words taken from it)."""
-    aims = targets(sized, limit, weights).withColumn("_seats", F.floor(F.col("total") / block + 0.5).cast("bigint"))
-    aims = aims.withColumnRenamed("_seats", "seats")
-    name = F.col("source").asc_nulls_last()
-    aims = apportion(aims, "seats", "target", [], [name], "blocks").drop("seats")
-    cells = sized.select("source", "size", shard_of(F.col("place"), shards).alias("shard"))
-    cells = cells.groupBy("source", "shard").agg(F.sum("size").alias("cell"))
-    cells = cells.alias("c").join(aims.alias("a"), F.col("c.source").eqNullSafe(F.col("a.source"))).select(
-        "c.source", "shard", "cell", "source_size", "target", "blocks"
-    )
-    cells = apportion(cells, "blocks", "cell", ["source"], [F.col("shard")], "seats")
-    quota = F.least(F.col("seats") * block, limit * F.col("cell"))
-    return cells.select("source", "shard", "source_size", "target", "cell", quota.alias("quota"))
+def aims_of(sized: DataFrame, limit: int, weights: tuple[int, ...], block: int) -> DataFrame:
+    """rank, source, source_size, target, blocks: one row per source."""
+    aims = targets(sized, limit, weights).withColumn("seats", F.floor(F.col("total") / block + 0.5).cast("bigint")).drop("total")
+    return apportion(aims, "seats", "target", [], [F.col("rank")], "blocks").drop("seats")
 
 
-def shard_of(place: Column, shards: int) -> Column:
-    return F.conv(F.substring(place, 1, 8), 16, 10).cast("bigint") % shards
+def quotas(cells: DataFrame, limit: int = LIMIT, block: int = BLOCK) -> DataFrame:
+    """rank, shard, cell, quota (words taken from the shard); cells has target and blocks as well."""
+    seated = apportion(cells, "blocks", "cell", ["rank"], [F.col("shard")], "seats")
+    source = Window.partitionBy("rank")
+    order = source.orderBy((F.col("cell") / (2 * F.col("seats") + 1)).desc(), "shard").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda name: F.coalesce(F.sum(name).over(order), F.lit(0))
+    filled = seated.withColumn("whole", F.least(F.col("seats") * block, limit * F.col("cell")))
+    filled = filled.withColumn("room", limit * F.col("cell") - F.col("whole"))
+    left = F.floor(F.col("target") + 0.5).cast("bigint") - F.sum("whole").over(source)
+    more = F.greatest(F.lit(0), F.least(F.col("room"), left - earlier("room")))
+    less = F.greatest(F.lit(0), F.least(F.col("whole"), -left - earlier("whole")))
+    return filled.select("rank", "shard", "cell", (F.col("whole") + F.when(left >= 0, more).otherwise(-less)).alias("quota"))
 
 
 def mix(sized: DataFrame, limit: int = LIMIT, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK) -> DataFrame:
     """The sized rows (see `sizes`; other columns stay) with source_size, target and taken words."""
     narrow = sized.select("source", "size", "place")
-    shards = shard_count(narrow)
-    plan = quotas(narrow, shards, limit, weights, block)
-    q, taken_q = free_name(sized, "_quota"), free_name(sized, "_shard")
-    plan = stored(plan, "quotas")
-    rows = sized.withColumn(taken_q, shard_of(F.col("place"), shards))
-    joined = rows.alias("r").join(
-        plan.select(F.col("source").alias(q + "s"), F.col("shard").alias(q + "h"), "source_size", "target", "cell", "quota").alias("p"),
-        F.col("r.source").eqNullSafe(F.col(q + "s")) & (F.col(taken_q) == F.col(q + "h")),
+    aims = stored(aims_of(narrow, limit, weights, block), "aims")
+
+    def placed(rows: DataFrame, own: str) -> DataFrame:
+        """With the rank of their source, its aims, and their shard."""
+        aim = aims.select(F.col("rank").alias(own + "r"), F.col("source").alias(own + "s"), "source_size", "target", F.col("blocks").alias(own + "b"))
+        joined = rows.join(aim, rows["source"].eqNullSafe(F.col(own + "s"))).drop(own + "s")
+        return joined.withColumn(own + "h", shard_of(F.col("place"), F.col("source_size")))
+
+    q = free_name(sized, "_quota")
+    cells = placed(narrow, q).groupBy(F.col(q + "r").alias("rank"), F.col(q + "h").alias("shard")).agg(
+        F.sum("size").alias("cell"), F.max("target").alias("target"), F.max(q + "b").alias("blocks")
+    )
+    plan = stored(quotas(cells, limit, block), "quotas").select(
+        F.col("rank").alias(q + "r2"), F.col("shard").alias(q + "h2"), F.col("cell").alias(q + "c"), F.col("quota").alias(q)
     )
-    order = Window.partitionBy(q + "s", q + "h").orderBy("place", "doc_id", "size")
+    rows = placed(sized, q)
+    joined = rows.join(plan, (F.col(q + "r") == F.col(q + "r2")) & (F.col(q + "h") == F.col(q + "h2")))
+    order = Window.partitionBy(q + "r", q + "h").orderBy("place", "doc_id", "size")
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    cell = F.greatest(F.col("cell"), F.lit(1))
-    rounds, rest = F.floor(F.col("quota") / cell), F.col("quota") % cell
+    cell = F.greatest(F.col(q + "c"), F.lit(1))
+    rounds, rest = F.floor(F.col(q) / cell), F.col(q) % cell
     taken = F.col("size") * rounds + F.greatest(F.lit(0), F.least(F.col("size"), rest - before))
-    return joined.withColumn("taken", taken.cast("bigint")).drop(q + "s", q + "h", taken_q, "cell", "quota")
+    return joined.withColumn("taken", taken.cast("bigint")).drop(q, *[q + x for x in ("r", "h", "b", "r2", "h2", "c")])
 
 
 def mix_report(docs: DataFrame) -> DataFrame:

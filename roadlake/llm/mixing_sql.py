@@ -20,10 +20,11 @@ picked AS (SELECT source FROM seats WHERE target > 0
            QUALIFY row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST, k)
                    <= (SELECT floor(max(total) / 128 + 0.5) FROM s4)),
 blocks AS (SELECT source, count(*) AS blocks FROM picked GROUP BY source),
-placed AS (SELECT *, ('0x' || substr(place, 1, 8))::BIGINT
-                     % greatest(ceil(sqrt((SELECT max(total) FROM s4)::DOUBLE) / 16), 1)::BIGINT AS shard FROM sized),
+placed AS (SELECT sized.*, ('0x' || substr(place, 1, 8))::BIGINT
+                           % greatest(ceil(sqrt(source_size::DOUBLE) / 16), 1)::BIGINT AS shard
+           FROM sized JOIN s0 ON sized.source IS NOT DISTINCT FROM s0.source),
 cells AS (SELECT p.source, shard, sum(size)::BIGINT AS cell, any_value(b.blocks) AS blocks,
-                 any_value(s4.source_size) AS source_size
+                 any_value(s4.source_size) AS source_size, any_value(s4.target) AS target
           FROM placed p JOIN s4 ON p.source IS NOT DISTINCT FROM s4.source
           LEFT JOIN blocks b ON p.source IS NOT DISTINCT FROM b.source GROUP BY p.source, shard),
 cell_seats AS (SELECT source, shard, cell, blocks,
@@ -31,9 +32,16 @@ cell_seats AS (SELECT source, shard, cell, blocks,
                FROM cells WHERE cell > 0),
 cell_picked AS (SELECT source, shard FROM cell_seats
                 QUALIFY row_number() OVER (PARTITION BY source ORDER BY cell / (2 * k - 1) DESC, shard, k) <= coalesce(blocks, 0)),
-quota AS (SELECT source, shard, count(*) AS n FROM cell_picked GROUP BY source, shard),
-plan AS (SELECT c.source, c.shard, greatest(c.cell, 1) AS cell, least(coalesce(n, 0) * 128, 3 * c.cell) AS quota
-         FROM cells c LEFT JOIN quota q ON c.source IS NOT DISTINCT FROM q.source AND c.shard = q.shard),
+seated AS (SELECT source, shard, count(*) AS n FROM cell_picked GROUP BY source, shard),
+whole AS (SELECT c.source, c.shard, c.cell, c.target, coalesce(n, 0) AS n, least(coalesce(n, 0) * 128, 3 * c.cell)::BIGINT AS words
+          FROM cells c LEFT JOIN seated q ON c.source IS NOT DISTINCT FROM q.source AND c.shard = q.shard),
+-- Words that blocks leave over or take too much, shard by shard in the order of their next quotients.
+rest AS (SELECT *, floor(target + 0.5)::BIGINT - sum(words) OVER (PARTITION BY source) AS over_all,
+                coalesce(sum(3 * cell - words) OVER nxt, 0) AS room_before, coalesce(sum(words) OVER nxt, 0) AS words_before
+         FROM whole WINDOW nxt AS (PARTITION BY source ORDER BY cell / (2 * n + 1) DESC, shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+plan AS (SELECT source, shard, greatest(cell, 1) AS cell, (words + CASE WHEN over_all >= 0
+                THEN greatest(0, least(3 * cell - words, over_all - room_before))
+                ELSE -greatest(0, least(words, -over_all - words_before)) END)::BIGINT AS quota FROM rest),
 run AS (SELECT p.doc_id, p.size, p.source, cell, quota,
                sum(p.size) OVER (PARTITION BY p.source, p.shard ORDER BY p.place, p.doc_id, p.size
                                  ROWS UNBOUNDED PRECEDING) - p.size AS before

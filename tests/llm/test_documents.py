@@ -266,7 +266,19 @@ def test_mix_comes_near_its_targets(spark):
     mixed = mixing.mix_report(docs).join(docs.select("doc_id", "source"), "doc_id")
     assert mixed.where("taken > 3 * size or taken < 0").count() == 0
     for r in mixed.groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n")).collect():
-        assert abs(r.n - r.t) <= 2 * mixing.BLOCK
+        assert abs(r.n - r.t) < 1
+
+
+def test_small_source_beside_a_huge_one_is_taken_whole(spark):
+    """Sizes only: 300 documents of 20 words and 40 of one word beside 80 million others."""
+    rows = [(i, "small", 20) for i in range(300)] + [(1000 + i, "tiny", 1) for i in range(40)]
+    rows += [(2000 + i, "zhuge", 40_000) for i in range(2000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumn("place", F.md5(F.col("doc_id").cast("string")))
+    mixed = mixing.mix(sized)
+    by_source = {r.source: r for r in mixed.groupBy("source").agg(F.sum("taken").alias("n"), F.first("target").alias("t")).collect()}
+    assert (by_source["small"].n, by_source["small"].t, by_source["tiny"].n) == (18_000, 18_000, 120)
+    assert mixed.where("source <> 'zhuge' AND taken <> 3 * size").isEmpty()
+    assert abs(by_source["zhuge"].n - by_source["zhuge"].t) < 1 and mixed.where("taken > 3 * size").isEmpty()
 
 
 def test_mix_of_odd_rows(odd_documents, no_documents):
