@@ -2,12 +2,15 @@
 
 A host's trust seed is the share of its pages that an allow rule fits, its distrust seed the
 share that a block rule fits. Trust follows links (personalised PageRank from the trusted
-seeds); distrust runs against them, from the blocked seeds to the hosts that link there.
-Scores are scaled so that a wholly blocked host without links has distrust 1. A host is
-blocked when its distrust reaches `THRESHOLD` and is above its trust.
+seeds). Distrust runs against them, from the blocked seeds to the hosts that link there, by the
+share of the linking host's links: it is the part of a (damped) walk out of the host, stopped
+at pages with a rule, that ends at blocked ones. So it does not shrink with the number of hosts
+that link to the same place, and cycles cannot raise it above 1. A host is blocked when its
+distrust reaches `THRESHOLD` and is above its trust.
 
 Links within a host carry nothing. Edges are summed per pair of hosts on the map side, scores
-spread by joins, and every few rounds they are written so that plans stay short.
+spread by joins, and every few rounds they are written so that plans stay short. The edges of
+a host with very many are dealt out to pieces, and its score goes to each of them.
 
 Defined results: a null url or one without `://` has an empty host and path, fits no rule, and
 is allowed; null html has no links; repeated pages count each; hosts nobody links to have
@@ -25,7 +28,8 @@ from roadlake.llm.tables import stored
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 DAMPING = 0.85
 ROUNDS = 20
-THRESHOLD = 0.8
+THRESHOLD = 0.5  # most of a host's links lead to blocked hosts, or a few steps on
+HOT_EDGES = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,11 +70,22 @@ def targets_of(html: Column, host: Column) -> Column:
     return F.filter(hosts, lambda h: (h != "") & (h != host))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def in_pieces(edges: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Edges with their piece, and (host, pieces) of the hosts with more than one."""
+    hot = edges.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("pieces")).where("pieces > 1")
+    hot = stored(hot, "hot-hosts")
+    dealt = edges.join(hot, "src", "left").withColumn("piece", F.coalesce(F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int"), F.lit(0)))
+    return stored(dealt.drop("pieces"), "edges"), hot.withColumnRenamed("src", "host")
+
+
+def spread(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, most: int = HOT_EDGES) -> DataFrame:
     """(host, score) = seed + DAMPING * sum over edges (src, dst, share) of the score of src."""
+    edges, hot = in_pieces(edges, most)
     scores = seeds
     for k in range(1, rounds + 1):
-        moved = edges.join(scores.withColumnRenamed("host", "src"), "src")
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pieces"), F.lit(1)) - 1))
+        sent = scores.join(hot, "host", "left").select(F.col("host").alias("src"), "score", copies.alias("piece"))
+        moved = edges.join(sent, ["src", "piece"])
         moved = moved.select(F.col("dst").alias("host"), (DAMPING * F.col("score") * F.col("share")).alias("score"))
         scores = seeds.unionByName(moved).groupBy("host").agg(F.sum("score").alias("score"))
         if k % 5 == 0:
@@ -78,12 +93,10 @@ def spread(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFram
     return scores
 
 
-def shares(links: DataFrame, src: str, dst: str) -> DataFrame:
-    """Edges with each source's links shared out to 1."""
-    totals = links.groupBy(F.col(src).alias("src")).agg(F.sum("n").alias("total"))
-    return links.select(F.col(src).alias("src"), F.col(dst).alias("dst"), "n").join(totals, "src").select(
-        "src", "dst", (F.col("n") / F.col("total")).alias("share")
-    )
+def shares(links: DataFrame) -> DataFrame:
+    """(host, target, share): each host's links shared out to 1."""
+    totals = links.groupBy("host").agg(F.sum("n").alias("total"))
+    return links.join(totals, "host").select("host", "target", (F.col("n") / F.col("total")).alias("share"))
 
 
 def judge_pages(pages: DataFrame) -> DataFrame:
@@ -102,8 +115,12 @@ def judge_pages(pages: DataFrame) -> DataFrame:
     )
     links = rows.where("host <> ''").select("host", F.explode("to").alias("target")).groupBy("host", "target").agg(F.count(F.lit(1)).alias("n"))
     links = stored(links, "links")
-    trust = spread(seeds.select("host", F.col("trust").alias("score")), shares(links, "host", "target"))
-    distrust = spread(seeds.select("host", F.col("distrust").alias("score")), shares(links, "target", "host"))
+    shared = stored(shares(links), "shares")
+    trust = spread(seeds.select("host", F.col("trust").alias("score")), shared.withColumnsRenamed({"host": "src", "target": "dst"}))
+    # A walk goes on from the pages that no rule fits.
+    free = seeds.select("host", (1 - F.col("trust") - F.col("distrust")).alias("free"))
+    back = shared.join(free, "host").select(F.col("target").alias("src"), F.col("host").alias("dst"), (F.col("share") * F.col("free")).alias("share"))
+    distrust = spread(seeds.select("host", F.col("distrust").alias("score")), back)
     scores = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host", "full")
     scores = stored(scores.na.fill(0.0, ["trust", "distrust"]), "scores")
     judged = rows.drop("to").join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])

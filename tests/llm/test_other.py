@@ -79,25 +79,41 @@ def test_distrust_runs_against_links_and_trust_along(spark):
     edges = {("farm.io", "bad.net"): 3, ("bad.net", "ok.io"): 1, ("ok.io", "c.org"): 1, ("c.org", "friend.io"): 1, ("friend.io", "bad.net"): 1, ("friend.io", "ok.io"): 1}
     hosts = {h for e in edges for h in e}
 
-    def plain(seed, pairs):
-        score = dict(seed)
-        for _ in range(linktrust.ROUNDS):
-            after = dict(seed)
-            for (a, b), n in pairs.items():
-                out = sum(v for (x, _), v in pairs.items() if x == a)
-                after[b] += linktrust.DAMPING * score[a] * n / out
-            score = after
-        return score
-
-    trust = plain({h: float(h == "c.org") for h in hosts}, edges)
-    distrust = plain({h: float(h == "bad.net") for h in hosts}, {(b, a): n for (a, b), n in edges.items()})
+    seeds = {"trust": {h: float(h == "c.org") for h in hosts}, "distrust": {h: float(h == "bad.net") for h in hosts}}
+    out = {a: sum(n for (x, _), n in edges.items() if x == a) for a, _ in edges}
+    trust, distrust = dict(seeds["trust"]), dict(seeds["distrust"])
+    for _ in range(linktrust.ROUNDS):
+        trust = {h: seeds["trust"][h] + sum(0.85 * trust[a] * n / out[a] for (a, b), n in edges.items() if b == h) for h in hosts}
+        # A walk out of a host ends at pages with a rule.
+        distrust = {
+            h: seeds["distrust"][h] + (h not in ("bad.net", "c.org")) * sum(0.85 * distrust[b] * n / out[a] for (a, b), n in edges.items() if a == h)
+            for h in hosts
+        }
+    assert distrust["farm.io"] == pytest.approx(0.85) and distrust["friend.io"] == pytest.approx(0.425)
     for h, r in found.items():
         assert r.trust == pytest.approx(trust[h]) and r.distrust == pytest.approx(distrust[h])
-        ruled = {"bad.net": "block", "c.org": "allow"}
-        assert r.verdict == ruled.get(h, "block" if distrust[h] >= linktrust.THRESHOLD and distrust[h] > trust[h] else "allow")
+        assert r.verdict == {"bad.net": "block", "farm.io": "block"}.get(h, "allow")
     assert linktrust.judge_pages(pages(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("most", [3, 100_000])
+def test_farms_are_blocked_whatever_their_size(spark, monkeypatch, most):
+    """1, 5 and 1,000 hosts that link only to a blocked host, a second hop, rings; hosts with one such link among many are not."""
+    monkeypatch.setattr(linktrust.spread, "__defaults__", (linktrust.ROUNDS, most))
+    rows, block = [("http://a.net/", ""), ("http://b.net/", ""), ("http://c.net/", "")], set()
+    for name, n in (("a", 1), ("b", 5), ("c", 1000)):
+        for i in range(n):
+            rows.append((f"http://farm{i}.{name}.io/", link(f"http://{name}.net/x")))
+            block.add(f"farm{i}.{name}.io")
+    rows += [("http://second.io/", link("http://farm1.b.io/", "http://farm2.c.io/")), ("http://ring1.io/", link("http://ring2.io/", "http://a.net/")), ("http://ring2.io/", link("http://ring1.io/", "http://a.net/"))]
+    block |= {"second.io", "ring1.io", "ring2.io"}
+    good = [f"http://good{i}.io/" for i in range(9)]
+    rows += [(g, link("http://a.net/", *[x for x in good if x != g])) for g in good]
+    found = linktrust.judge_pages(pages(spark, [(i, u, h, None) for i, (u, h) in enumerate(rows)])).collect()
+    assert {r.host for r in found if r.verdict == "block" and r.rule is None} == block
+    assert all(r.distrust <= 1 + 1e-9 for r in found)
+
+
 def test_pipeline_stages_act(spark, odd_documents):
     prepared(spark)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
