@@ -105,6 +105,26 @@ def src_incident_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses.incident_records(adapters.raw_incident_json(spark, sf_dir))
 
 
+@query(
+    "src_incident_dead_letters",
+    sql.with_(sql.AREAS) + f"SELECT area AS bbox_name, {adapters.POLL_EPOCH_S * 1000} + (o_orderkey // 10) * 1000 AS ingested_at, "
+    "CASE WHEN o_orderkey % 40 = 7 THEN o_orderkey % 10 END AS position, "
+    "CASE WHEN o_orderkey % 40 = 7 THEN 'malformed incident' END AS reason, "
+    "CASE WHEN o_orderkey % 40 <> 7 THEN CAST(floor(o_totalprice) AS INTEGER) END AS length_meters "
+    "FROM orders JOIN areas ON (o_orderkey // 10) % 4 = pos",
+)
+def src_incident_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with some incidents of a wrong type: those alone are dead letters, in their place."""
+    bodies = adapters.raw_incident_json(spark, sf_dir, F.col("o_orderkey") % 40 == 7)
+    records = responses.incident_records(bodies).select(
+        "bbox_name", "ingested_at", F.lit(None).cast("int").alias("position"), F.lit(None).cast("string").alias("reason"), "length_meters"
+    )
+    dead = responses.incident_dead_letters(bodies).select(
+        "bbox_name", "ingested_at", "position", "reason", F.lit(None).cast("int").alias("length_meters")
+    )
+    return records.unionByName(dead)
+
+
 @query(
     "src_dim_scan",
     sql.with_(rollups.ROLLED) + "SELECT location_key, version_number, is_current FROM rolled_locations",

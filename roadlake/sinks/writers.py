@@ -14,6 +14,7 @@ from roadlake.operators import contract, keys
 from roadlake.sinks import dimension_store
 from roadlake.sinks import lake as tables
 from roadlake.sinks.lake import Lake
+from roadlake.sources import contracts, responses
 from roadlake.sources.dimensions import Dimensions
 
 LOADED = "inserted_at"
@@ -58,6 +59,22 @@ def route(checked: DataFrame, schema: T.StructType, lake: Lake, table: str, load
         checked.unpersist()
 
 
+def land_flow_responses(bodies: DataFrame, lake: Lake, load: str) -> None:
+    """Lands the readings of raw responses (see ``responses``); the other responses are quarantined."""
+    with held(bodies) as rows:
+        records = responses.flow_records(rows)
+        tables.write_load(lake, tables.LANDING_FLOW, tables.with_day(records, flow.event_time()), load, gather=True)
+        quarantine(responses.dead_letters(rows, contracts.RAW_FLOW, responses.FLOW_PART), lake, "flow", load)
+
+
+def land_incident_responses(bodies: DataFrame, lake: Lake, load: str) -> None:
+    """Lands the incidents of raw responses; what does not fit is quarantined, one by one."""
+    with held(bodies) as rows:
+        records = responses.incident_records(rows)
+        tables.write_load(lake, tables.LANDING_INCIDENTS, tables.with_day(records, flow.event_time()), load, gather=True)
+        quarantine(responses.incident_dead_letters(rows), lake, "incidents", load)
+
+
 def write_silver_flow(rollup: DataFrame, lake: Lake, load: str) -> None:
     with held(rollup) as rows:
         rows = tables.with_day(rows, F.col("window_start"))

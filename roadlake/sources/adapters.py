@@ -164,8 +164,9 @@ def broken_flow_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_flow_json(spark, sf_dir).withColumn("kind", kind).withColumn("body", body)
 
 
-def raw_incident_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw incident responses of up to 10 incidents (ten neighbouring order keys)."""
+def raw_incident_json(spark: SparkSession, sf_dir: str, broken: Column | None = None) -> DataFrame:
+    """Raw incident responses of up to 10 incidents (ten neighbouring order keys). In those that
+    ``broken`` says the length is text."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     k = F.col("o_orderkey")
     lon, lat = 30 + (k % 100) / 100, 31 + (k % 50) / 100
@@ -214,6 +215,8 @@ def raw_incident_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         properties,
         F.lit("}"),
     )
+    if broken is not None:
+        incident = F.when(broken, F.regexp_replace(incident, r'"length":(\d+)', r'"length":"x$1"')).otherwise(incident)
     grouped = orders.select(F.expr("o_orderkey div 10").alias("doc"), k.alias("k"), incident.alias("incident"))
     docs = grouped.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("k", "incident"))).alias("members"))
     return docs.select(

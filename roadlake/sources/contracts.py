@@ -62,14 +62,17 @@ RAW_FLOW = """
         coordinates: STRUCT<coordinate: ARRAY<STRUCT<latitude: DOUBLE, longitude: DOUBLE>>>>
 """
 
-# Raw incident response. ``coordinates`` holds pairs for a line and one pair for a
-# point, so it is kept as text here and parsed once the geometry type is known.
-RAW_INCIDENTS = """
-    incidents ARRAY<STRUCT<
-        geometry: STRUCT<type: STRING, coordinates: STRING>,
-        properties: STRUCT<
-            iconCategory: INT, magnitudeOfDelay: INT, `from`: STRING, `to`: STRING,
-            delay: INT, length: INT, roadNumbers: ARRAY<STRING>,
-            startTime: STRING, endTime: STRING, timeValidity: STRING,
-            probabilityOfOccurrence: STRING, numberOfReports: INT, lastReportTime: STRING>>>
+# Raw incident response. Incidents are taken out as text first, so that one that does not fit
+# its contract is rejected by itself.
+RAW_INCIDENTS = "incidents ARRAY<STRING>"
+
+# One raw incident. ``coordinates`` holds pairs for a line and one pair for a point, so it is
+# kept as text here and parsed once the geometry type is known.
+RAW_INCIDENT = """
+    geometry STRUCT<type: STRING, coordinates: STRING>,
+    properties STRUCT<
+        iconCategory: INT, magnitudeOfDelay: INT, `from`: STRING, `to`: STRING,
+        delay: INT, length: INT, roadNumbers: ARRAY<STRING>,
+        startTime: STRING, endTime: STRING, timeValidity: STRING,
+        probabilityOfOccurrence: STRING, numberOfReports: INT, lastReportTime: STRING>
 """

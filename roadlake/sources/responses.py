@@ -102,16 +102,35 @@ def message_key(bbox_name: Column, position: Column) -> Column:
     return F.concat_ws("_", bbox_name, position)
 
 
+def each_incident(responses: DataFrame, body: str = "body") -> DataFrame:
+    """One row per element of each response's list: its place, its text, and the parsed ``incident``
+    with a ``reason`` where it is none (a value of the wrong type, null, or no object)."""
+    fitting = well_formed(responses, contracts.RAW_INCIDENTS, INCIDENT_PART, body)
+    kept = [c for c in responses.columns if c != body]
+    each = fitting.select(*kept, F.posexplode(F.col("response")[INCIDENT_PART]).alias("position", "text"))
+    each = each.withColumn("incident", F.explode(F.array(parsed(F.col("text"), contracts.RAW_INCIDENT))))
+    malformed = F.col("incident").isNull() | F.col("incident")[CORRUPT].isNotNull()
+    return each.withColumn("reason", F.when(malformed, "malformed incident"))
+
+
+def incident_dead_letters(responses: DataFrame, body: str = "body") -> DataFrame:
+    """Responses that hold no list, whole, and the single incidents that do not fit, with their place."""
+    whole = dead_letters(responses, contracts.RAW_INCIDENTS, INCIDENT_PART, body).withColumn("position", F.lit(None).cast("int"))
+    single = each_incident(responses, body).where("reason IS NOT NULL").select(
+        F.current_timestamp().alias("failed_at"), "reason", F.coalesce("text", F.lit("null")).alias("record"),
+        *[c for c in responses.columns if c != body], "position",
+    )
+    return whole.unionByName(single)
+
+
 def incident_records(responses: DataFrame, body: str = "body", with_key: bool = False) -> DataFrame:
-    """One record per incident of each response; needs ``ingested_at, bbox_name``.
+    """One record per sound incident of each response; needs ``ingested_at, bbox_name``.
 
-    A response with an empty list yields nothing; a malformed one is a dead letter. ``with_key`` adds the message
-    key, the area name and the incident's place in its response.
+    A response with an empty list yields nothing; what is malformed is a dead letter (see
+    ``incident_dead_letters``): an incident alone, or a response without a list. ``with_key`` adds the
+    message key, the area name and the incident's place in its response.
     """
-    incidents = F.col("response")[INCIDENT_PART]
-    fitting = well_formed(responses, contracts.RAW_INCIDENTS, INCIDENT_PART, body)
-    each = fitting.select("ingested_at", "bbox_name", F.posexplode(incidents).alias("position", "incident"))
-    each = each.select(
+    each = each_incident(responses, body).where("reason IS NULL").select(
         "ingested_at",
         "bbox_name",
         "position",

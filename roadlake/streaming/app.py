@@ -67,6 +67,16 @@ def land_stream(records: DataFrame, lake: Lake, table: str, trigger: dict = EVER
     )
 
 
+def response_streams(
+    flow_bodies: DataFrame, incident_bodies: DataFrame, lake: Lake, trigger: dict = EVERY_MINUTE
+) -> list[StreamingQuery]:
+    """Lands what raw responses hold, and quarantines what does not fit, as they come."""
+    return [
+        _start(flow_bodies, lake, "responses_flow", lambda batch, load: writers.land_flow_responses(batch, lake, load), trigger),
+        _start(incident_bodies, lake, "responses_incidents", lambda batch, load: writers.land_incident_responses(batch, lake, load), trigger),
+    ]
+
+
 def route_stream(
     checked: DataFrame, lake: Lake, table: str, schema: T.StructType, trigger: dict = EVERY_MINUTE
 ) -> StreamingQuery:

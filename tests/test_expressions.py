@@ -215,6 +215,36 @@ def test_empty_and_broken_responses_give_nothing(spark):
     assert responses.incident_records(frame).count() == 0
 
 
+SOUND = '{"properties":{"iconCategory":8,"length":5}}'
+
+
+@pytest.mark.parametrize(
+    "bad, record",
+    [
+        ('{"properties":{"length":"five"}}', '{"properties":{"length":"five"}}'),
+        ('{"properties":{"iconCategory":1.5}}', '{"properties":{"iconCategory":1.5}}'),
+        ('{"properties":[1]}', '{"properties":[1]}'), ("null", "null"), ("7", "7"), ('"text"', "text"),
+    ],
+)
+def test_one_bad_incident_rejects_only_itself(spark, bad, record):
+    body = f'{{"incidents":[{SOUND},{bad},{SOUND}]}}'
+    frame = spark.createDataFrame([(1, "a", body)], "ingested_at long, bbox_name string, body string")
+    sound = responses.incident_records(frame, with_key=True).collect()
+    assert [(r.record_key, r.category, r.length_meters) for r in sound] == [("a_0", "Road closed", 5), ("a_2", "Road closed", 5)]
+    (dead,) = responses.incident_dead_letters(frame).collect()
+    assert (dead.reason, dead.record, dead.position, dead.bbox_name, dead.ingested_at) == ("malformed incident", record, 1, "a", 1)
+
+
+@pytest.mark.parametrize(
+    "body, reason",
+    [("{}", "missing incidents"), ("not json", "malformed response"), ('{"incidents":7}', "malformed response"), (None, "malformed response")],
+)
+def test_responses_without_a_list_are_dead_letters(spark, body, reason):
+    frame = spark.createDataFrame([(1, "a", body)], "ingested_at long, bbox_name string, body string")
+    (dead,) = responses.incident_dead_letters(frame).collect()
+    assert (dead.reason, dead.record, dead.position) == (reason, body, None) and responses.incident_records(frame).isEmpty()
+
+
 # --- geography and calendar -----------------------------------------------------
 
 

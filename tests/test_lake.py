@@ -536,3 +536,17 @@ def test_dead_letters_of_a_retry_after_midnight_count_once(spark, lake):
     assert compaction.compact_previous_day(lake, date(2024, 1, 3), ["quarantine/flow"]).first().outcome == "compacted"
     writers.quarantine(at(4), lake, "flow", "s.1")
     assert lake.read("quarantine/flow").count() == 2
+
+
+def test_raw_responses_are_landed_or_quarantined_by_the_application(spark, lake):
+    flow_bodies = adapters.broken_flow_json(spark, SMALL).drop("kind")
+    incident_bodies = adapters.raw_incident_json(spark, SMALL, F.col("o_orderkey") % 40 == 7)
+    for query in app.response_streams(replayed(spark, flow_bodies), replayed(spark, incident_bodies), lake, app.ONCE):
+        query.awaitTermination()
+    n, orders = flow_bodies.count(), spark.read.parquet(f"{SMALL}/orders.parquet")
+    assert lake.read(tables.LANDING_FLOW).count() + lake.read("quarantine/flow").count() == n
+    assert lake.read("quarantine/flow").count() > 0
+    bad = orders.where("o_orderkey % 40 = 7").count()
+    dead = lake.read("quarantine/incidents")
+    assert dead.count() == bad > 0 and dead.where("NOT contains(record, '\"length\":\"x')").isEmpty()
+    assert lake.read(tables.LANDING_INCIDENTS).count() == orders.count() - bad
