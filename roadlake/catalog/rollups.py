@@ -502,9 +502,11 @@ def flt_current_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql.with_(ROLLED)
     + "SELECT 'one_current_version' AS rule, 'dim_location' AS table_name, (SELECT count(*) FROM (SELECT 1 FROM "
     "rolled_locations WHERE is_current GROUP BY location_key HAVING count(*) > 1)) AS violations "
-    "UNION ALL SELECT 'no_overlap', 'dim_location', (SELECT count(*) FROM rolled_locations a JOIN rolled_locations b "
-    "ON a.location_key = b.location_key AND a.version_number + 1 = b.version_number "
-    "AND coalesce(a.valid_to, DATE '9999-12-31') > b.valid_from)",
+    "UNION ALL SELECT 'no_overlap', 'dim_location', (SELECT count(*) FROM (SELECT *, "
+    "max(coalesce(valid_to, DATE '9999-12-31')) OVER (PARTITION BY location_key ORDER BY valid_from, version_number "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached, count(*) OVER (PARTITION BY location_key, version_number) AS times "
+    "FROM rolled_locations) v WHERE reached > valid_from OR times > 1 OR (version_number > 1 AND NOT EXISTS "
+    "(SELECT 1 FROM rolled_locations b WHERE b.location_key = v.location_key AND b.version_number = v.version_number - 1)))",
 )
 def dq_scd_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     locations = rolled_locations(spark, sf_dir)

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from roadlake.functions import codes
 from roadlake.functions.lookup import label_of, road_class_label
@@ -71,19 +72,30 @@ def roll_versions(
 
 
 def overlapping_versions(dimension: DataFrame, key: str = "location_key") -> DataFrame:
-    """Versions that start before their predecessor ended, or that have no predecessor though not the first.
+    """Versions that start before any earlier one of their key ended, repeat a version number, or
+    lack the number before theirs.
 
-    Each version meets only the one before it: the join is on key and number, so a key
-    with very many versions is spread over tasks.
+    A sweep in order of start with the running maximum of the ends, so an overlap is found
+    however many versions lie between. A key's versions are swept month by month: each month
+    starts from the maximum of the months before, so a key with very many versions is spread
+    over tasks and only one row per key and month meets in its window.
     """
-    before = dimension.select(
-        F.col(key).alias("_key"),
-        (F.col("version_number") + 1).alias("_next"),
-        F.coalesce("valid_to", F.lit("9999-12-31").cast("date")).alias("_ended"),
+    ended = F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))
+    rows = dimension.withColumns({"_ended": ended, "_month": F.date_trunc("month", "valid_from").cast("date")})
+    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    months = rows.groupBy(key, "_month").agg(F.max("_ended").alias("_most"))
+    carried = months.select(
+        F.col(key).alias("_key"), F.col("_month").alias("_in"), F.max("_most").over(earlier(key).orderBy("_month")).alias("_before")
     )
-    paired = dimension.join(
-        before, (dimension[key] == before["_key"]) & (dimension["version_number"] == before["_next"]), "left"
+    within = earlier(key, "_month").orderBy("valid_from", "version_number", "_ended")
+    numbers = dimension.groupBy(F.col(key).alias("_of"), F.col("version_number").alias("_number")).agg(F.count(F.lit(1)).alias("_times"))
+    swept = rows.withColumn("_reached", F.max("_ended").over(within)).join(
+        carried, rows[key].eqNullSafe(F.col("_key")) & rows["_month"].eqNullSafe(F.col("_in")), "left"
     )
-    overlap = F.col("_ended") > F.col("valid_from")
-    gap = F.col("_key").isNull() & (F.col("version_number") > 1)
-    return paired.where(overlap | gap).select(*dimension.columns)
+    same, before = numbers.alias("same"), numbers.select(F.col("_of").alias("_of2"), F.col("_number").alias("_number2"))
+    swept = swept.join(same, swept[key].eqNullSafe(F.col("_of")) & (F.col("version_number") == F.col("_number")), "left")
+    swept = swept.join(before, swept[key].eqNullSafe(F.col("_of2")) & (F.col("version_number") - 1 == F.col("_number2")), "left")
+    overlap = F.coalesce(F.greatest("_reached", "_before") > F.col("valid_from"), F.lit(False))
+    repeated = F.coalesce(F.col("_times") > 1, F.lit(False))
+    gap = F.col("_number2").isNull() & (F.col("version_number") > 1)
+    return swept.where(overlap | repeated | gap).select(*[swept[c] for c in dimension.columns])

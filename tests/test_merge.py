@@ -91,6 +91,23 @@ def test_overlap_is_found(spark):
     assert history.overlapping_versions(gap).count() == 1
 
 
+def test_overlap_is_found_across_versions_and_months(spark):
+    """Against all pairs: versions 1 and 3 that overlap, repeated numbers, gaps, many versions of one key."""
+    rows = [("a", 1, date(2024, 1, 1), date(2024, 6, 1)), ("a", 2, date(2024, 1, 5), date(2024, 1, 6)), ("a", 3, date(2024, 3, 1), None)]
+    rows += [("b", 1, date(2024, 1, 1), date(2024, 1, 9)), ("b", 2, date(2024, 1, 9), date(2024, 2, 1)), ("b", 2, date(2024, 2, 1), None)]
+    rows += [("c", 1, date(2024, 1, 1), date(2024, 1, 2)), ("c", 3, date(2024, 5, 1), None), (None, 1, date(2024, 1, 1), None)]
+    rows += [("hot", n + 1, date.fromordinal(738000 + 3 * n), date.fromordinal(738000 + 3 * n + (400 if n == 7 else 3))) for n in range(200)]
+    dim = spark.createDataFrame(rows, "location_key string, version_number int, valid_from date, valid_to date")
+    end = lambda r: r[3] or date(9999, 12, 31)
+    expected = [
+        r for r in rows
+        if any(o[0] == r[0] and (o[2], o[1]) < (r[2], r[1]) and end(o) > r[2] for o in rows)
+        or sum(o[:2] == r[:2] for o in rows) > 1 or r[1] > 1 and not any(o[0] == r[0] and o[1] == r[1] - 1 for o in rows)
+    ]
+    found = [tuple(r) for r in history.overlapping_versions(dim).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str) and len(found) > 130
+
+
 def test_duplicate_current_version_would_duplicate_facts(spark):
     dim = spark.createDataFrame([("a", True), ("a", True), ("b", True)], "location_key string, is_current boolean")
     assert quality.duplicate_keys(dim.where("is_current"), "dim_location", ["location_key"]).first().violations == 1
