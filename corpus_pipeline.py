@@ -1,11 +1,17 @@
-"""From raw documents to sharded training text, in stages that each write their result."""
+"""From raw documents to sharded training text, in stages that each write their result.
+
+All stages take nulls in any column, empty and very long texts, ties, repeated rows, empty tables
+and further columns of any name; each operator states what it makes of them. Further columns go
+through to the end. The last stage adds `size`, `shard` and `slot`; where the documents have a
+column of that name, underscores are added to the new one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlake.llm import contamination, mixing, neardup, outliers, sharding
-from roadlake.llm.tables import prepared, stored, table
+from roadlake.llm.tables import free_name, prepared, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +37,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard and slot."""
-    return sharding.shard_documents(docs, prefix="out_").withColumnsRenamed(
-        {"out_size": "size", "out_shard": "shard", "out_slot": "slot"}
-    )
+    prefix = "out_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    placed = sharding.shard_documents(docs, prefix=prefix)
+    return placed.withColumnsRenamed({prefix + name: free_name(docs, name) for name in ("size", "shard", "slot")})
 
 
 STAGES = [
