@@ -2,11 +2,12 @@
 
 import pytest
 from oracle import connect, differences
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from roadlake.llm import chat, linktrust, outliers
 from roadlake.llm.queries import ORACLES, QUERIES
-from roadlake.llm.tables import prepared
+from roadlake.llm.tables import prepared, stored
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -114,7 +115,7 @@ def test_farms_are_blocked_whatever_their_size(spark, monkeypatch, most):
     assert all(r.distrust <= 1 + 1e-9 for r in found)
 
 
-def test_pipeline_stages_act(spark, odd_documents):
+def test_pipeline_stages_act(spark):
     prepared(spark)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before, columns = docs, docs.columns
@@ -132,7 +133,17 @@ def test_pipeline_stages_act(spark, odd_documents):
     assert dropped and not dropped & {r.doc_id for r in before.collect()}
 
 
-def test_pipeline_on_no_rows(spark, odd_documents):
+def test_pipeline_on_odd_rows(spark, odd_documents):
+    """Nulls, ties, repeated rows, long texts and clashing names, `size`, `shard` and `out_slot` among them."""
+    docs = odd_documents.withColumns({c: F.lit(7) for c in ("shard", "out_slot", "out__size")})
+    columns, ids = docs.columns, {r.doc_id for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(prepared(spark), docs, SMALL), f"odd-{name}")
+        assert docs.columns[: len(columns)] == columns and {r.doc_id for r in docs.collect()} <= ids, name
+    assert docs.columns[len(columns) :] == ["size_", "shard_", "slot"]
+
+
+def test_pipeline_on_no_rows(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
