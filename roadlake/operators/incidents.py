@@ -9,19 +9,17 @@ from roadlake.functions import codes, flow, incidents, lookup
 
 IDENTITY = ["bbox_name", "category", "from_location", "to_location", "start_time_parsed"]
 
-# Values carried from the earliest poll that knows them.
-CARRIED = [
+# Values carried from the earliest poll that knows them: those that fit a packed number, and
+# texts, times and positions, which polls of one incident seldom change.
+CARRIED_NARROW = [
     "icon_category_id",
     "magnitude",
     "delay_seconds",
     "length_meters",
-    "road_numbers",
-    "end_time_parsed",
     "has_known_location",
     "is_active",
-    "lat",
-    "lon",
 ]
+CARRIED_WIDE = ["road_numbers", "end_time_parsed", "lat", "lon"]
 
 COLLAPSED_COLUMNS = IDENTITY + [
     "city",
@@ -86,12 +84,28 @@ def collapse_polls(reports: DataFrame) -> DataFrame:
     NULL identity parts group together. Each carried value is the earliest known one
     on its own, so a NULL in the first poll is filled by a later poll. Measures are
     computed once per collapsed row, not once per poll.
+
+    Polls are first grouped by their wide values too, which leaves only numbers to
+    aggregate: Spark hashes all polls, on the map side already, and sorts just the few
+    rows that an incident has left. On a stream both steps keep state and close with the
+    same watermark.
     """
     timed = reports if "start_time_parsed" in reports.columns else time_reports(reports)
-    return (
+    types = {name: timed.schema[name].dataType for name in CARRIED_NARROW}
+    versions = (
         timed.withWatermark("event_time", codes.WATERMARK)
-        .groupBy(F.window("event_time", codes.WINDOW), *IDENTITY)
-        .agg(*[lookup.earliest_known(name).alias(name) for name in CARRIED])
+        .groupBy(F.window("event_time", codes.WINDOW), *IDENTITY, *CARRIED_WIDE)
+        .agg(
+            F.min("event_time").alias("first_seen"),
+            *[F.min(lookup.packed(name)).alias(name) for name in CARRIED_NARROW],
+        )
+    )
+    return (
+        versions.groupBy("window", *IDENTITY)
+        .agg(
+            *[lookup.unpacked(F.min(name), types[name]).alias(name) for name in CARRIED_NARROW],
+            *[lookup.earliest_known(name, "first_seen").alias(name) for name in CARRIED_WIDE],
+        )
         .withColumns({"event_time": F.col("window.start"), **measures()})
         .select(*COLLAPSED_COLUMNS)
     )

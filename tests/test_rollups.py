@@ -1,5 +1,6 @@
 """Rollups against plain Python, hot keys, NULLs and invariants."""
 
+import re
 from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -114,3 +115,45 @@ def test_enriched_reports_collapse_like_raw_ones(spark, sf_dir):
     a = incidents.collapse_polls(raw)
     b = incidents.collapse_polls(incidents.enrich_incidents(raw))
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(
+            st.integers(0, 1800),
+            st.one_of(st.none(), st.sampled_from([-(2**31), -1, 0, 1, 2**31 - 1])),
+            st.one_of(st.none(), st.sampled_from(["", "R1", "R2"])),
+            st.one_of(st.none(), st.sampled_from([-1.5, 0.25, float("inf")])),
+        ),
+        min_size=1, max_size=25,
+    )
+)
+def test_collapse_equals_brute_force(spark, sample):
+    rows = [
+        poll(ingested_at=1704067200000 + s * 1000, delay_seconds=delay, road_numbers=roads, lat=lat)
+        for s, delay, roads, lat in sample
+    ]
+    windows = defaultdict(list)
+    for row in sample:
+        windows[row[0] // 900].append(row)
+    collapsed = incidents.collapse_polls(polls(spark, *rows)).collect()
+    assert len(collapsed) == len(windows)
+    for row in collapsed:
+        members = windows[(int(row.event_time.timestamp()) - 1704067200) // 900]
+        for field, position in (("delay_seconds", 1), ("road_numbers", 2), ("lat", 3)):
+            known = [(m[0], m[position]) for m in members if m[position] is not None]
+            assert row[field] == (min(known)[1] if known else None)
+
+
+def test_polls_are_hashed_not_sorted(spark):
+    """A third of all polls are of one incident. Up to the second shuffle nothing is sorted, and few rows reach it."""
+    one = polls(spark, poll())
+    place = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 500))
+    rows = spark.range(0, 30_000, 1, 8).join(F.broadcast(one)).withColumn("from_location", place).drop("id")
+    collapsed = incidents.collapse_polls(rows)
+    assert collapsed.count() == 501
+    plan = collapsed._jdf.queryExecution().executedPlan().toString()
+    steps = re.findall(r"(SortAggregate|HashAggregate|Sort \[|Exchange hashpartitioning)", plan)[::-1]
+    assert steps[:3] == ["HashAggregate", "Exchange hashpartitioning", "HashAggregate"]
+    assert steps.count("Exchange hashpartitioning") == 2
