@@ -1,4 +1,4 @@
-"""Command line: ``python -m roadlake dimensions|stream|compact --lake FOLDER ...``."""
+"""Command line: ``python -m roadlake dimensions|roll|stream|compact --lake FOLDER ...``."""
 
 from __future__ import annotations
 
@@ -23,6 +23,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     common.add_argument("--lake", required=True, help="folder of the tables, reachable by all executors")
     commands.add_parser("dimensions", parents=[common], help="store the seeded dimensions where rows are missing")
 
+    roll = commands.add_parser("roll", parents=[common], help="open new versions of stored locations")
+    roll.add_argument("--observed", required=True, help="Parquet: location_key, effective_date, tracked columns")
+
     stream = commands.add_parser("stream", parents=[common], help="run landing and rollup queries on broker topics")
     stream.add_argument("--servers", required=True)
     stream.add_argument("--flow-topic", default="traffic-flow")
@@ -55,6 +58,8 @@ def main(argv: list[str] | None = None) -> None:
     lake = Lake(spark, args.lake.rstrip("/"))
     if args.command == "dimensions":
         dimension_store.bootstrap(lake)
+    elif args.command == "roll":
+        dimension_store.roll_locations(lake, spark.read.parquet(args.observed))
     elif args.command == "compact":
         outcomes = compaction.compact_previous_day(lake, args.today, files=args.files or None, keep_seconds=args.keep_seconds)
         outcomes.show(len(compaction.tables.COMPACTED_TABLES), truncate=False)

@@ -12,7 +12,7 @@ from roadlake.operators import flow, history, incidents, keys, quality
 from roadlake.plans import marts
 from roadlake.session import fresh_folder
 from roadlake.sinks import lake as tables
-from roadlake.sinks import writers
+from roadlake.sinks import dimension_store, writers
 from roadlake.sinks.lake import Lake
 from roadlake.sources import adapters, dimensions
 
@@ -490,6 +490,16 @@ def scd_location_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled_locations(spark, sf_dir).selectExpr(ROLLED_SK, *ROLLED_OUT)
 
 
+@query("scd_stored_roll", sql.with_(ROLLED) + f"SELECT {ROLLED_SK}, {', '.join(ROLLED_OUT)} FROM rolled_locations")
+def scd_stored_roll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored dimension after a roll by the classes observed last, read back; rolled twice, the second changes nothing."""
+    lake = Lake(spark, fresh_folder(spark, "roll"))
+    dimension_store.bootstrap(lake)
+    for _ in range(2):
+        dimension_store.roll_locations(lake, observed_classes(spark, sf_dir))
+    return dimensions.stored(spark, dimension_store.folder(lake)).location.selectExpr(ROLLED_SK, *ROLLED_OUT)
+
+
 @query(
     "flt_current_dim", sql.with_(ROLLED) + f"SELECT {ROLLED_SK}, {', '.join(ROLLED_OUT)} FROM rolled_locations WHERE is_current"
 )

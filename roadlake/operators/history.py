@@ -71,6 +71,19 @@ def roll_versions(
     return marked.select(F.explode(versions).alias("v")).select("v.*")
 
 
+def linked_versions(dimension: DataFrame, key: str = "location_key") -> DataFrame:
+    """Versions as their successors leave them: a version ends where the next one starts.
+
+    With it a stored dimension only ever grows. Opening a version is one added row, and no
+    stored row has to be closed in the same breath. NULL keys have no successors.
+    """
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("version_number"))
+    successor = F.when(F.col(key).isNotNull(), following)
+    return dimension.withColumns(
+        {"valid_to": F.least(F.col("valid_to"), successor), "is_current": F.col("is_current") & successor.isNull()}
+    )
+
+
 def overlapping_versions(dimension: DataFrame, key: str = "location_key") -> DataFrame:
     """Versions that start before any earlier one of their key ended, repeat a version number, or
     lack the number before theirs.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadlake.functions import calendar, codes, geo
 from roadlake.functions.lookup import inline_table, label_of, road_class_label
+from roadlake.operators.history import linked_versions
 from roadlake.operators.merge import update_by_key
 
 DATE_COLUMNS = ["date_key", "full_date"]
@@ -141,10 +142,11 @@ def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def stored(spark: SparkSession, folder: str) -> Dimensions:
-    """The stored dimensions as they are now."""
-    return Dimensions(
-        *[spark.read.parquet(f"{folder}/{t}") for t in ("dim_date", "dim_location", "dim_incident_category")]
+    """The stored dimensions as they are now, rolled versions included."""
+    date, location, category = (
+        spark.read.parquet(f"{folder}/{t}") for t in ("dim_date", "dim_location", "dim_incident_category")
     )
+    return Dimensions(date, linked_versions(location), category)
 
 
 def scan_dimension(

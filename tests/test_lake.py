@@ -550,3 +550,83 @@ def test_raw_responses_are_landed_or_quarantined_by_the_application(spark, lake)
     dead = lake.read("quarantine/incidents")
     assert dead.count() == bad > 0 and dead.where("NOT contains(record, '\"length\":\"x')").isEmpty()
     assert lake.read(tables.LANDING_INCIDENTS).count() == orders.count() - bad
+
+
+def observations(spark, *rows):
+    return spark.createDataFrame(list(rows), "location_key string, frc string, effective_date string")
+
+
+def versions(lake, key):
+    rows = dimensions.stored(lake.spark, dimension_store.folder(lake)).location.where(F.col("location_key") == key)
+    columns = ["version_number", "frc", "valid_from", "valid_to", "is_current"]
+    return [(n, frc, str(a), str(b) if b else None, c) for n, frc, a, b, c in rows.orderBy("version_number").select(*columns).collect()]
+
+
+def test_stored_locations_roll(spark, lake):
+    """Facts loaded after a roll carry the new version's key, those before keep theirs."""
+    dimension_store.bootstrap(lake)
+    folder, rolled = dimension_store.folder(lake), rollups.rollup(spark, SMALL).persist()
+    place = rolled.where("location_name <> 'unlisted_point'").first().location_name
+    old = dimensions.stored(spark, folder).location.where(F.col("location_key") == place).first()
+    writers.load_flow_facts(rolled.where("window_start < TIMESTAMP '2024-01-02'"), dimensions.stored(spark, folder), lake, "s.0")
+    for _ in range(2):  # a repeated roll changes nothing
+        dimension_store.roll_locations(lake, observations(
+            spark, (place, "FRC6", "2024-01-02"), ("nowhere", "FRC1", "2024-01-02"), ("giza_pyramids", None, "2024-01-02"),
+        ))
+    assert versions(lake, place) == [
+        (1, old.frc, "2024-01-01", "2024-01-02", False), (2, "FRC6", "2024-01-02", None, True),
+    ]
+    dimension_store.bootstrap(lake)
+    stored = dimensions.stored(spark, folder).location
+    assert stored.count() == 24 and stored.where("is_current").count() == 23
+    new = stored.where("version_number = 2").first()
+    assert (new.road_type, new.frc_label) == ("local", "Private / Unpaved Road")
+    writers.load_flow_facts(rolled.where("window_start >= TIMESTAMP '2024-01-02'"), dimensions.stored(spark, folder), lake, "s.1")
+    facts = lake.read(tables.FACT_FLOW).where(F.col("location_name") == place)
+    assert {(r[0], r[1]) for r in facts.select(F.col("date_key") < 20240102, "location_sk").collect()} <= {
+        (True, old.location_sk), (False, new.location_sk),
+    }
+    assert lake.read(tables.FACT_FLOW).count() == rolled.count()
+    rolled.unpersist()
+
+
+def test_a_roll_happens_whole_or_not_at_all(spark, lake, monkeypatch):
+    dimension_store.bootstrap(lake)
+    asked = observations(spark, ("tahrir_square", "FRC0", "2024-05-01"), ("giza_square", "FRC4", "2024-05-01"))
+
+    def breaks(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(dimension_store.snapshots, "publish_file", breaks)
+        with pytest.raises(OSError):
+            dimension_store.roll_locations(lake, asked)
+    assert [v[0] for v in versions(lake, "tahrir_square")] == [1] and versions(lake, "giza_square")[0][4]
+    dimension_store.roll_locations(lake, asked)
+    assert [v[0] for v in versions(lake, "tahrir_square")] == [v[0] for v in versions(lake, "giza_square")] == [1, 2]
+
+
+def test_two_rolls_at_a_time_leave_one_current_version(spark, lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from roadlake.operators import history
+
+    dimension_store.bootstrap(lake)
+    asked = [observations(spark, ("tahrir_square", frc, day)) for frc, day in (("FRC0", "2024-05-01"), ("FRC5", "2024-06-01"))]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda seen: dimension_store.roll_locations(lake, seen), asked))
+    found = versions(lake, "tahrir_square")
+    # The later one always counts; the earlier one does if it came first.
+    assert found[-1][1:] == ("FRC5", "2024-06-01", None, True) and [v[4] for v in found].count(True) == 1
+    assert history.overlapping_versions(dimensions.stored(spark, dimension_store.folder(lake)).location).isEmpty()
+
+
+def test_unclear_rolls_are_refused(spark, lake):
+    seen = observations(spark, ("tahrir_square", "FRC0", "2024-05-01"), ("tahrir_square", "FRC4", "2024-06-01"))
+    with pytest.raises(ValueError, match="no locations"):
+        dimension_store.roll_locations(lake, seen.limit(1))
+    dimension_store.bootstrap(lake)
+    with pytest.raises(ValueError, match="several observations of tahrir_square"):
+        dimension_store.roll_locations(lake, seen)
+    with pytest.raises(ValueError, match="none of road_type, frc, frc_label"):
+        dimension_store.roll_locations(lake, seen.drop("frc"))
