@@ -15,7 +15,8 @@
    labelled training rows (those with the smallest hashes of their ids).
 
 Only the text decides a score. Defined results: null and empty texts have no hits and the score of
-a text without hits; null labels and ids are not learned from; a document with several labels
+a text without hits; null labels and ids are not learned from; a null id has no remainder, so
+its `held_out` is null, and its text is scored as any other; a document with several labels
 is toxic if one says so; repeated documents are scored each; without labels every score is
 0; other columns are not read.
 """

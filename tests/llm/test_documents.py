@@ -337,6 +337,8 @@ def test_toxicity_of_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(10, 1), (11, 0), (13, None), (None, 1), (12, 0)], "doc_id long, toxic int")
     scored = toxicity.score_documents(odd_documents, labels)
     assert scored.count() == odd_documents.count() and scored.where("score is null or score < 0 or score > 1").count() == 0
+    unknown = scored.where("held_out is null").collect()
+    assert [r.doc_id for r in unknown] == [None] and unknown[0].score is not None and unknown[0].predicted in (0, 1)
     assert toxicity.score_documents(odd_documents, labels.limit(0)).where("predicted = 1").count() == 0
     assert toxicity.score_documents(no_documents, labels).count() == 0
 
