@@ -34,9 +34,9 @@ def bootstrap(lake: Lake) -> None:
 
 
 def add_days(lake: Lake, days: DataFrame) -> None:
-    """Appends the days (``full_date``) that the stored calendar lacks, if one is stored."""
+    """Appends the days (``full_date``) that the stored calendar lacks, with their holidays, if one is stored."""
     if read_if_exists(lake.spark, f"{folder(lake)}/dim_date") is not None:
-        _append_missing(lake, "dim_date", lambda stored: dimensions.date_dimension(days))
+        _append_missing(lake, "dim_date", lambda stored: dimensions.calendar_rows(lake.spark, days))
 
 
 def roll_locations(lake: Lake, observed: DataFrame) -> None:

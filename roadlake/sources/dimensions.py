@@ -131,13 +131,16 @@ CONFLICT_KEYS = {
 }
 
 
+def calendar_rows(spark: SparkSession, days: DataFrame) -> DataFrame:
+    """Rows of ``dim_date`` for the days, public holidays included."""
+    return update_by_key(
+        date_dimension(days), holiday_updates(spark), "full_date", ["is_public_holiday", "holiday_name", "day_type"]
+    )
+
+
 def seed_tables(spark: SparkSession) -> dict[str, DataFrame]:
     """All four dimension tables as first stored, public holidays included."""
-    dates = update_by_key(
-        date_dimension(calendar_days(spark)), holiday_updates(spark), "full_date",
-        ["is_public_holiday", "holiday_name", "day_type"],
-    )
-    tables = [dates, time_dimension(spark), location_dimension(spark), category_dimension(spark)]
+    tables = [calendar_rows(spark, calendar_days(spark)), time_dimension(spark), location_dimension(spark), category_dimension(spark)]
     return dict(zip(TABLES, tables))
 
 

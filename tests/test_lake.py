@@ -492,6 +492,18 @@ def test_two_writers_add_a_day_once(spark, lake):
     assert stored.count() == 1096 + 20 == stored.select("date_key").distinct().count()
 
 
+def test_added_days_get_their_holidays(spark, lake):
+    folder = f"{dimension_store.folder(lake)}/dim_date"
+    days = lambda first, last: spark.sql(f"SELECT explode(sequence(DATE '{first}', DATE '{last}')) AS full_date")
+    dimensions.calendar_rows(spark, days("2024-04-01", "2024-04-20")).write.parquet(folder)
+    dimension_store.add_days(lake, days("2024-04-15", "2024-05-02"))
+    holidays = spark.read.parquet(folder).where("is_public_holiday").orderBy("full_date").collect()
+    assert [(str(r.full_date), r.holiday_name) for r in holidays] == [
+        ("2024-04-25", "Sinai Liberation Day"), ("2024-05-01", "Labour Day"),
+    ]
+    assert spark.read.parquet(folder).count() == 32
+
+
 def test_only_overlapping_days_are_merged(spark, lake):
     """Loads of other hours of a day have no key in common; a reload has."""
     rolled, dims = rollups.rollup(spark, SMALL).persist(), dimensions.seeded(spark)
