@@ -240,7 +240,7 @@ def rd_latest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rd_flow_by_location", IN_FLOW + f"SELECT {FLOW_OUT} FROM flow_facts WHERE location_sk = {HISTORY_OF}")
 def rd_flow_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history_of = marts.location_history(stored_flow(spark, sf_dir), dimensions.location_dimension(spark), HISTORY_OF)
+    history_of = marts.location_history(lambda names: stored_flow(spark, sf_dir), dimensions.location_dimension(spark), HISTORY_OF)
     return history_of.select(*keys.FLOW_FACT_COLUMNS)
 
 

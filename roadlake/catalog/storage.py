@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from roadlake.catalog import rollups, sql
 from roadlake.catalog.registry import query
-from roadlake.functions import calendar
+from roadlake.functions import calendar, codes
 from roadlake.functions import flow as flow_columns
 from roadlake.operators import contract, flow, incidents, keys, merge
+from roadlake.plans import marts
 from roadlake.session import fresh_folder
 from roadlake.sinks import compaction, writers
 from roadlake.sinks import lake as tables
@@ -432,3 +433,39 @@ def snk_compact_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_silver_incidents(incidents.collapse_polls(polls), lake, "b0")
     names = [tables.LANDING_FLOW, tables.LANDING_INCIDENTS, tables.SILVER_FLOW, tables.SILVER_INCIDENTS]
     return compaction.compact_previous_day(lake, date(2024, 1, 2), names)
+
+
+# --- clustered facts ------------------------------------------------------------
+
+
+@query(
+    "rd_area_clustered",
+    sql.with_(sql.STORED_INCIDENT_FACTS) + f"SELECT {', '.join(keys.INCIDENT_FACT_COLUMNS)} FROM stored_incidents "
+    "JOIN areas ON lat BETWEEN lat0 AND lat1 AND lon BETWEEN lon0 AND lon1 WHERE area = 'alexandria'",
+)
+def rd_area_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents of one area, all days: of the compacted first day only files along the curve that
+    may hold the area are listed, of the other days all."""
+    lake = new_lake(spark, "clustered")
+    writers.load_incident_facts(rollups.collapsed(spark, sf_dir), dimensions.seeded(spark), lake, "b0")
+    compaction.compact_previous_day(lake, date(2024, 1, 2), [tables.FACT_INCIDENTS], files=4)
+    ((_, _, lat0, lon0, lat1, lon1),) = [a for a in codes.AREAS if a[0] == "alexandria"]
+    found = lake.read_within(tables.FACT_INCIDENTS, {"lat": (lat0, lat1), "lon": (lon0, lon1)})
+    return found.select(*keys.INCIDENT_FACT_COLUMNS)
+
+
+@query(
+    "rd_location_clustered",
+    sql.with_(sql.FLOW_FACTS) + f"SELECT {sql.rounded(keys.FLOW_FACT_COLUMNS)} FROM flow_facts "
+    f"WHERE location_sk = {rollups.HISTORY_OF}",
+)
+def rd_location_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History of one location, by its name: of both compacted days only the files that may hold it."""
+    lake, dims = new_lake(spark, "clustered"), dimensions.seeded(spark)
+    writers.load_flow_facts(rollups.rollup(spark, sf_dir), dims, lake, "b0")
+    for following in (2, 3):
+        compaction.compact_previous_day(lake, date(2024, 1, following), [tables.FACT_FLOW], files=4)
+    return marts.location_history(
+        lambda names: lake.read_within(tables.FACT_FLOW, {"location_name": (min(names), max(names))}),
+        dimensions.location_dimension(spark), rollups.HISTORY_OF,
+    ).select(*keys.FLOW_FACT_COLUMNS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +22,12 @@ def latest_windows(flow_facts: DataFrame, since: int, n: int = LATEST) -> DataFr
     return flow_facts.where(F.col("date_key") >= since).orderBy(F.desc("window_start_utc"), F.asc_nulls_first("location_sk")).limit(n)
 
 
-def location_history(flow_facts: DataFrame, location: DataFrame, location_sk: int) -> DataFrame:
-    """Rows of one location version. Its name identifies facts, so the filter reaches the scan."""
+def location_history(read: Callable[[list[str]], DataFrame], location: DataFrame, location_sk: int) -> DataFrame:
+    """Rows of one location version. Its name identifies facts, so ``read`` gets the names to
+    leave out files without them, and the filter reaches the scan."""
     names = [r.location_key for r in location.where(F.col("location_sk") == location_sk).select("location_key").collect()]
-    return flow_facts.where(F.col("location_name").isin(names) & (F.col("location_sk") == location_sk))
+    # Without such a version no name is asked for, and no row is left.
+    return read(names or [""]).where(F.col("location_name").isin(names) & (F.col("location_sk") == location_sk))
 
 
 def flow_by_date_location(flow_facts: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ file-sink log, so batch jobs may rewrite it. What counts is named by the table's
   again at any time, is left out. A crash leaves files that no version names.
 * Replaced files are removed by the next compaction, once no version that names them is younger
   than ``keep_seconds``.
+* Compacted fact files are ordered and have known ranges (see ``layout``), so a read within ranges lists
+  only those that may hold such rows. Where loads overlap all files are read: the row that counts
+  may lie outside the ranges of the one it replaces.
 * Fact tables are merged by key on reading: of the rows of one key, the load with the highest
   sequence number counts. Loads are numbered when they first appear, so a repeated load keeps its
   place and no clock decides. Only days with loads whose ranges of keys overlap are merged; the
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlake.operators import keys, merge
-from roadlake.sinks import packing, snapshots
+from roadlake.sinks import layout, packing, snapshots
 from roadlake.sinks.snapshots import Load, Snapshot
 
 LOAD = "load"
@@ -96,6 +99,16 @@ class Lake:
             return visible(snapshot, rows).drop(ATTEMPT)
         return merged(snapshot, table, visible(snapshot, rows)).drop(ATTEMPT)
 
+    def read_within(self, table: str, ranges: dict[str, tuple]) -> DataFrame:
+        """The rows that count and have each column between its two bounds, ends included."""
+        snapshot, rows = consistent(self, table, ranges)
+        if not snapshot.loads:
+            raise AnalysisException(f"[PATH_NOT_FOUND] table {table} of {self.root} has no rows")
+        rows = visible(snapshot, rows)
+        if table in FACT_KEYS:
+            rows = merged(snapshot, table, rows)
+        return rows.drop(ATTEMPT).where(layout.within(ranges))
+
     def read_if_exists(self, table: str) -> DataFrame | None:
         return self.read(table) if self.snapshot(table).loads else None
 
@@ -111,20 +124,41 @@ def attempt_folder(lake: Lake, table: str, attempt: str) -> str:
     return f"{lake.path(table)}/{ATTEMPT}={attempt}"
 
 
-def stored_rows(lake: Lake, table: str, schema: str, attempts: list[str]) -> DataFrame:
-    """Every stored row of the attempts."""
-    reader = lake.spark.read.schema(T.StructType.fromJson(json.loads(schema))).option("basePath", lake.path(table))
-    return reader.parquet(*[attempt_folder(lake, table, a) for a in attempts])
+def ranges_folder(lake: Lake, table: str, attempt: str) -> str:
+    """Where the ranges of an attempt's files are kept."""
+    return f"{lake.root}/_files/{table}/{attempt}"
+
+
+def stored_rows(lake: Lake, table: str, schema: str, paths: list[str]) -> DataFrame:
+    """Every stored row of the files or folders."""
+    fields = T.StructType.fromJson(json.loads(schema))
+    if not paths:
+        last = [ATTEMPT, *partitions(table), LOAD]  # as Spark orders what it takes from folders
+        return lake.spark.createDataFrame([], fields).select(*[c for c in fields.names if c not in last], *last)
+    return lake.spark.read.schema(fields).option("basePath", lake.path(table)).parquet(*paths)
+
 
+def paths_within(lake: Lake, table: str, snapshot: Snapshot, ranges: dict[str, tuple] | None) -> list[str]:
+    """The folders of the loads; of loads whose files have known ranges, only files that may hold
+    rows within ``ranges``, except on days where loads overlap."""
+    doubtful = set(overlapping_partitions(snapshot)) if ranges else set()
+    narrow = [x.attempt for x in snapshot.loads if ranges and x.ranged and not doubtful & set(x.parts)]
+    paths = [attempt_folder(lake, table, x.attempt) for x in snapshot.loads if x.attempt not in set(narrow)]
+    if narrow:
+        kept = lake.spark.read.schema(layout.LAYOUTS[table].schema()).parquet(*[ranges_folder(lake, table, a) for a in narrow])
+        found = kept.where(layout.may_hold(layout.LAYOUTS[table], ranges)).select("attempt", "name").collect()
+        paths += [f"{attempt_folder(lake, table, x.attempt)}/{x.name}" for x in found]
+    return paths
 
-def consistent(lake: Lake, table: str) -> tuple[Snapshot, DataFrame | None]:
+
+def consistent(lake: Lake, table: str, ranges: dict[str, tuple] | None = None) -> tuple[Snapshot, DataFrame | None]:
     """A version and the files listed for it: listed again if what it names was retired meanwhile."""
     while True:
         snapshot = lake.snapshot(table)
         if not snapshot.loads:
             return snapshot, None
         try:
-            rows = stored_rows(lake, table, snapshot.schema, [x.attempt for x in snapshot.loads])  # lists the files
+            rows = stored_rows(lake, table, snapshot.schema, paths_within(lake, table, snapshot, ranges))  # lists the files
         except AnalysisException:
             if lake.snapshot(table).version == snapshot.version:
                 raise
@@ -307,6 +341,18 @@ def _remove_loads(lake: Lake, table: str, partition: str, attempts: list[tuple[s
     for load, attempt in attempts:
         for store, folder in _folders(lake, table, partition, load, attempt):
             store.delete(folder, True)
+        if load.startswith(COMPACTED):  # such an attempt has one partition
+            _remove_folder(lake, ranges_folder(lake, table, attempt))
+
+
+def _remove_folder(lake: Lake, folder: str) -> None:
+    path = lake.spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(lake.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _stored_bytes(lake: Lake, table: str, partition: str, loads: list[Load]) -> int:
+    folders = [f for x in loads for f in _folders(lake, table, partition, x.load, x.attempt)]
+    return sum(store.getContentSummary(folder).getLength() for store, folder in folders)
 
 
 def _record(lake: Lake, table: str, partition: str, new: Load, replaces: list[Load]) -> None:
@@ -346,8 +392,7 @@ def clean_up(lake: Lake, table: str, keep_seconds: float = 0) -> None:
         _remove_loads(lake, table, partition, attempts)
     live = {x.attempt for x in now.loads}
     for attempt in {a for _, _, a in now.retired} - live:  # what is left of it: empty folders
-        left = lake.spark._jvm.org.apache.hadoop.fs.Path(attempt_folder(lake, table, attempt))
-        left.getFileSystem(lake.spark._jsc.hadoopConfiguration()).delete(left, True)
+        _remove_folder(lake, attempt_folder(lake, table, attempt))
     done = set(map(tuple, now.retired))
 
     def forget(newest: Snapshot) -> Snapshot:
@@ -359,8 +404,8 @@ def clean_up(lake: Lake, table: str, keep_seconds: float = 0) -> None:
 def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = None, keep_seconds: float = 0) -> tuple[str, str, int]:
     """Makes one load of a day's loads; returns (table, outcome, rows).
 
-    ``files`` is the number of write tasks; None lets adaptive execution size the files by
-    bytes. A day without rows is skipped and says so; one that is a single compacted load
+    ``files`` is the number of write tasks; None sizes the files by bytes, by adaptive execution
+    or, where the table has a layout, from the bytes that are stored. A day without rows is skipped and says so; one that is a single compacted load
     already is left as it is. One compaction of a table runs at a time.
     """
     clean_up(lake, table, keep_seconds)
@@ -383,14 +428,20 @@ def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = Non
     if loads[1:] or not loads[0].load.startswith(COMPACTED):
         load, attempt = COMPACTED + uuid.uuid4().hex, _new_attempt()
         levels = [*partitions(table), *(c for c in ("city",) if c in part.columns), LOAD]
-        new = part.drop(ATTEMPT).withColumn(LOAD, F.lit(load))
-        new = new.hint("rebalance") if files is None else new.repartition(files)
-        new.sortWithinPartitions(*levels).write.partitionBy(*levels).parquet(attempt_folder(lake, table, attempt))
-        copied = stored_rows(lake, table, snapshot.schema, [attempt])
+        new, plan = part.drop(ATTEMPT).withColumn(LOAD, F.lit(load)), layout.LAYOUTS.get(table)
+        if plan:
+            files = files or layout.file_count(_stored_bytes(lake, table, partition, loads))
+            new = layout.clustered(new, plan, files, levels, FACT_KEYS[table])
+        else:
+            new = (new.hint("rebalance") if files is None else new.repartition(files)).sortWithinPartitions(*levels)
+        new.write.options(**(plan.options() if plan else {})).partitionBy(*levels).parquet(attempt_folder(lake, table, attempt))
+        copied = stored_rows(lake, table, snapshot.schema, [attempt_folder(lake, table, attempt)])
+        if plan:
+            layout.file_ranges(copied, plan, attempt).coalesce(1).write.parquet(ranges_folder(lake, table, attempt))
         _, parts = _measured(copied, table, ())
         if parts[partition][0] != expected:
             _remove_loads(lake, table, partition, [(load, attempt)])
             raise RuntimeError(f"copied {parts[partition][0]} of {expected} rows of {partition}; table left as it was")
-        _record(lake, table, partition, Load(load, attempt, parts), loads)
+        _record(lake, table, partition, Load(load, attempt, parts, ranged=plan is not None), loads)
         clean_up(lake, table, keep_seconds)
     return table, "compacted", expected
