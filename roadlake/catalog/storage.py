@@ -11,7 +11,7 @@ from roadlake.catalog import rollups, sql
 from roadlake.catalog.registry import query
 from roadlake.functions import calendar, codes
 from roadlake.functions import flow as flow_columns
-from roadlake.operators import contract, flow, incidents, keys, merge
+from roadlake.operators import contract, flow, incidents, keys, merge, quality
 from roadlake.plans import marts
 from roadlake.session import fresh_folder
 from roadlake.sinks import compaction, writers
@@ -469,3 +469,55 @@ def rd_location_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda names: lake.read_within(tables.FACT_FLOW, {"location_name": (min(names), max(names))}),
         dimensions.location_dimension(spark), rollups.HISTORY_OF,
     ).select(*keys.FLOW_FACT_COLUMNS)
+
+
+# --- figures observed while loads are written ------------------------------------
+
+
+@query(
+    "agg_load_metrics",
+    sql.with_(sql.READINGS) + "SELECT 'b' || ((ingested_at // 3600000) % 4) AS load, count(*) AS row_count, "
+    "count(*) FILTER (WHERE road_closed) AS closed_rows, min(ingested_at) AS first_ingested_at, "
+    "max(ingested_at) AS last_ingested_at FROM readings GROUP BY ALL",
+)
+def agg_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, closures and times of each load, as its write observed them: nothing is read back."""
+    lake = new_lake(spark, "metrics")
+    land_in_loads(spark, sf_dir, lake)
+    rows = [
+        (x.load, *(x.observed[n] for n in ("rows", "closed_rows", "first_ingested_at", "last_ingested_at")))
+        for x in lake.snapshot(tables.LANDING_FLOW).loads
+    ]
+    return spark.createDataFrame(rows, "load string, row_count long, closed_rows long, first_ingested_at long, last_ingested_at long")
+
+
+def _stored_checks_sql() -> str:
+    source = {"fact_traffic_flow": (sql.FLOW_FACTS, "flow_facts WHERE date_key IS NOT NULL"),
+              "fact_incidents": (sql.STORED_INCIDENT_FACTS, "stored_incidents")}
+    parts = []
+    for table, (context, rows) in source.items():
+        checks = [(f"not_null({c})", f"{c} IS NULL") for c in quality.NOT_NULL[table]]
+        checks += [(f"range({c})", f"NOT ({ok})") for c, ok in quality.RANGES.get(table, {}).items()]
+        checks += [(f"length({c})", f"length({c}) > {n}") for c, n in quality.TEXT_LENGTHS[table].items()]
+        checks += [(f"smallint({c})", f"{c} NOT BETWEEN -32768 AND 32767") for c in quality.SMALL_INTEGERS[table]]
+        counts = ", ".join(f"count(*) FILTER (WHERE {bad}) AS c{i}" for i, (_, bad) in enumerate(checks))
+        names = ", ".join(f"'{rule}'" for rule, _ in checks)
+        values = ", ".join(f"c{i}" for i in range(len(checks)))
+        parts.append(
+            f"SELECT unnest([{names}]) AS rule, '{table}' AS table_name, unnest([{values}]) AS violations FROM ("
+            + sql.with_(context) + f"SELECT {counts} FROM {rows})"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("dq_stored_loads", _stored_checks_sql())
+def dq_stored_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of single rows over both stored fact tables, summed from their loads' figures."""
+    lake = rollups.stored_facts(spark, sf_dir)
+    rows = [
+        (rule, table.rsplit("/", 1)[-1], violations)
+        for table in (tables.FACT_FLOW, tables.FACT_INCIDENTS)
+        for rule, violations in tables.table_figures(lake, table).items()
+        if rule != "rows"
+    ]
+    return spark.createDataFrame(rows, "rule string, table_name string, violations long")

@@ -73,6 +73,15 @@ def _counted(rows: DataFrame, table: str, checks: dict[str, Column]) -> DataFram
     return counts.select(F.inline(found))
 
 
+def row_checks(table: str) -> dict[str, Column]:
+    """All checks of a table that look at one row, by rule: what violates it."""
+    checks = {f"not_null({c})": F.col(c).isNull() for c in NOT_NULL.get(table, [])}
+    checks |= {f"range({c})": ~F.expr(allowed) for c, allowed in RANGES.get(table, {}).items()}
+    checks |= {f"length({c})": F.char_length(c) > limit for c, limit in TEXT_LENGTHS.get(table, {}).items()}
+    checks |= {f"smallint({c})": ~F.col(c).between(*SMALLINT) for c in SMALL_INTEGERS.get(table, [])}
+    return checks
+
+
 def null_violations(rows: DataFrame, table: str, columns: list[str]) -> DataFrame:
     return _counted(rows, table, {f"not_null({c})": F.col(c).isNull() for c in columns})
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlake.operators import keys, merge
-from roadlake.sinks import layout, packing, snapshots
+from roadlake.sinks import figures, layout, packing, snapshots
 from roadlake.sinks.snapshots import Load, Snapshot
 
 LOAD = "load"
@@ -239,6 +239,31 @@ def certain_since(snapshot: Snapshot, n: int) -> int:
     return 0
 
 
+def table_figures(lake: Lake, table: str) -> dict[str, int | None]:
+    """The table's figures (see ``figures``) over the rows that count; empty without loads.
+
+    Observed figures of loads are summed; rows are read only of loads with days that overlap, of
+    which some days no longer count, or that were written before a figure was asked for.
+    """
+
+    columns = figures.asked(table)
+
+    def apart(now: Snapshot) -> list[str]:
+        doubtful = set(overlapping_partitions(now)) if table in FACT_KEYS else set()
+        return [x.attempt for x in now.loads if doubtful & set(x.parts) or not x.is_whole() or set(columns) - set(x.observed)]
+
+    snapshot = lake.snapshot(table)
+    parts = []
+    if apart(snapshot):
+        snapshot, rows = consistent(lake, table)
+        rows = visible(snapshot, rows).where(F.col(ATTEMPT).isin(apart(snapshot)))
+        rows = merged(snapshot, table, rows) if table in FACT_KEYS else rows
+        found = rows.agg(*[c.alias(f"f{i}") for i, c in enumerate(columns.values())]).first()
+        parts.append(dict(zip(columns, found, strict=True)))
+    left = set(apart(snapshot))
+    return figures.summed([*parts, *(x.observed for x in snapshot.loads if x.attempt not in left)])
+
+
 # --- loads ----------------------------------------------------------------------
 
 
@@ -297,14 +322,21 @@ def write_load(lake: Lake, table: str, rows: DataFrame, load: str, *levels: str,
     dealt = packing.packed(rows, by, counted) if gather else rows
     marked = dealt.withColumn(LOAD, F.lit(load))
     schema = marked.withColumn(ATTEMPT, F.lit(attempt))
+    observed: dict[str, int | None] = {}
     if parts:
+        seen_rows, seen, names = figures.watched(marked, table)
         (
-            marked.write.mode("append")
+            seen_rows.write.mode("append")
             # Tasks may put files in place as they end: none counts before its version.
             .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
             .partitionBy(*by, LOAD)
             .parquet(attempt_folder(lake, table, attempt))
         )
+        observed = figures.of(seen, names)
+        counts = sum(n for n, _, _ in parts.values())
+        if observed[figures.ROWS] != counts:
+            _remove_folder(lake, attempt_folder(lake, table, attempt))
+            raise RuntimeError(f"load {load} of {table}: counted {counts} rows, then wrote {observed[figures.ROWS]}; nothing was published")
 
     def add(now: Snapshot) -> Snapshot | None:
         # Letters of one failure are in one day, but a retry may fail on another.
@@ -317,7 +349,7 @@ def write_load(lake: Lake, table: str, rows: DataFrame, load: str, *levels: str,
         superseded = [[p, load, x.attempt] for x in earlier for p in x.parts]
         loads = [x for x in now.loads if x.load != load]
         if fresh:
-            loads.append(Load(load, attempt, fresh))
+            loads.append(Load(load, attempt, fresh, observed=observed))
         return replace(now, schema=_written_schema(now, schema), loads=loads, retired=[*now.retired, *left_out, *superseded])
 
     snapshots.commit(lake.spark, lake.versions(table), add)
@@ -434,6 +466,7 @@ def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = Non
             new = layout.clustered(new, plan, files, levels, FACT_KEYS[table])
         else:
             new = (new.hint("rebalance") if files is None else new.repartition(files)).sortWithinPartitions(*levels)
+        new, seen, names = figures.watched(new, table)
         new.write.options(**(plan.options() if plan else {})).partitionBy(*levels).parquet(attempt_folder(lake, table, attempt))
         copied = stored_rows(lake, table, snapshot.schema, [attempt_folder(lake, table, attempt)])
         if plan:
@@ -442,6 +475,6 @@ def compact(lake: Lake, table: str, day: dict[str, int], files: int | None = Non
         if parts[partition][0] != expected:
             _remove_loads(lake, table, partition, [(load, attempt)])
             raise RuntimeError(f"copied {parts[partition][0]} of {expected} rows of {partition}; table left as it was")
-        _record(lake, table, partition, Load(load, attempt, parts, ranged=plan is not None), loads)
+        _record(lake, table, partition, Load(load, attempt, parts, plan is not None, figures.of(seen, names)), loads)
         clean_up(lake, table, keep_seconds)
     return table, "compacted", expected
