@@ -157,8 +157,11 @@ class App:
     queries: list[StreamingQuery] = field(default_factory=list)
 
     def await_any(self) -> None:
-        """Blocks until any query ends, as a long-running driver does."""
-        self.lake.spark.streams.awaitAnyTermination()
+        """Blocks until any query ends, then stops the others: none runs on alone. Raises its error."""
+        try:
+            self.lake.spark.streams.awaitAnyTermination()
+        finally:
+            self.stop()
 
     def await_all(self) -> None:
         """Blocks until all queries ended; for runs over what is available now."""

@@ -4,6 +4,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from roadlake.catalog import rollups
@@ -303,6 +304,23 @@ def test_stream_state_in_rocksdb(spark, lake):
     assert found.select(*columns).exceptAll(batch.select(*columns)).isEmpty()
 
 
+def test_a_query_that_dies_ends_the_application(spark, lake):
+    def fail(batch, load):
+        raise ValueError("broken sink")
+
+    readings = adapters.flow_readings(spark, SMALL)
+    spark.streams.resetTerminated()
+    running = app.App(lake)
+    running.queries = [
+        app.land_stream(replayed(spark, readings), lake, tables.LANDING_FLOW),
+        app._start(replayed(spark, readings), lake, "broken", fail, app.EVERY_MINUTE),
+    ]
+    with pytest.raises(StreamingQueryException, match="broken sink"):
+        running.await_any()
+    assert not any(query.isActive for query in running.queries)
+    spark.streams.resetTerminated()
+
+
 def test_app_without_dimensions_loads_no_facts(spark, lake):
     running = app.start(
         lake, replayed(spark, adapters.flow_readings(spark, SMALL)),
