@@ -16,6 +16,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Scan tasks of few stored bytes: records are many times as large where they are hashed by
+    # wide values, and what one task hashes must fit its memory. Small files still share a task.
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.files.openCostInBytes": "1m",
 }
 
 # Settings a session has to be started with.

@@ -28,6 +28,7 @@ import json
 import re
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -309,18 +310,22 @@ def _written_schema(now: Snapshot, rows: DataFrame) -> str:
     return T.StructType([T.StructField(f.name, f.dataType) for f in [*fields, *[f for f in rows.schema.fields if f.name not in known]]]).json()
 
 
-def write_load(lake: Lake, table: str, rows: DataFrame, load: str, *levels: str, gather: bool = False) -> int:
+def write_load(
+    lake: Lake, table: str, rows: DataFrame, load: str, *levels: str, gather: bool = False,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> int:
     """Adds one load and returns its rows; the same ``load`` again takes its own place, and is
     left out where compaction has replaced it.
 
     The rows are counted per folder first, so persist them if they are dear. ``gather`` deals
-    them out to few files by those counts; without it no row moves.
+    them out to few files by those counts; without it no row moves. ``finish`` adds columns that
+    follow from a row alone, after the rows have moved.
     """
     by = [*partitions(table), *levels]
     counted, parts = _measured(rows, table, levels)
     attempt = _new_attempt()
     dealt = packing.packed(rows, by, counted) if gather else rows
-    marked = dealt.withColumn(LOAD, F.lit(load))
+    marked = finish(dealt).withColumn(LOAD, F.lit(load))
     schema = marked.withColumn(ATTEMPT, F.lit(attempt))
     observed: dict[str, int | None] = {}
     if parts:

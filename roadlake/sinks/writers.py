@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
@@ -92,16 +92,25 @@ def _surrogate(identity: list[str]) -> Column:
     return F.xxhash64(F.to_json(F.struct(*identity)))
 
 
-def _load_facts(facts: DataFrame, lake: Lake, table: str, load: str) -> int:
-    """One load of a fact table, and its dead letters; the facts are computed once."""
-    facts = keys.with_days_to_come(facts, "window_start_utc").withColumns(
-        {LOADED: F.current_timestamp(), tables.SEQUENCE: F.lit(tables.sequence(lake, table, load)).cast("long")}
-    ).persist()
+def _load_facts(
+    facts: DataFrame, lake: Lake, table: str, load: str, derived: Callable[[], dict[str, Column]]
+) -> int:
+    """One load of a fact table, and its dead letters; the facts are computed once.
+
+    Columns that follow from a row alone (``derived``) are added where the row is written, so they
+    are neither kept nor shuffled.
+    """
+    number = tables.sequence(lake, table, load)
+    facts = keys.with_days_to_come(facts, "window_start_utc").persist()
+
+    def finish(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({**derived(), LOADED: F.current_timestamp(), tables.SEQUENCE: F.lit(number).cast("long")})
+
     try:
-        quarantine(keys.outside_calendar(facts.drop(tables.SEQUENCE)), lake, table.rsplit("/", 1)[-1], load)
+        quarantine(keys.outside_calendar(finish(facts).drop(tables.SEQUENCE)), lake, table.rsplit("/", 1)[-1], load)
         inside = keys.in_calendar(facts)
         dimension_store.add_days(lake, inside.select(F.to_date("window_start_utc").alias("full_date")).distinct())
-        return tables.write_load(lake, table, inside, load, gather=True)
+        return tables.write_load(lake, table, inside, load, gather=True, finish=finish)
     finally:
         facts.unpersist()
 
@@ -109,14 +118,17 @@ def _load_facts(facts: DataFrame, lake: Lake, table: str, load: str) -> int:
 def load_flow_facts(rollup: DataFrame, dims: Dimensions, lake: Lake, load: str) -> int:
     """Keyed upsert into fact_traffic_flow; a row loaded again takes the older one's place."""
     facts = keys.flow_facts(keys.resolve_flow_keys(rollup, dims), "location_name")
-    return _load_facts(facts.withColumn("flow_sk", _surrogate(keys.FLOW_IDENTITY)), lake, tables.FACT_FLOW, load)
+    return _load_facts(facts, lake, tables.FACT_FLOW, load, lambda: {"flow_sk": _surrogate(keys.FLOW_IDENTITY)})
 
 
 def load_incident_facts(collapsed: DataFrame, dims: Dimensions, lake: Lake, load: str) -> int:
     """Keyed upsert into fact_incidents on window and incident identity, NULL parts equal."""
     facts = keys.incident_facts(keys.resolve_incident_keys(collapsed, dims), "bbox_name", "category")
-    facts = facts.withColumns({"geom": geo.point(F.col("lat"), F.col("lon")), "incident_sk": _surrogate(keys.INCIDENT_IDENTITY)})
-    return _load_facts(facts, lake, tables.FACT_INCIDENTS, load)
+
+    def derived() -> dict[str, Column]:
+        return {"geom": geo.point(F.col("lat"), F.col("lon")), "incident_sk": _surrogate(keys.INCIDENT_IDENTITY)}
+
+    return _load_facts(facts, lake, tables.FACT_INCIDENTS, load, derived)
 
 
 def mirror(rows: DataFrame, table: str, jdbc: dict[str, str]) -> None:

@@ -162,3 +162,33 @@ def test_ranges_go_with_their_load(spark, lake):
     path = spark._jvm.org.apache.hadoop.fs.Path(tables.ranges_folder(lake, tables.FACT_FLOW, first.attempt))
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
     rolled.unpersist()
+
+
+def test_derived_columns_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Surrogate keys, points and the marks of the load are added where facts are written."""
+    from roadlake.sinks import packing
+
+    lake, moved, real = Lake(spark, str(tmp_path / "lake")), [], packing.packed
+
+    def packed(rows, *args):
+        moved.append(set(rows.columns))
+        return real(rows, *args)
+
+    monkeypatch.setattr(packing, "packed", packed)
+    dims = dimensions.seeded(spark)
+    writers.load_incident_facts(rollups.collapsed(spark, SMALL), dims, lake, "s.0")
+    writers.load_flow_facts(rollups.rollup(spark, SMALL), dims, lake, "s.0")
+    added = {"incident_sk", "flow_sk", "geom", writers.LOADED, tables.SEQUENCE}
+    assert len(moved) == 2 and not added & set.union(*moved)
+    stored = lake.read(tables.FACT_INCIDENTS)
+    assert stored.where("incident_sk IS NULL OR inserted_at IS NULL OR load_seq IS NULL OR (geom IS NULL) <> (lat IS NULL)").isEmpty()
+    assert lake.read(tables.FACT_FLOW).where("flow_sk IS NULL").isEmpty()
+
+
+def test_scan_tasks_are_small(spark, tmp_path):
+    """16 MB of stored rows in row groups of 1 MB are read by more than one task a core."""
+    path = str(tmp_path / "rows")
+    rows = spark.range(0, 2_000_000, 1, 1).select(F.xxhash64("id").alias("a"))
+    rows.write.option("parquet.block.size", 1 << 20).option("compression", "uncompressed").parquet(path)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "8m"
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 2
