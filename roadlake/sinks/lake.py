@@ -312,19 +312,20 @@ def _written_schema(now: Snapshot, rows: DataFrame) -> str:
 
 def write_load(
     lake: Lake, table: str, rows: DataFrame, load: str, *levels: str, gather: bool = False,
-    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    few: int | None = None, finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> int:
     """Adds one load and returns its rows; the same ``load`` again takes its own place, and is
     left out where compaction has replaced it.
 
     The rows are counted per folder first, so persist them if they are dear. ``gather`` deals
-    them out to few files by those counts; without it no row moves. ``finish`` adds columns that
+    them out to few files by those counts; without it no row moves. ``few`` is given for rows
+    that are not persisted: up to so many folders they are left where they lie. ``finish`` adds columns that
     follow from a row alone, after the rows have moved.
     """
     by = [*partitions(table), *levels]
     counted, parts = _measured(rows, table, levels)
     attempt = _new_attempt()
-    dealt = packing.packed(rows, by, counted) if gather else rows
+    dealt = packing.packed(rows, by, counted, persisted=few is None) if gather and len(counted) > (few or 0) else rows
     marked = finish(dealt).withColumn(LOAD, F.lit(load))
     schema = marked.withColumn(ATTEMPT, F.lit(attempt))
     observed: dict[str, int | None] = {}

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FILE_BYTES = 128 << 20
+TASKS_PER_CORE = 3  # equal rows are not equal time: a task with many folders writes many files
 ROW_BYTES = (16, 1 << 16)  # bounds for what the plan's statistics say of a row
 
 
@@ -37,20 +38,22 @@ def first_fit(counts: list[int], tasks: int, most: int) -> list[tuple[int, int]]
     return out
 
 
-def rows_per_file(rows: DataFrame, total: int, file_bytes: int = FILE_BYTES) -> int:
-    """From the size Spark knows (exact for a persisted frame), rows of a file."""
-    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    width = min(max(size / max(1, total), ROW_BYTES[0]), ROW_BYTES[1])
+def rows_per_file(rows: DataFrame, total: int, file_bytes: int = FILE_BYTES, persisted: bool = True) -> int:
+    """Rows of a file, from the size Spark knows of a persisted frame. Else from the columns' types:
+    the size of a plan may be far off, that of a join is the product of its sides."""
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    width = int(plan.stats().sizeInBytes()) / max(1, total) if persisted else plan.schema().defaultSize()
+    width = min(max(width, ROW_BYTES[0]), ROW_BYTES[1])
     return max(1, int(file_bytes / width))
 
 
-def packed(rows: DataFrame, by: list[str], counted: list[tuple[tuple, int]], file_bytes: int = FILE_BYTES) -> DataFrame:
+def packed(rows: DataFrame, by: list[str], counted: list[tuple[tuple, int]], file_bytes: int = FILE_BYTES, persisted: bool = True) -> DataFrame:
     """The rows, dealt out to the tasks that write them. ``counted`` has the rows per partition."""
     if not counted:
         return rows
     counts = [n for _, n in counted]
-    most = rows_per_file(rows, sum(counts), file_bytes)
-    placed = first_fit(counts, rows.sparkSession.sparkContext.defaultParallelism, most)
+    most = rows_per_file(rows, sum(counts), file_bytes, persisted)
+    placed = first_fit(counts, rows.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE, most)
     tasks = max(first + pieces for first, pieces in placed)
     if tasks == 1:
         return rows.coalesce(1)

@@ -18,6 +18,7 @@ from roadlake.sources import contracts, responses
 from roadlake.sources.dimensions import Dimensions
 
 LOADED = "inserted_at"
+FEW_DAYS = 31  # up to as many days a landed batch is not shuffled
 
 
 @contextmanager
@@ -34,9 +35,10 @@ def held(rows: DataFrame) -> Iterator[DataFrame]:
 
 
 def land(records: DataFrame, lake: Lake, table: str, load: str) -> None:
-    """Records as they came, by day of ingestion. Only a micro-batch, which is persisted, is
-    dealt out to few files; a batch of any size is written where it lies, without a shuffle."""
-    tables.write_load(lake, table, tables.with_day(records, flow.event_time()), load, gather=records.is_cached)
+    """Records as they came, by day of ingestion. A micro-batch, which is persisted, is dealt out to
+    few files. Another batch is written where it lies, without a shuffle, unless it has many days:
+    then each of its tasks would write a small file to each of them."""
+    tables.write_load(lake, table, tables.with_day(records, flow.event_time()), load, gather=True, few=None if records.is_cached else FEW_DAYS)
 
 
 def quarantine(rejected: DataFrame, lake: Lake, source: str, load: str) -> None:

@@ -450,6 +450,23 @@ def test_hot_partition_is_spread_over_files(spark, lake, monkeypatch):
     rows.unpersist()
 
 
+def test_landed_batch_of_many_days_has_one_file_a_day(spark, lake):
+    """A batch that is not persisted, from eight tasks that each hold all days; of few days no row moves."""
+    rows = spark.range(0, 8000, 1, 8).selectExpr("id", "(1704067200 + id % 100 * 86400) * 1000 AS ingested_at")
+    for load, days in (("many", 100), ("few", 3)):
+        writers.land(rows.where(f"id % 100 < {days}"), lake, tables.LANDING_INCIDENTS, load)
+        stored = lake.read(tables.LANDING_INCIDENTS).where(F.col("load") == load)
+        assert stored.count() == 80 * days and stored.select("id").distinct().count() == 80 * days
+        assert files(stored) == (100 if load == "many" else 8 * 3)
+
+
+def test_size_of_a_row_that_is_not_persisted_is_that_of_its_columns(spark):
+    from roadlake.sinks import packing
+
+    rows = spark.range(1000).crossJoin(spark.range(1000).withColumnRenamed("id", "other"))
+    assert packing.rows_per_file(rows, 1_000_000, 1600, persisted=False) == 100
+
+
 def test_reader_during_a_rewrite_sees_one_of_both(spark, lake, monkeypatch):
     """Files of a new attempt, and those of the old one, are there: only a published version counts."""
     from roadlake.sinks import snapshots
