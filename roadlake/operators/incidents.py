@@ -87,24 +87,23 @@ def collapse_polls(reports: DataFrame) -> DataFrame:
 
     Polls are first grouped by their wide values too, which leaves only numbers to
     aggregate: Spark hashes all polls, on the map side already, and sorts just the few
-    rows that an incident has left. On a stream both steps keep state and close with the
-    same watermark.
+    rows that an incident has left. On a stream one step does it all: the state of a second
+    one would be written, kept and dropped again, which is dearer than sorting the polls.
     """
     timed = reports if "start_time_parsed" in reports.columns else time_reports(reports)
     types = {name: timed.schema[name].dataType for name in CARRIED_NARROW}
-    versions = (
-        timed.withWatermark("event_time", codes.WATERMARK)
-        .groupBy(F.window("event_time", codes.WINDOW), *IDENTITY, *CARRIED_WIDE)
-        .agg(
-            F.min("event_time").alias("first_seen"),
-            *[F.min(lookup.packed(name)).alias(name) for name in CARRIED_NARROW],
+    timed = timed.withWatermark("event_time", codes.WATERMARK)
+    window, numbers, seen = F.window("event_time", codes.WINDOW), {n: lookup.packed(n) for n in CARRIED_NARROW}, "event_time"
+    if not timed.isStreaming:
+        timed = timed.groupBy(window, *IDENTITY, *CARRIED_WIDE).agg(
+            F.min("event_time").alias("first_seen"), *[F.min(number).alias(name) for name, number in numbers.items()]
         )
-    )
+        window, numbers, seen = F.col("window"), {n: F.col(n) for n in CARRIED_NARROW}, "first_seen"
     return (
-        versions.groupBy("window", *IDENTITY)
+        timed.groupBy(window, *IDENTITY)
         .agg(
-            *[lookup.unpacked(F.min(name), types[name]).alias(name) for name in CARRIED_NARROW],
-            *[lookup.earliest_known(name, "first_seen").alias(name) for name in CARRIED_WIDE],
+            *[lookup.unpacked(F.min(number), types[name]).alias(name) for name, number in numbers.items()],
+            *[lookup.earliest_known(name, seen).alias(name) for name in CARRIED_WIDE],
         )
         .withColumns({"event_time": F.col("window.start"), **measures()})
         .select(*COLLAPSED_COLUMNS)

@@ -157,3 +157,22 @@ def test_polls_are_hashed_not_sorted(spark):
     steps = re.findall(r"(SortAggregate|HashAggregate|Sort \[|Exchange hashpartitioning)", plan)[::-1]
     assert steps[:3] == ["HashAggregate", "Exchange hashpartitioning", "HashAggregate"]
     assert steps.count("Exchange hashpartitioning") == 2
+
+
+def test_streamed_collapse_keeps_one_state(spark, tmp_path):
+    """One stateful step, with the rows the two steps of a batch give."""
+    rows = [
+        poll(ingested_at=1704067200000 + n * 60_000, road_numbers=roads, lat=lat, delay_seconds=delay)
+        for n, (roads, lat, delay) in enumerate([(None, 1.0, None), ("R2", None, 5), ("R1", 2.0, 3), (None, None, None)] * 10)
+    ]
+    source = polls(spark, *rows)
+    source.coalesce(1).write.parquet(str(tmp_path / "polls"))
+    stream = spark.readStream.schema(source.schema).parquet(str(tmp_path / "polls"))
+    out, found = [], ["city", "road_numbers", "lat", "lon", "delay_seconds", "delay_minutes", "is_active", "event_time"]
+    run = incidents.collapse_polls(stream).writeStream.foreachBatch(lambda batch, n: out.extend(batch.select(*found).collect()))
+    query = run.option("checkpointLocation", str(tmp_path / "kept")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert all(len(p["stateOperators"]) == 1 for p in query.recentProgress)
+    whole = incidents.collapse_polls(source).select(*found).collect()
+    last = max(r.event_time for r in whole)
+    assert sorted(out, key=str) == sorted((r for r in whole if r.event_time < last), key=str) and len(out) == 2
