@@ -186,7 +186,7 @@ def test_derived_columns_are_not_shuffled(spark, tmp_path, monkeypatch):
 
 
 def test_scan_tasks_are_small(spark, tmp_path):
-    """16 MB of stored rows in row groups of 1 MB are read by more than one task a core."""
+    """16 MB of stored rows in one file, in row groups of 1 MB, are read by two tasks or more."""
     path = str(tmp_path / "rows")
     rows = spark.range(0, 2_000_000, 1, 1).select(F.xxhash64("id").alias("a"))
     rows.write.option("parquet.block.size", 1 << 20).option("compression", "uncompressed").parquet(path)
