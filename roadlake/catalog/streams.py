@@ -14,22 +14,31 @@ from roadlake.session import fresh_folder
 from roadlake.sinks import lake as tables
 from roadlake.sinks.lake import Lake
 from roadlake.sources import adapters, dimensions
-from roadlake.sources.streams import replay_stream
+from roadlake.sources.streams import dated_in_order, replay_stream
 from roadlake.streaming import app
 
 NOON = "TIMESTAMP '2024-01-01 12:00:00'"
 TEN = "TIMESTAMP '2024-01-01 10:00:00'"
 
 
-def recorded(spark: SparkSession, rows: DataFrame) -> str:
-    """Writes rows as files in time order, to be replayed; as many as Spark sees fit."""
+FILE_ROWS = 500_000  # some 8 MB of polls
+CORE_BYTES = 4 << 20  # what a batch holds for each core: up to half a million polls
+
+
+def recorded(spark: SparkSession, rows: DataFrame) -> tuple[str, bool]:
+    """Writes rows as files in time order, to be replayed, and whether a replay will take them in that order."""
     folder = fresh_folder(spark, "replay")
-    rows.repartitionByRange("ingested_at").write.parquet(folder)
-    return folder
+    in_order = rows.repartitionByRange("ingested_at").sortWithinPartitions("ingested_at")
+    in_order.write.option("maxRecordsPerFile", FILE_ROWS).parquet(folder)
+    return folder, dated_in_order(spark, folder)
 
 
 def replayed(spark: SparkSession, rows: DataFrame, files_per_trigger: int | None = None) -> DataFrame:
-    return replay_stream(spark, recorded(spark, rows), rows.schema, files_per_trigger)
+    """The rows as a stream in time order, in batches the cluster holds at once: windows close as it goes
+    on, so state does not grow with the rows. Where files keep no order all rows are one batch."""
+    folder, in_order = recorded(spark, rows)
+    most = CORE_BYTES * spark.sparkContext.defaultParallelism if in_order else None
+    return replay_stream(spark, folder, rows.schema, files_per_trigger, bytes_per_trigger=most)
 
 
 def run_flow(lake: Lake, readings: DataFrame, dims: dimensions.Dimensions | None = None) -> None:

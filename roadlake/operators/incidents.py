@@ -88,7 +88,8 @@ def collapse_polls(reports: DataFrame) -> DataFrame:
     Polls are first grouped by their wide values too, which leaves only numbers to
     aggregate: Spark hashes all polls, on the map side already, and sorts just the few
     rows that an incident has left. On a stream one step does it all: the state of a second
-    one would be written, kept and dropped again, which is dearer than sorting the polls.
+    one would be written, kept and dropped again, which is dearer than sorting the polls. That
+    is by a hash of the keys first, which Spark compares as a number, and by the keys where hashes are equal.
     """
     timed = reports if "start_time_parsed" in reports.columns else time_reports(reports)
     types = {name: timed.schema[name].dataType for name in CARRIED_NARROW}
@@ -99,8 +100,12 @@ def collapse_polls(reports: DataFrame) -> DataFrame:
             F.min("event_time").alias("first_seen"), *[F.min(number).alias(name) for name, number in numbers.items()]
         )
         window, numbers, seen = F.col("window"), {n: F.col(n) for n in CARRIED_NARROW}, "first_seen"
+        by = [window, *IDENTITY]
+    else:
+        timed = timed.withColumn("window", window)
+        by = [F.xxhash64("window", *IDENTITY).alias("hash"), "window", *IDENTITY]
     return (
-        timed.groupBy(window, *IDENTITY)
+        timed.groupBy(*by)
         .agg(
             *[lookup.unpacked(F.min(number), types[name]).alias(name) for name, number in numbers.items()],
             *[lookup.earliest_known(name, seen).alias(name) for name in CARRIED_WIDE],

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +45,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """What a query that keeps state is started with (it copies the session's settings as it starts).
+
+    Every batch writes one file a state partition, so there are no more of them than cores, and
+    the heap holds the state of one batch, not that of the one before as well.
+    """
+    cores, named = spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
+    settings = {
+        named: str(min(int(spark.conf.get(named)), cores)),
+        "spark.sql.streaming.maxBatchesToRetainInMemory": "1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see: what the cluster names in spark.checkpoint.dir.
 

@@ -325,7 +325,7 @@ def write_load(
     by = [*partitions(table), *levels]
     counted, parts = _measured(rows, table, levels)
     attempt = _new_attempt()
-    dealt = packing.packed(rows, by, counted, persisted=few is None) if gather and len(counted) > (few or 0) else rows
+    dealt = packing.packed(rows, by, counted, packing.FILE_BYTES, few is None) if gather and len(counted) > (few or 0) else rows
     marked = finish(dealt).withColumn(LOAD, F.lit(load))
     schema = marked.withColumn(ATTEMPT, F.lit(attempt))
     observed: dict[str, int | None] = {}

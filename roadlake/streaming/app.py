@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadlake.operators import contract, flow, incidents
+from roadlake.session import stream_settings
 from roadlake.sinks import lake as tables
 from roadlake.sinks import writers
 from roadlake.sinks.lake import Lake
@@ -56,7 +57,9 @@ def _start(rows: DataFrame, lake: Lake, name: str, write, trigger: dict) -> Stre
             batch.unpersist()
 
     writer: DataStreamWriter = rows.writeStream.queryName(name).foreachBatch(each)
-    return writer.option("checkpointLocation", lake.checkpoint(name)).trigger(**trigger).start()
+    writer = writer.option("checkpointLocation", lake.checkpoint(name)).trigger(**trigger)
+    with stream_settings(lake.spark):
+        return writer.start()
 
 
 def land_stream(records: DataFrame, lake: Lake, table: str, trigger: dict = EVERY_MINUTE) -> StreamingQuery:

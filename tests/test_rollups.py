@@ -176,3 +176,45 @@ def test_streamed_collapse_keeps_one_state(spark, tmp_path):
     whole = incidents.collapse_polls(source).select(*found).collect()
     last = max(r.event_time for r in whole)
     assert sorted(out, key=str) == sorted((r for r in whole if r.event_time < last), key=str) and len(out) == 2
+
+
+def test_replayed_stream_closes_windows_as_it_goes_on(spark, tmp_path, monkeypatch):
+    """Files are taken in time order, a few a batch: no row is late, and state holds open windows only."""
+    from roadlake.catalog import streams
+    from roadlake.session import stream_settings
+
+    monkeypatch.setattr(streams, "FILE_ROWS", 24, raising=False)
+    monkeypatch.setattr(streams, "CORE_BYTES", 1, raising=False)
+    minutes = [n * 7919 % 240 for n in range(240)]  # written in no order
+    source = polls(spark, *[poll(ingested_at=1704067200000 + m * 60_000, from_location=f"P{m % 5}", delay_seconds=m) for m in minutes])
+    out, found = [], ["from_location", "delay_seconds", "event_time"]
+    stream = incidents.collapse_polls(streams.replayed(spark, source.repartition(8)))
+    run = stream.writeStream.foreachBatch(lambda batch, n: out.extend(batch.select(*found).collect()))
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        with stream_settings(spark):
+            query = run.option("checkpointLocation", str(tmp_path / "kept")).trigger(availableNow=True).start()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "32"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    query.awaitTermination()
+    state = [p["stateOperators"][0] for p in query.recentProgress]
+    whole = incidents.collapse_polls(source).select(*found).collect()
+    last = max(r.event_time for r in whole)
+    assert sorted(out) == sorted(r for r in whole if r.event_time < last) and len(out) == 75
+    assert len(state) > 5 and max(s["numRowsTotal"] for s in state) <= 35 and not any(s["numRowsDroppedByWatermark"] for s in state)
+    assert all(s["numShufflePartitions"] == min(32, spark.sparkContext.defaultParallelism) for s in state)
+
+
+def test_streamed_polls_are_sorted_by_a_number_first(spark, tmp_path):
+    """A struct, as the window is, has no prefix that a sort could compare."""
+    source = polls(spark, poll())
+    source.write.parquet(str(tmp_path / "polls"))
+    collapsed = incidents.collapse_polls(spark.readStream.schema(source.schema).parquet(str(tmp_path / "polls")))
+    query = collapsed.writeStream.foreachBatch(lambda batch, n: batch.count())
+    query = query.option("checkpointLocation", str(tmp_path / "kept")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    first = re.findall(r"Sort \[(\w+)", plan)
+    assert len(first) == 4 and not any(name.startswith("window") for name in first)
